@@ -29,3 +29,9 @@ def decoder_input(seq: Column | str, length: int) -> Column:
 def decoder_target(seq: Column | str, length: int) -> Column:
     """All but the first of ``length`` ids."""
     return F.slice(_col(seq), 2, length - 1)
+
+
+def is_finished(seq: Column | str) -> Column:
+    """The sequence ends in END: it is carried along, not expanded."""
+    ids = _col(seq)
+    return F.coalesce(F.try_element_at(ids, F.lit(-1)) == END, F.lit(False))

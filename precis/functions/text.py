@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from precis.functions.chars import (
     NWS,
@@ -51,7 +52,7 @@ def strip_accents(c: Column | str) -> Column:
     return F.regexp_replace(F.translate(_col(c), source, target), r"\p{Mn}+", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents_exact(texts: pd.Series) -> pd.Series:
     """Drop accents by the Unicode tables of Python, for every script."""
     return texts.map(strip_accents_text, na_action="ignore")

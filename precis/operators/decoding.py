@@ -13,7 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from precis.functions.sequences import is_finished
 from precis.operators.lookup import sized_lookup
+from precis.operators.rows import unroll
 from precis.settings import DEFAULTS, END, PAD, Settings
 from precis.sources.storage import cut_lineage
 
@@ -102,7 +104,7 @@ def _start_states(last_ids: DataFrame) -> DataFrame:
         F.lit(1).alias("hyp_id"),
         F.array("last").alias("seq"),
         F.lit(0.0).alias("score"),
-        (F.col("last") == END).alias("done"),
+        is_finished(F.array("last")).alias("done"),
     )
 
 
@@ -143,6 +145,30 @@ class NextTokens:
             F.coalesce("score", F.lit(0.0)).alias("score"), "done",
         )
 
+    def predict(self, samples: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+        """``(doc_id, predicted)``: the most likely next id at every position.
+
+        Positions without a known continuation, padding above all, get PAD.
+        """
+        rows = unroll(samples.select("doc_id", "decoder_in").repartition("doc_id"),
+                      ["doc_id"], "decoder_in", item="prev", keep_empty=True)
+        best = self._stored(best_next(self.probs).drop("p"), settings)
+        return (
+            rows.join(best, "prev", "left")
+            .groupBy("doc_id")
+            .agg(
+                F.sort_array(
+                    F.collect_list(
+                        F.when(
+                            F.col("pos").isNotNull(),
+                            F.struct("pos", F.coalesce("next", F.lit(PAD)).alias("next")),
+                        )
+                    )
+                ).alias("found")
+            )
+            .select("doc_id", F.col("found").getField("next").alias("predicted"))
+        )
+
     def greedy(
         self,
         starts: DataFrame,

@@ -34,5 +34,5 @@ def spread_small(df: DataFrame, split_bytes: int = 4 * 1024 * 1024) -> DataFrame
     per core are left as they lie, so nothing large is ever shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores) if size < cores * split_bytes else df

@@ -81,7 +81,7 @@ def length_boxplot(texts: DataFrame, text: str) -> DataFrame:
     never inside the box.
     """
     counts = length_counts(texts, text)
-    quartiles = F.percentile("x", [0.25, 0.5, 0.75], "c").over(Window.partitionBy())
+    quartiles = F.percentile("x", [0.25, 0.5, 0.75], F.col("c")).over(Window.partitionBy())
     q1, q3 = F.col("q")[0], F.col("q")[2]
     reach = (q3 - q1) * 1.5
     inside = (F.col("x") >= q1 - reach) & (F.col("x") <= q3 + reach)
