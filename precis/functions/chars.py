@@ -6,15 +6,13 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-# The whitespace set of Python's ``str.split``/``\s`` as ranges.
-# Java's and RE2's own ``\s`` know only ASCII whitespace.
-_WS_RANGES = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-WS = f"[{_WS_RANGES}]"
-NWS = f"[^{_WS_RANGES}]"
-NWS_NOT_AT = f"[^@{_WS_RANGES}]"
+# The whitespace set of Python's ``str.split`` and ``\s``. Java's own ``\s`` knows
+# ASCII only. The Unicode property is one test per character; the same set
+# spelled as ranges is several times slower.
+_WS_SET = r"\p{IsWhite_Space}\x1c-\x1f"
+WS = f"[{_WS_SET}]"
+NWS = f"[^{_WS_SET}]"
+NWS_NOT_AT = f"[^@{_WS_SET}]"
 # Python's Unicode ``\w``.
 W = r"[\p{L}\p{N}_]"
 

@@ -23,7 +23,7 @@ from precis.functions.chars import (
 )
 
 URL = f"http{NWS}+|www{NWS}+"
-MENTION = f"@{W}+|#{W}+"
+MENTION = f"[@#]{W}+"
 # Same matches as \S+@\S+ : such a match always spans a whole run of
 # non-blank characters, so it is enough to try once per run.
 EMAIL = f"(?<!{NWS}){NWS}{NWS_NOT_AT}*+@{NWS}++"
@@ -74,8 +74,7 @@ def clean_text(
     if lowercase:
         text = F.lower(text)
     text = F.regexp_replace(text, URL, "")
-    steps = [EMAIL, MENTION] if emails_first else [MENTION, EMAIL]
-    for pattern in steps:
+    for pattern in [EMAIL, MENTION] if emails_first else [MENTION, EMAIL]:
         text = F.regexp_replace(text, pattern, "")
     text = F.regexp_replace(text, f"{WS}+", " ")
     if not keep_accents:

@@ -78,8 +78,9 @@ def important_words(freqs: DataFrame) -> DataFrame:
     of_doc = Window.partitionBy("doc_id")
     order = of_doc.orderBy(F.desc("freq"), "first_place")
     return (
-        freqs.withColumn("n_distinct", F.count("*").over(of_doc))
-        .withColumn("rank", F.row_number().over(order))
+        # Ranked first: the count then needs no sort of its own.
+        freqs.withColumn("rank", F.row_number().over(order))
+        .withColumn("n_distinct", F.count("*").over(of_doc))
         .where(F.col("rank") <= F.greatest(F.lit(5), F.floor(F.col("n_distinct") / 5)))
         .select("doc_id", "word", "freq", "rank")
     )

@@ -19,23 +19,6 @@ def _part(chosen: Column, chosen_name: str, rest_name: str) -> Column:
     return F.when(F.coalesce(chosen, F.lit(False)), chosen_name).otherwise(rest_name)
 
 
-def _cut(rows: DataFrame, prefix: Column, wanted: Column) -> DataFrame:
-    """The prefix in which the wanted-th smallest digest lies, and its place there.
-
-    At most 65,536 prefixes come out of the map-side aggregate, so the running
-    total over them is one small task.
-    """
-    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    counts = rows.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    totals = counts.withColumn("upto", F.sum("n").over(running)).withColumn("wanted", wanted)
-    return totals.where(
-        (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))
-    ).agg(
-        F.max("prefix").alias("prefix"),
-        F.max(F.col("wanted") - F.col("upto") + F.col("n")).alias("place"),
-    )
-
-
 def split_exact(
     df: DataFrame,
     fraction: float = DEFAULTS.train_fraction,
@@ -46,23 +29,26 @@ def split_exact(
 ) -> DataFrame:
     """Add ``split``: exactly ``round(fraction * rows)`` rows are ``chosen``.
 
-    The rows with the smallest digests are chosen. The digest that separates
-    the parts is found by two rounds of counting by four hex digits and a rank
-    among the few rows that share eight; the split itself is then a comparison
-    inside each row, so the table is never sorted, gathered or shuffled. Keys
-    must be unique.
+    The rows with the smallest digests are chosen. Digests are counted by their
+    first four digits, at most 65,536 groups; the running total names the one
+    group in which the parts meet, and only its rows are ranked. The split is
+    then a comparison inside each row, so the table is never sorted, gathered
+    or shuffled. Keys must be unique.
     """
     digests = df.select(row_digest(key, seed).alias("digest"))
-    digest = F.col("digest")
-    n_rows = df.agg(F.count("*")).scalar()
-    wanted = F.bround(F.lit(fraction) * n_rows, 0).cast("long")
-
-    outer = _cut(digests, F.substring(digest, 1, 4), wanted)
-    in_outer = digests.where(F.substring(digest, 1, 4) == outer.select("prefix").scalar())
-    inner = _cut(in_outer, F.substring(digest, 5, 4), outer.select("place").scalar())
-    in_inner = in_outer.where(F.substring(digest, 5, 4) == inner.select("prefix").scalar())
-    ranked = in_inner.withColumn("place", F.row_number().over(Window.orderBy("digest")))
-    last = ranked.where(F.col("place") <= inner.select("place").scalar()).agg(F.max("digest"))
+    prefix = F.substring("digest", 1, 4)
+    counts = digests.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    # Two windows in one task, over the groups, not the rows.
+    wanted = F.bround(F.lit(fraction) * F.sum("n").over(Window.partitionBy()), 0).cast("long")
+    totals = counts.withColumn("upto", F.sum("n").over(running)).withColumn("wanted", wanted)
+    before = F.col("upto") - F.col("n")
+    border = totals.where((before < F.col("wanted")) & (F.col("upto") >= F.col("wanted"))).agg(
+        F.max("prefix").alias("prefix"), F.max(F.col("wanted") - before).alias("place")
+    )
+    near = digests.where(prefix == border.select("prefix").scalar())
+    ranked = near.withColumn("place", F.row_number().over(Window.orderBy("digest")))
+    last = ranked.where(F.col("place") <= border.select("place").scalar()).agg(F.max("digest"))
     return df.withColumn("split", _part(row_digest(key, seed) <= last.scalar(), chosen, rest))
 
 

@@ -17,11 +17,24 @@ def word_lists(texts: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return texts.select(F.col(key).alias("doc_id"), tokens(clean_text(text)).alias("words"))
 
 
-def sentence_rows(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(doc_id, idx, sentence, words)`` of cleaned texts."""
-    lists = texts.select(
+def sentence_lists(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``(doc_id, sentences)`` of cleaned texts."""
+    return texts.select(
         F.col(key).alias("doc_id"), split_sentences(clean_text(text)).alias("sentences")
     )
+
+
+def sentence_rows(
+    texts: DataFrame, text: str = "text", key: str = "doc_id", colocate: bool = False
+) -> DataFrame:
+    """``(doc_id, idx, sentence, words)`` of cleaned texts.
+
+    With ``colocate`` the sentences travel by ``doc_id`` while they are still
+    one compact row per text, so that counting their words needs no shuffle.
+    """
+    lists = sentence_lists(texts, text, key)
+    if colocate:
+        lists = lists.repartition("doc_id")
     parts = unroll(lists, ["doc_id"], "sentences", "idx", "sentence")
     return parts.withColumn("words", tokens("sentence"))
 

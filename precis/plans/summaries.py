@@ -8,15 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.metrics import compression_ratio
-from precis.functions.text import clean_text, join_fragments, word_count
+from precis.functions.text import clean_text, join_fragments, tokens, word_count
 from precis.operators.decoding import NextTokens
-from precis.operators.encoding import decode, encode
+from precis.operators.encoding import decode, token_id_lookup
 from precis.operators.filters import min_words_filter
 from precis.operators.importance import fragment_importance, fragment_lists, fragment_rows
 from precis.operators.ranking import rank_then_restore
-from precis.operators.tfidf import corpus_idf, sentence_rows, sentence_tfidf, tfidf_top_n, word_lists
+from precis.operators.rows import unroll
+from precis.operators.tfidf import (
+    corpus_idf,
+    sentence_lists,
+    sentence_rows,
+    sentence_tfidf,
+    tfidf_top_n,
+    word_lists,
+)
 from precis.operators.vocabulary import Vocabulary
-from precis.settings import DEFAULTS, START, SUMMARY, TEXT, UNK, Settings
+from precis.settings import DEFAULTS, START, SUMMARY, TEXT, UNK
 from precis.sources.pairs import append_pairs
 
 STRATEGIES = ("extractive", "tfidf", "greedy", "beam_search")
@@ -57,19 +65,18 @@ def tfidf_summary(
     """``(doc_id, summary)`` of the best sentences by corpus TF-IDF, best first."""
     sentences = sentence_rows(texts, text, key)
     best = tfidf_top_n(sentence_tfidf(sentences, corpus_idf(word_lists(texts, text, key))), n)
-    parts = (
-        best.join(sentences.select("doc_id", "idx", "sentence"), ["doc_id", "idx"])
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "sentence"))).alias("parts"))
+    kept = best.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "idx"))).alias("kept")
     )
-    all_texts = texts.select(F.col(key).alias("doc_id"))
+    # A few positions per text; hashing them leaves the texts unsorted.
+    lists = sentence_lists(texts, text, key)
+    joined = lists.join(kept.hint("shuffle_hash"), "doc_id", "left")
     chosen = F.coalesce(
-        F.col("parts").getField("sentence"), F.array().cast("array<string>")
+        F.transform(F.col("kept").getField("idx"), lambda i: F.get(F.col("sentences"), i)),
+        F.array().cast("array<string>"),
     )
-    return (
-        all_texts.join(parts, "doc_id", "left")
-        .select("doc_id", chosen.alias("chosen"))
-        .select("doc_id", join_fragments("chosen", F.size("chosen")).alias("summary"))
+    return joined.select("doc_id", chosen.alias("chosen")).select(
+        "doc_id", join_fragments("chosen", F.size("chosen")).alias("summary")
     )
 
 
@@ -83,10 +90,15 @@ class Decoder:
 
 def decoding_starts(texts: DataFrame, text: str, vocab: Vocabulary, key: str) -> DataFrame:
     """``(doc_id, seq)``: START and the first word of the text the vocabulary knows."""
-    cleaned = texts.select(F.col(key).alias("doc_id"), clean_text(text).alias("clean"))
-    ids = encode(cleaned, "clean", vocab)
-    known = F.slice(F.filter("ids", lambda i: i != UNK), 1, 1)
-    return ids.select("doc_id", F.concat(F.array(F.lit(START)), known).alias("seq"))
+    words = texts.select(F.col(key).alias("doc_id"), tokens(clean_text(text)).alias("words"))
+    rows = token_id_lookup(unroll(words, ["doc_id"], "words", keep_empty=True), vocab)
+    known = F.when(F.col("id") != UNK, F.col("pos"))
+    # One row per text and task goes into the shuffle.
+    first = rows.groupBy("doc_id").agg(F.min_by("id", known).alias("first"))
+    seq = F.when(F.col("first").isNull(), F.array(F.lit(START))).otherwise(
+        F.array(F.lit(START), F.col("first"))
+    )
+    return first.select("doc_id", seq.alias("seq"))
 
 
 def summarize(

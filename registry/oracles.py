@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from precis.functions.chars import NWS, STOPWORDS, W, WS, WS_CHARS
+from precis.functions.chars import STOPWORDS, WS_CHARS
 from precis.settings import SUMMARY, TEXT
 from precis.sources.pairs import NA_TOKENS, SAMPLE_PAIRS
 from registry.queries import BEAM, SMALL_VOCABULARY, STEPS
 
 
+# Whitespace as Python splits by, as ranges, and its word characters.
+_WS_RANGES = (
+    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+WS, NWS, W = f"[{_WS_RANGES}]", f"[^{_WS_RANGES}]", r"[\p{L}\p{N}_]"
+
+
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

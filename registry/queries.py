@@ -198,7 +198,10 @@ def _triples(p: DataFrame) -> DataFrame:
 
 @query("evaluation_report")
 def _evaluation_report(spark, sf):
-    report = evaluation.evaluation_report(_triples(pairs(spark, sf)), TEXT, SUMMARY, "generated")
+    p = pairs(spark, sf)
+    generated = summaries.summarize(p, "extractive", TEXT).withColumnRenamed("summary", "generated")
+    triples = p.join(generated, "doc_id")
+    report = evaluation.evaluation_report(triples, TEXT, SUMMARY, "generated")
     return _counts_as_long(
         report, "text_words", "reference_words", "generated_words"
     ).withColumns({c: r6(c) for c in ("precision", "recall", "f1")})
@@ -319,7 +322,7 @@ _on_documents("fragment_word_freq", lambda d: importance.fragment_word_freq(_fra
 @query("term_freq")
 def _term_freq(spark, sf):
     d = documents(spark, sf)
-    all_words = tfidf.term_freq(tfidf.sentence_rows(d)).withColumn("kind", F.lit("sentence"))
+    all_words = tfidf.term_freq(tfidf.sentence_rows(d, colocate=True)).withColumn("kind", F.lit("sentence"))
     content = _fragments(d).withColumn("words", tx.content_words("words"))
     of_content = tfidf.term_freq(content).withColumn("kind", F.lit("fragment"))
     return all_words.unionByName(of_content).withColumn("tf", r6("tf"))
