@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from precis.functions.sequences import is_finished
-from precis.operators.lookup import sized_lookup
+from precis.operators.lookup import Sized, lookup
 from precis.operators.rows import unroll
 from precis.settings import DEFAULTS, END, PAD, Settings
 from precis.sources.storage import cut_lineage
@@ -127,19 +127,17 @@ class NextTokens:
 
     def _finish(self, starts: DataFrame, paths: DataFrame, settings: Settings) -> DataFrame:
         """Give every start row the continuation of its last id."""
-        stored = cut_lineage(
-            paths.select(
-                F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
-                "score", "done",
-            )
+        tails = paths.select(
+            F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
+            "score", "done",
         )
-        n_rows, n_bytes = stored.agg(
-            F.count("*"), F.coalesce(F.sum(F.size("tail") * 4 + 48), F.lit(0))
+        stored = cut_lineage(tails)
+        n_rows, n_ids = stored.agg(
+            F.count("*"), F.coalesce(F.sum(F.size("tail")), F.lit(0))
         ).first()
+        continued = Sized(stored, "last", n_rows, n_rows * 64 + n_ids * 4)
         begun = starts.withColumn("last", F.element_at("seq", -1))
-        joined = sized_lookup(
-            begun, stored, "last", F.lit(1), n_rows, n_bytes, settings
-        )
+        joined = lookup(begun, continued, F.lit(1), settings)
         return joined.select(
             "doc_id", F.concat("seq", F.coalesce("tail", F.array().cast("array<int>"))).alias("seq"),
             F.coalesce("score", F.lit(0.0)).alias("score"), "done",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from precis.functions.sequences import add_markers
 from precis.functions.text import tokens
-from precis.operators.lookup import sized_lookup
+from precis.operators.lookup import lookup
 from precis.operators.rows import unroll
 from precis.operators.vocabulary import Vocabulary
 from precis.settings import DEFAULTS, END, PAD, SPECIAL_TOKENS, START, UNK, Settings
@@ -17,22 +17,19 @@ def token_id_lookup(
     rows: DataFrame, vocab: Vocabulary, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Add ``id`` to rows that have a ``word``; unknown words get UNK."""
-    book = vocab.table.select(F.col("token").alias("word"), "id", "freq")
-    found = sized_lookup(
-        rows, book, "word", F.col("freq"), vocab.n_rows, vocab.n_bytes, settings
+    found = lookup(rows.withColumnRenamed("word", "token"), vocab.tokens, F.col("freq"), settings)
+    return (
+        found.withColumn("id", F.coalesce("id", F.lit(UNK)))
+        .withColumnRenamed("token", "word")
+        .drop("freq")
     )
-    return found.withColumn("id", F.coalesce("id", F.lit(UNK))).drop("freq")
 
 
 def id_token_lookup(
     rows: DataFrame, vocab: Vocabulary, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Add ``token`` to rows that have an ``id``; unknown ids get ``<UNK>``."""
-    book = vocab.table.select("id", "token", "freq")
-    found = sized_lookup(
-        rows, book.withColumn("id", F.col("id").cast("int")), "id", F.col("freq"),
-        vocab.n_rows, vocab.n_bytes, settings,
-    )
+    found = lookup(rows, vocab.by_id(), F.col("freq"), settings)
     return found.withColumn("token", F.coalesce("token", F.lit(SPECIAL_TOKENS[UNK]))).drop("freq")
 
 

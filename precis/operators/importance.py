@@ -94,23 +94,22 @@ def fragment_importance(rows: DataFrame) -> DataFrame:
     content words enter, so only these are exploded; a fragment without any
     keeps one row with no word and scores 0.0.
     """
-    n, m = F.col("n_words"), F.col("m")
-    sized = rows.select(
-        "doc_id", "n_fragments", "idx", F.size("words").alias("n_words"),
-        content_words("words").alias("content"),
-    ).withColumn("m", F.size("content"))
-    keep = ["doc_id", "n_fragments", "idx", "n_words", "m"]
-    terms = (
-        unroll(sized, keep, "content", keep_empty=True)
-        .groupBy(*keep, "word")
-        .agg(F.count("word").alias("c"), F.min(_place()).alias("place"))
+    keep = ["doc_id", "n_fragments", "idx", "n_words"]
+    counted = rows.withColumn("n_words", F.size("words"))
+    words = (
+        unroll(counted, keep, content_words("words"), keep_empty=True)
+        .withColumn("place", _place())
+        .drop("pos")
     )
+    has_word = F.col("word").isNotNull()
     of_word = Window.partitionBy("doc_id", "word")
     of_doc = Window.partitionBy("doc_id")
-    order = of_doc.orderBy(F.desc("freq"), "first_place")
+    before = F.lag("idx").over(of_word.orderBy("place"))
+    # One sort serves all windows up to the rank.
     weighed = (
-        terms.withColumn("df", F.count("*").over(of_word))
-        .withColumn("freq", F.sum("c").over(of_word))
+        words.withColumn("new", has_word & (before.isNull() | (before != F.col("idx"))))
+        .withColumn("df", F.count_if("new").over(of_word))
+        .withColumn("freq", F.count("word").over(of_word))
         .withColumn("first_place", F.min("place").over(of_word))
         # Each distinct word counts where it first occurs.
         .withColumn(
@@ -118,15 +117,17 @@ def fragment_importance(rows: DataFrame) -> DataFrame:
         )
         # First places differ between words, so equal ranks are equal words;
         # rows without a word have freq 0 and come last.
-        .withColumn("rank", F.dense_rank().over(order))
+        .withColumn("rank", F.dense_rank().over(of_doc.orderBy(F.desc("freq"), "first_place")))
     )
     idf = F.log(F.col("n_fragments").cast("double") / (1 + F.col("df")))
     important = F.col("rank") <= F.greatest(F.lit(5), F.floor(F.col("n_distinct") / 5))
-    has_word = F.col("word").isNotNull()
     sums = weighed.groupBy(*keep).agg(
-        F.sum(F.when(has_word, F.col("c") * idf).otherwise(0.0)).alias("weight"),
-        F.count_if(has_word & important).alias("u"),
+        F.count("word").alias("m"),
+        # The idf of every occurrence: the same sum as count times idf.
+        F.sum(F.when(has_word, idf).otherwise(0.0)).alias("weight"),
+        F.count_if(F.col("new") & important).alias("u"),
     )
+    n, m = F.col("n_words"), F.col("m")
     fit = F.greatest(F.lit(0.5), 1.0 - F.abs(n - 10) / 20)
     score = (0.7 * (F.col("weight") / m / m) + 0.3 * (F.col("u") / m)) * fit
     return sums.select(

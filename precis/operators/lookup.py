@@ -2,10 +2,42 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precis.settings import DEFAULTS, Settings
+from precis.sources.storage import cut_lineage
+
+ROW_BYTES = 32
+
+
+@dataclass(frozen=True)
+class Sized:
+    """A stored lookup table, one row per key, with its measured size."""
+
+    table: DataFrame
+    key: str
+    n_rows: int
+    n_bytes: int
+
+    @classmethod
+    def measure(cls, table: DataFrame, key: str) -> "Sized":
+        """Measure a table that is stored already."""
+        key_bytes = F.octet_length(F.col(key).cast("string")) + ROW_BYTES
+        row = table.agg(F.count("*"), F.coalesce(F.sum(key_bytes), F.lit(0))).first()
+        return cls(table, key, *row)
+
+    @classmethod
+    def store(cls, table: DataFrame, key: str) -> "Sized":
+        """Compute a table once, store it reliably and measure it."""
+        return cls.measure(cut_lineage(table), key)
+
+    def is_small(self, settings: Settings = DEFAULTS) -> bool:
+        return (
+            self.n_rows <= settings.broadcast_rows and self.n_bytes <= settings.broadcast_bytes
+        )
 
 
 def hot_keys(
@@ -15,10 +47,9 @@ def hot_keys(
 
     The running sum goes over at most ``hot_rows`` rows.
     """
-    top = table.withColumn("_weight", weight).orderBy(F.desc("_weight"), key).limit(
-        settings.hot_rows
-    )
-    running = F.sum(F.octet_length(key) + 32).over(
+    weighed = table.withColumn("_weight", weight)
+    top = weighed.orderBy(F.desc("_weight"), key).limit(settings.hot_rows)
+    running = F.sum(F.octet_length(F.col(key).cast("string")) + ROW_BYTES).over(
         Window.orderBy(F.desc("_weight"), key).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
@@ -29,34 +60,18 @@ def hot_keys(
 
 
 def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: Column,
-    settings: Settings = DEFAULTS,
+    rows: DataFrame, sized: Sized, weight: Column, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """Left join on ``key`` with a table of any size.
+    """Left join of ``rows`` with a lookup table on its key.
 
-    Word counts are very uneven: the few thousand heaviest keys make up most
-    rows. Those are joined by broadcast where the rows lie; only the rows of
-    rare keys are shuffled, and none of these keys is heavy.
+    A table of small measured size is broadcast. From a larger one only the
+    heaviest keys are: word counts are so uneven that a few thousand words make
+    up most rows, which then stay where they lie. The rows of the other keys
+    are shuffled, and none of these keys is heavy.
     """
-    hot = F.broadcast(hot_keys(table, key, weight, settings))
-    near = rows.join(hot, key)
-    far = rows.join(hot.select(key), key, "left_anti").join(table, key, "left")
-    return near.unionByName(far)
-
-
-def sized_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: Column,
-    n_rows: int,
-    n_bytes: int,
-    settings: Settings = DEFAULTS,
-) -> DataFrame:
-    """Left join with a table of measured size: by broadcast if it is small."""
-    if n_rows <= settings.broadcast_rows and n_bytes <= settings.broadcast_bytes:
-        return rows.join(F.broadcast(table), key, "left")
-    return lookup(rows, table, key, weight, settings)
+    if sized.is_small(settings):
+        return rows.join(F.broadcast(sized.table), sized.key, "left")
+    hot = F.broadcast(hot_keys(sized.table, sized.key, weight, settings))
+    near = rows.join(hot, sized.key)
+    far = rows.join(hot.select(sized.key), sized.key, "left_anti")
+    return near.unionByName(far.join(sized.table, sized.key, "left"))

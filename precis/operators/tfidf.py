@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.text import clean_text, split_sentences, tokens
-from precis.operators.lookup import lookup
+from precis.operators.lookup import Sized, lookup
 from precis.operators.ranking import top_n
 from precis.operators.rows import unroll
 from precis.settings import DEFAULTS, Settings
@@ -72,14 +72,19 @@ def term_freq(sentences: DataFrame) -> DataFrame:
     )
 
 
-def idf_lookup(rows: DataFrame, idf: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def fit_idf(lists: DataFrame) -> Sized:
+    """Corpus IDF, computed once, stored and measured."""
+    return Sized.store(corpus_idf(lists), "word")
+
+
+def idf_lookup(rows: DataFrame, idf: Sized, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``idf`` to rows that have a ``word``; 0.0 for unseen words."""
-    found = lookup(rows, idf.select("word", "df", "idf"), "word", F.col("df"), settings)
+    found = lookup(rows, idf, F.col("df"), settings)
     return found.drop("df").withColumn("idf", F.coalesce("idf", F.lit(0.0)))
 
 
 def sentence_tfidf(
-    sentences: DataFrame, idf: DataFrame, settings: Settings = DEFAULTS
+    sentences: DataFrame, idf: Sized, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Sum of tf times idf per sentence; 0.0 for a sentence without words.
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precis.functions.text import tokens
+from precis.operators.lookup import Sized
 from precis.operators.rows import unroll
 from precis.settings import DEFAULTS, SPECIAL_TOKENS
-from precis.sources.storage import cut_lineage
 
 FIRST = ("first_batch", "first_doc", "first_rank")
 
@@ -83,30 +83,29 @@ def vocabulary(freqs: DataFrame, capacity: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A fitted vocabulary: stored rows, and their measured size."""
+    """A fitted vocabulary ``(token, id, freq)``: stored, and of measured size."""
 
-    table: DataFrame
-    n_rows: int
-    n_bytes: int
+    tokens: Sized
 
-    @staticmethod
-    def of(table: DataFrame) -> "Vocabulary":
-        """Measure a stored table."""
-        n_rows, n_bytes = table.agg(
-            F.count("*"), F.coalesce(F.sum(F.octet_length("token") + 32), F.lit(0))
-        ).first()
-        return Vocabulary(table, n_rows, n_bytes)
+    @property
+    def table(self) -> DataFrame:
+        return self.tokens.table
+
+    def by_id(self) -> Sized:
+        """The same rows looked up by id."""
+        return replace(self.tokens, key="id")
 
     def save(self, path: str) -> None:
         self.table.write.parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Vocabulary":
-        return Vocabulary.of(spark.read.parquet(path))
+        return Vocabulary(Sized.measure(spark.read.parquet(path), "token"))
 
 
 def fit_vocabulary(
     texts: DataFrame, text: str, capacity: int, key: str = "doc_id"
 ) -> Vocabulary:
     """Count, rank and store; the corpus is read once, whatever follows."""
-    return Vocabulary.of(cut_lineage(vocabulary(word_freq(texts, text, key), capacity)))
+    ranked = vocabulary(word_freq(texts, text, key), capacity)
+    return Vocabulary(Sized.store(ranked, "token"))

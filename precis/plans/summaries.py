@@ -16,7 +16,7 @@ from precis.operators.importance import fragment_importance, fragment_lists, fra
 from precis.operators.ranking import rank_then_restore
 from precis.operators.rows import unroll
 from precis.operators.tfidf import (
-    corpus_idf,
+    fit_idf,
     sentence_lists,
     sentence_rows,
     sentence_tfidf,
@@ -64,7 +64,7 @@ def tfidf_summary(
 ) -> DataFrame:
     """``(doc_id, summary)`` of the best sentences by corpus TF-IDF, best first."""
     sentences = sentence_rows(texts, text, key)
-    best = tfidf_top_n(sentence_tfidf(sentences, corpus_idf(word_lists(texts, text, key))), n)
+    best = tfidf_top_n(sentence_tfidf(sentences, fit_idf(word_lists(texts, text, key))), n)
     kept = best.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "idx"))).alias("kept")
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.sequences import add_markers, decoder_input, decoder_target, pad
 from precis.functions.text import clean_text, tokens
 from precis.operators.encoding import encode
-from precis.operators.lookup import sized_lookup
+from precis.operators.lookup import Sized, lookup
 from precis.operators.rows import unroll
 from precis.operators.splits import TRAIN
 from precis.operators.vocabulary import Vocabulary, fit_vocabulary
@@ -54,12 +56,7 @@ def prepare_seq2seq(
         .transform(unroll, ["doc_id", "side"], "words", keep_empty=True)
         .withColumn("entry", F.concat(F.col("side").cast("string"), F.col("word")))
     )
-    book = _entries(text_vocab, 0).unionByName(_entries(summary_vocab, 1))
-    found = sized_lookup(
-        rows, book, "entry", F.col("freq"),
-        text_vocab.n_rows + summary_vocab.n_rows,
-        text_vocab.n_bytes + summary_vocab.n_bytes, settings,
-    )
+    found = lookup(rows, _entries(text_vocab, summary_vocab), F.col("freq"), settings)
     of_side = lambda s: F.sort_array(
         F.collect_list(
             F.when(
@@ -81,9 +78,17 @@ def prepare_seq2seq(
     )
 
 
-def _entries(vocab: Vocabulary, side: int) -> DataFrame:
-    entry = F.concat(F.lit(str(side)), F.col("token")).alias("entry")
-    return vocab.table.select(entry, "id", "freq")
+def _entries(*vocabs: Vocabulary) -> Sized:
+    """Several vocabularies as one lookup table, words marked by their side."""
+    parts = [
+        v.table.select(F.concat(F.lit(str(side)), F.col("token")).alias("entry"), "id", "freq")
+        for side, v in enumerate(vocabs)
+    ]
+    return Sized(
+        reduce(DataFrame.unionByName, parts), "entry",
+        sum(v.tokens.n_rows for v in vocabs),
+        sum(v.tokens.n_bytes + v.tokens.n_rows for v in vocabs),
+    )
 
 
 def encode_for_inference(

@@ -37,10 +37,9 @@ class Settings:
     # Spark side: a lookup table is broadcast only up to these measured sizes.
     broadcast_rows: int = 2_000_000
     broadcast_bytes: int = 64 * 1024 * 1024
-    # Beyond them only this many of the most frequent keys are broadcast, and
-    # only keys of bounded length, so that the broadcast has a proven size.
+    # Beyond them only this many of the most frequent keys are broadcast, cut to
+    # the same number of bytes, so that the broadcast has a proven size.
     hot_rows: int = 10_000
-    hot_key_length: int = 64
     # Decoding loops cut their lineage every so many steps.
     checkpoint_every: int = 4
 

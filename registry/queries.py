@@ -220,7 +220,7 @@ QUERIES["valid_pairs"] = lambda spark, sf: filters.valid_pairs(turns(spark, sf))
 
 
 def _sentence_scores(d: DataFrame) -> DataFrame:
-    return tfidf.sentence_tfidf(tfidf.sentence_rows(d), tfidf.corpus_idf(tfidf.word_lists(d)))
+    return tfidf.sentence_tfidf(tfidf.sentence_rows(d), tfidf.fit_idf(tfidf.word_lists(d)))
 
 
 _on_documents("score_threshold", lambda d: ranking.score_threshold(_sentence_scores(d)).select(
@@ -263,7 +263,7 @@ def _id_token_lookup(spark, sf):
 @query("idf_lookup")
 def _idf_lookup(spark, sf):
     items = read(spark, sf, "benchmark")
-    idf = tfidf.corpus_idf(tfidf.word_lists(items, "text", "item_id"))
+    idf = tfidf.fit_idf(tfidf.word_lists(items, "text", "item_id"))
     words = tfidf.distinct_words(tfidf.word_lists(documents(spark, sf)))
     return tfidf.idf_lookup(words, idf).select("doc_id", "word", r6("idf").alias("idf"))
 
