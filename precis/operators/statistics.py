@@ -49,9 +49,10 @@ def length_histogram(
         .withColumn("hi", F.max("x").over(everything).cast("double"))
     )
     same = F.col("lo") == F.col("hi")
-    ranged = counts.withColumn(
-        "lo", F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo"))
-    ).withColumn("hi", F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")))
+    ranged = counts.withColumns({
+        "lo": F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")),
+        "hi": F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")),
+    })
     bucket = F.least(
         F.width_bucket(F.col("x").cast("double"), F.col("lo"), F.col("hi"), F.lit(bins)),
         F.lit(bins),
