@@ -6,29 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.text import has_words, trim_ws
+from precis.operators.lookup import Sized, lookup
+from precis.settings import DEFAULTS, Settings
 
 
-def assemble_lines(lines: DataFrame) -> DataFrame:
+def assemble_lines(lines: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One text per document out of ``(doc_id, line_no, line)``.
 
     Leading blank lines are skipped, the first blank line after content ends
     the text, the rest is joined by one space and trimmed. First and last line
-    come from map-side aggregates, so the lines past the end of a text are
-    never gathered, however many there are.
+    of a document come from map-side aggregates. Lines meet them by a lookup
+    that keeps the lines of long documents where they lie, so one document may
+    hold a large share of all lines; only the lines of a text are gathered.
     """
     content = has_words("line")
-    ends = lines.groupBy("doc_id").agg(F.min(F.when(content, F.col("line_no"))).alias("first"))
+    of_doc = F.col("n")
+    starts = Sized.store(
+        lines.groupBy("doc_id").agg(
+            F.min(F.when(content, F.col("line_no"))).alias("first"),
+            F.count("*").alias("n"),
+        ).where(F.col("first").isNotNull()),
+        "doc_id",
+    )
     stops = (
-        lines.where(~content)
-        .join(ends, "doc_id")
+        lookup(lines.where(~content).select("doc_id", "line_no"), starts, of_doc, settings)
         .where(F.col("line_no") > F.col("first"))
         .groupBy("doc_id")
         .agg(F.min("line_no").alias("stop"))
     )
-    limits = ends.join(stops, "doc_id", "left")
+    limits = Sized.store(
+        starts.table.select("doc_id", "n").join(stops, "doc_id", "left"), "doc_id"
+    )
     kept = (
-        lines.where(content)
-        .join(limits, "doc_id")
+        lookup(lines.where(content), limits, of_doc, settings)
         .where(F.col("stop").isNull() | (F.col("line_no") < F.col("stop")))
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("parts"))

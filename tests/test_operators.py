@@ -294,13 +294,15 @@ def test_append_and_split_tables(spark, tmp_path):
         "train": 4, "validation": 1}
 
 
-def test_assemble_lines(spark):
+@pytest.mark.parametrize("settings", [DEFAULTS, TINY])
+def test_assemble_lines(spark, settings):
     entered = {
         0: ["", " ", "a ", " b", "", "c"], 1: ["x"], 2: ["", ""], 3: ["p", " ", "q", "", "r"],
     }
     rows = [(d, i, t) for d, ts in entered.items() for i, t in enumerate(ts)]
     df = spark.createDataFrame(rows, "doc_id long, line_no int, line string")
-    assert as_dict(lines.assemble_lines(df), "doc_id", "text") == {0: "a   b", 1: "x", 3: "p"}
+    found = as_dict(lines.assemble_lines(df, settings), "doc_id", "text")
+    assert found == {0: "a   b", 1: "x", 3: "p"}
 
 
 # --- filters and splits -----------------------------------------------------
