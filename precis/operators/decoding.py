@@ -108,6 +108,27 @@ def _start_states(last_ids: DataFrame) -> DataFrame:
     )
 
 
+def _continue(paths: DataFrame, more: DataFrame) -> DataFrame:
+    """Lengthen every unfinished path by the path from its last id.
+
+    Both are ``(id, tail, score, done)``, at most one row per vocabulary word.
+    """
+    reached = F.coalesce(F.try_element_at("tail", F.lit(-1)), F.col("id"))
+    open_paths = paths.withColumn("reached", F.when(~F.col("done"), reached))
+    rest = more.select(
+        F.col("id").alias("reached"), F.col("tail").alias("more"),
+        F.col("score").alias("gain"), F.col("done").alias("ended"),
+    )
+    found = F.col("more").isNotNull()
+    return open_paths.join(rest, "reached", "left").select(
+        "id",
+        F.when(found, F.concat("tail", "more")).otherwise(F.col("tail")).alias("tail"),
+        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"),
+        # An id that nothing is known to follow ends its path.
+        F.coalesce("ended", F.lit(True)).alias("done"),
+    )
+
+
 @dataclass(frozen=True)
 class NextTokens:
     """A stored next-token table: the stand-in for a trained decoder."""
@@ -126,12 +147,8 @@ class NextTokens:
         return F.broadcast(stored) if self.n_rows <= settings.broadcast_rows else stored
 
     def _finish(self, starts: DataFrame, paths: DataFrame, settings: Settings) -> DataFrame:
-        """Give every start row the continuation of its last id."""
-        tails = paths.select(
-            F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
-            "score", "done",
-        )
-        stored = cut_lineage(tails)
+        """Give every start row the path ``(last, tail, score, done)`` of its last id."""
+        stored = cut_lineage(paths)
         n_rows, n_ids = stored.agg(
             F.count("*"), F.coalesce(F.sum(F.size("tail")), F.lit(0))
         ).first()
@@ -176,24 +193,29 @@ class NextTokens:
         """Most likely next id until END; END itself is not appended.
 
         ``starts`` is ``(doc_id, seq)``; result ``(doc_id, seq, score, done)``.
+        The next id is a function of the last one, so two paths of k steps make
+        one of 2k: the number of joins is that of the binary digits of
+        ``max_steps``, not the number of steps.
         """
-        best = self._stored(best_next(self.probs), settings)
-
-        def step(hyps: DataFrame) -> DataFrame:
-            grown = _last_open(hyps).join(best, "prev", "left")
-            ends = F.col("done") | F.col("next").isNull() | (F.col("next") == END)
-            gain = F.when(F.col("done") | F.col("next").isNull(), 0.0).otherwise(
-                F.log(F.col("p") + TINY)
-            )
-            return grown.select(
-                "doc_id", "hyp_id",
-                F.when(ends, F.col("seq")).otherwise(F.concat("seq", F.array("next"))).alias("seq"),
-                (F.col("score") + gain).alias("score"),
-                ends.alias("done"),
-            )
-
-        states = _start_states(starts.select(F.element_at("seq", -1).alias("last")))
-        return self._finish(starts, _advance(states, step, max_steps, settings), settings)
+        ends = F.col("next") == END
+        power = best_next(self.probs).where(F.col("prev") != END).select(
+            F.col("prev").alias("id"),
+            F.when(ends, F.array().cast("array<int>")).otherwise(F.array("next")).alias("tail"),
+            F.log(F.col("p") + TINY).alias("score"),
+            ends.alias("done"),
+        )
+        paths = starts.select(F.element_at("seq", -1).alias("id")).distinct().select(
+            "id",
+            F.array().cast("array<int>").alias("tail"),
+            F.lit(0.0).alias("score"),
+            is_finished(F.array("id")).alias("done"),
+        )
+        for digit in reversed(f"{max_steps:b}"):
+            power = cut_lineage(power)
+            if digit == "1":
+                paths = _continue(paths, power)
+            power = _continue(power, power)
+        return self._finish(starts, paths.withColumnRenamed("id", "last"), settings)
 
     def beam_search(
         self,
@@ -206,4 +228,8 @@ class NextTokens:
         states = _start_states(starts.select(F.element_at("seq", -1).alias("last")))
         top = self._stored(top_next(self.probs, k), settings)
         beams = _advance(states, lambda hyps: _expand(hyps, top, k), max_steps, settings)
-        return self._finish(starts, beams.where("hyp_id = 1"), settings)
+        best = beams.where("hyp_id = 1").select(
+            F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
+            "score", "done",
+        )
+        return self._finish(starts, best, settings)

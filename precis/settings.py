@@ -41,7 +41,7 @@ class Settings:
     # the same number of bytes, so that the broadcast has a proven size.
     hot_rows: int = 10_000
     # Decoding loops cut their lineage every so many steps.
-    checkpoint_every: int = 4
+    checkpoint_every: int = 10
 
 
 DEFAULTS = Settings()

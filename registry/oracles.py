@@ -5,7 +5,7 @@ from __future__ import annotations
 from precis.functions.chars import STOPWORDS, WS_CHARS
 from precis.settings import SUMMARY, TEXT
 from precis.sources.pairs import NA_TOKENS, SAMPLE_PAIRS
-from registry.queries import BEAM, SMALL_VOCABULARY, STEPS
+from registry.queries import BEAM, STEPS, SUMMARY_WORDS, TEXT_WORDS
 
 
 # Whitespace as Python splits by, as ranges, and its word characters.
@@ -188,10 +188,8 @@ token_ctes("doc", "clean_docs", "clean")
 token_ctes("item", "clean_items", "clean")
 token_ctes("sum", "clean_pairs", SUMMARY)
 token_ctes("txt", "clean_pairs", TEXT)
-vocab_cte("doc_vocab", "doc_freq_all", SMALL_VOCABULARY)
-NEEDS["doc_vocab"] = ["doc_freq"]
-CTES["doc_vocab"] = CTES["doc_vocab"].replace("doc_freq_all", "doc_freq")
-vocab_cte("sum_vocab", "sum_freq", SMALL_VOCABULARY)
+vocab_cte("doc_vocab", "doc_freq", TEXT_WORDS)
+vocab_cte("sum_vocab", "sum_freq", SUMMARY_WORDS)
 ids_cte("doc_ids", "doc", "doc_vocab")
 ids_cte("sum_ids", "sum", "sum_vocab")
 ids_cte("txt_sum_ids", "txt", "sum_vocab")
@@ -459,13 +457,13 @@ oracle("exclude_finished", f"""
     SELECT doc_id, {glue('ids[1:40]')} AS seq FROM marked WHERE ids[1:40][-1] <> 3""", "marked")
 
 oracle("token_id_lookup", """
-    SELECT doc_id, pos, word, coalesce(id, 1) AS id FROM sum_words LEFT JOIN sum_vocab ON token = word""",
-    "sum_words", "sum_vocab")
+    SELECT doc_id, pos, word, coalesce(id, 1) AS id FROM txt_words LEFT JOIN sum_vocab ON token = word""",
+    "txt_words", "sum_vocab")
 oracle("id_token_lookup", f"""
     SELECT doc_id, pos, x.id, coalesce(v.token, '<UNK>') AS token FROM (
-        SELECT doc_id, pos, coalesce(id, 1) + CASE WHEN pos % 3 = 2 THEN {SMALL_VOCABULARY} ELSE 0 END AS id
-        FROM sum_words LEFT JOIN sum_vocab ON token = word) x LEFT JOIN sum_vocab v ON v.id = x.id""",
-    "sum_words", "sum_vocab")
+        SELECT doc_id, pos, coalesce(id, 1) + CASE WHEN pos % 3 = 2 THEN {SUMMARY_WORDS} ELSE 0 END AS id
+        FROM txt_words LEFT JOIN sum_vocab ON token = word) x LEFT JOIN sum_vocab v ON v.id = x.id""",
+    "txt_words", "sum_vocab")
 oracle("idf_lookup", f"""
     SELECT d.doc_id, d.word, {r6('coalesce(idf, 0.0::DOUBLE)')} AS idf FROM doc_seen d LEFT JOIN (
         SELECT word, ln((SELECT count(*) FROM benchmark)::DOUBLE / (1 + count(*))) AS idf
@@ -586,8 +584,8 @@ cte("train_pairs", f"""
     "split_pairs")
 token_ctes("trt", "train_pairs", TEXT)
 token_ctes("trs", "train_pairs", SUMMARY)
-vocab_cte("trt_vocab", "trt_freq", 50_000)
-vocab_cte("trs_vocab", "trs_freq", 20_000)
+vocab_cte("trt_vocab", "trt_freq", TEXT_WORDS)
+vocab_cte("trs_vocab", "trs_freq", SUMMARY_WORDS)
 ids_cte("all_txt_ids", "txt", "trt_vocab")
 ids_cte("all_sum_ids", "sum", "trs_vocab")
 _target = padded("([2] || s.ids || [3])", 100)

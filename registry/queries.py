@@ -17,7 +17,7 @@ from precis.operators import salience, splits, statistics, tfidf
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
 from precis.plans import summaries, training_data
-from precis.settings import SUMMARY, TEXT
+from precis.settings import DEFAULTS, SUMMARY, TEXT
 from precis.sources import lines as ln
 from precis.sources import pairs as pr
 from precis.sources.storage import scratch_path
@@ -26,8 +26,9 @@ from registry.tables import documents, joined, pairs, r6, read, turns
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Steps of the decoding queries, and the size of the cut vocabulary.
-STEPS, BEAM, SMALL_VOCABULARY = 8, 5, 2000
+# Sizes as the operators have them by default.
+STEPS, BEAM = DEFAULTS.max_summary_length, DEFAULTS.beam_width
+TEXT_WORDS, SUMMARY_WORDS = DEFAULTS.text_vocabulary, DEFAULTS.summary_vocabulary
 
 
 def query(name: str):
@@ -84,7 +85,7 @@ def _write_split(spark, sf):
 def _vocab_roundtrip(spark, sf):
     path = scratch_path(spark, "vocabulary")
     cleaned = _clean_pairs(pairs(spark, sf))
-    vb.fit_vocabulary(cleaned, SUMMARY, SMALL_VOCABULARY).save(path)
+    vb.fit_vocabulary(cleaned, SUMMARY, SUMMARY_WORDS).save(path)
     loaded = vb.Vocabulary.load(spark, path)
     return encoding.encode(cleaned, SUMMARY, loaded).select("doc_id", joined("ids").alias("ids"))
 
@@ -131,13 +132,13 @@ _on_documents("content_words", lambda d: d.select(
 @query("encode")
 def _encode(spark, sf):
     cleaned = _clean_documents(documents(spark, sf))
-    vocab = vb.fit_vocabulary(cleaned, "clean", SMALL_VOCABULARY)
+    vocab = vb.fit_vocabulary(cleaned, "clean", TEXT_WORDS)
     return encoding.encode(cleaned, "clean", vocab).select("doc_id", joined("ids").alias("ids"))
 
 
 def _encoded_summaries(spark, sf):
     cleaned = _clean_pairs(pairs(spark, sf))
-    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SMALL_VOCABULARY)
+    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SUMMARY_WORDS)
     return encoding.encode(cleaned, SUMMARY, vocab, markers=True), vocab
 
 
@@ -238,24 +239,25 @@ def _exclude_finished(spark, sf):
 # --- joins ------------------------------------------------------------------
 
 
-def _summary_words(spark, sf):
+def _words_and_vocabulary(spark, sf):
+    """Words of the texts, and the vocabulary of the summaries, which lacks many."""
     cleaned = _clean_pairs(pairs(spark, sf))
-    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SMALL_VOCABULARY)
-    return unroll(cleaned, ["doc_id"], tx.tokens(SUMMARY)), vocab
+    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SUMMARY_WORDS)
+    return unroll(cleaned, ["doc_id"], tx.tokens(TEXT)), vocab
 
 
 @query("token_id_lookup")
 def _token_id_lookup(spark, sf):
-    return encoding.token_id_lookup(*_summary_words(spark, sf)).select("doc_id", "pos", "word", "id")
+    return encoding.token_id_lookup(*_words_and_vocabulary(spark, sf)).select("doc_id", "pos", "word", "id")
 
 
 @query("id_token_lookup")
 def _id_token_lookup(spark, sf):
-    words, vocab = _summary_words(spark, sf)
+    words, vocab = _words_and_vocabulary(spark, sf)
     # Every third id is pushed out of the vocabulary to meet the default.
     ids = encoding.token_id_lookup(words, vocab).select(
         "doc_id", "pos",
-        F.when(F.col("pos") % 3 == 2, F.col("id") + SMALL_VOCABULARY).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("pos") % 3 == 2, F.col("id") + SUMMARY_WORDS).otherwise(F.col("id")).alias("id"),
     )
     return encoding.id_token_lookup(ids, vocab).select("doc_id", "pos", "id", "token")
 
@@ -401,7 +403,7 @@ _on_pairs("count_rows", lambda p: splits.count_rows(splits.split_exact(p)))
 @query("vocabulary")
 def _vocabulary(spark, sf):
     freqs = vb.word_freq(_clean_documents(documents(spark, sf)), "clean")
-    return vb.vocabulary(freqs, SMALL_VOCABULARY)
+    return vb.vocabulary(freqs, TEXT_WORDS)
 
 
 _on_documents("top_words", lambda d: vb.top_words(vb.word_freq(_clean_documents(d), "clean")).select(
@@ -461,14 +463,14 @@ def _fit_two_vocabularies(spark, sf):
 @query("encode_for_inference")
 def _encode_for_inference(spark, sf):
     d = documents(spark, sf)
-    vocab = vb.fit_vocabulary(_clean_documents(d), "clean", SMALL_VOCABULARY)
+    vocab = vb.fit_vocabulary(_clean_documents(d), "clean", TEXT_WORDS)
     return training_data.encode_for_inference(d, "text", vocab).select(
         "doc_id", joined("encoder_in").alias("encoder_in"))
 
 
 def _decoder(spark, sf):
     cleaned = _clean_pairs(pairs(spark, sf))
-    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SMALL_VOCABULARY)
+    vocab = vb.fit_vocabulary(cleaned, SUMMARY, SUMMARY_WORDS)
     ids = encoding.encode(cleaned, SUMMARY, vocab, markers=True)
     padded = ids.select("doc_id", sq.pad("ids", 100).alias("s"))
     samples = padded.select(
