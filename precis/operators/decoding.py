@@ -59,31 +59,32 @@ def beam_step(hyps: DataFrame, probs: DataFrame, k: int) -> DataFrame:
     in the beam. Finished hypotheses are carried. Ties keep the order of the
     beam, then the lower id. A sequence without a known continuation stays.
     """
-    return _expand(hyps, top_next(probs, k), k)
+    return _expander(top_next(probs, k), k)(hyps)
 
 
-def _last_open(hyps: DataFrame) -> DataFrame:
-    """Add ``prev``: the last id of a hypothesis that is not finished."""
-    return hyps.withColumn("prev", F.when(~F.col("done"), F.element_at("seq", -1)))
-
-
-def _expand(hyps: DataFrame, top: DataFrame, k: int) -> DataFrame:
-    grown = _last_open(hyps).join(top, "prev", "left")
+def _expander(top: DataFrame, k: int):
+    """One beam step as a function; its expressions are made once for all steps."""
     extended = F.col("next").isNotNull()
-    candidates = grown.select(
-        "doc_id", "hyp_id", "next",
+    gain = F.when(extended, F.log(F.col("p") + TINY)).otherwise(0.0)
+    last_open = F.when(~F.col("done"), F.element_at("seq", -1)).alias("prev")
+    candidate = [
+        F.col("doc_id"), F.col("hyp_id"), F.col("next"),
         F.when(extended, F.concat("seq", F.array("next"))).otherwise(F.col("seq")).alias("seq"),
-        (F.col("score") + F.when(extended, F.log(F.col("p") + TINY)).otherwise(0.0)).alias("score"),
+        (F.col("score") + gain).alias("score"),
         (F.col("done") | ~extended | (F.col("next") == END)).alias("done"),
-    )
+    ]
     order = Window.partitionBy("doc_id").orderBy(
         F.round("score", 10).desc(), F.asc("hyp_id"), F.asc("next")
     )
-    return (
-        candidates.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("doc_id", F.col("rank").alias("hyp_id"), "seq", "score", "done")
-    )
+    rank = F.row_number().over(order).alias("rank")
+    kept = [F.col("doc_id"), F.col("rank").alias("hyp_id"), *map(F.col, ("seq", "score", "done"))]
+    everything, in_beam = F.col("*"), F.col("rank") <= k
+
+    def expand(hyps: DataFrame) -> DataFrame:
+        grown = hyps.select(everything, last_open).join(top, "prev", "left")
+        return grown.select(candidate).select(everything, rank).where(in_beam).select(kept)
+
+    return expand
 
 
 def _advance(hyps: DataFrame, step, max_steps: int, settings: Settings) -> DataFrame:
@@ -227,7 +228,7 @@ class NextTokens:
         """Beam search of width k; the best sequence of each start row."""
         states = _start_states(starts.select(F.element_at("seq", -1).alias("last")))
         top = self._stored(top_next(self.probs, k), settings)
-        beams = _advance(states, lambda hyps: _expand(hyps, top, k), max_steps, settings)
+        beams = _advance(states, _expander(top, k), max_steps, settings)
         best = beams.where("hyp_id = 1").select(
             F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
             "score", "done",

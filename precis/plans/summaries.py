@@ -26,6 +26,7 @@ from precis.operators.tfidf import (
 from precis.operators.vocabulary import Vocabulary
 from precis.settings import DEFAULTS, START, SUMMARY, TEXT, UNK
 from precis.sources.pairs import append_pairs
+from precis.sources.storage import cut_lineage
 
 STRATEGIES = ("extractive", "tfidf", "greedy", "beam_search")
 
@@ -119,7 +120,8 @@ def summarize(
         return tfidf_summary(texts, text, key)
     if decoder is None:
         raise ValueError(f"strategy {strategy} needs a decoder")
-    starts = decoding_starts(texts, text, decoder.vocab, key)
+    # Two ids per text, read by two jobs: stored, so that the texts are read once.
+    starts = cut_lineage(decoding_starts(texts, text, decoder.vocab, key))
     if strategy == "greedy":
         found = decoder.model.greedy(starts, max_steps)
     else:
