@@ -22,6 +22,33 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE o.key IS NOT NULL) AS
 FROM k LEFT JOIN often o ON k.key = o.key GROUP BY doc_id
 """
 
+OP2 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i:i + 1]) END) AS s FROM w
+), classes AS (
+  SELECT min(doc_id) AS c, list(doc_id) AS ids, t, len(t) AS n
+  FROM (SELECT doc_id, list_sort(s) AS t FROM sets WHERE len(s) > 0) GROUP BY t
+), items AS (
+  SELECT c, n, hash(unnest(t)) AS h FROM classes
+), pairs AS (
+  SELECT a.c AS a, b.c AS b FROM items a JOIN items b ON a.h = b.h AND a.c < b.c AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT c AS a, c AS b FROM classes UNION SELECT r.a, p.b FROM reach r JOIN both_ways p ON r.b = p.a
+), root AS (
+  SELECT a AS c, min(b) AS root FROM reach GROUP BY a
+), placed AS (
+  SELECT unnest(ids) AS doc_id, root FROM classes JOIN root USING (c)
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id, doc_id = coalesce(root, doc_id) AS kept
+FROM sets LEFT JOIN placed USING (doc_id)
+"""
+
 OP3 = f"""
 WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 g AS (
@@ -141,6 +168,6 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM draw WHERE n_copies
 """
 
 SQL = {
-    "op1_line_dedup": OP1, "op3_substring_dedup": OP3, "op8_benchmark_decontamination": OP8,
+    "op1_line_dedup": OP1, "op2_near_dedup": OP2, "op3_substring_dedup": OP3, "op8_benchmark_decontamination": OP8,
     "op9_warc_revisits": OP9, "op10_poisson_mixing": OP10,
 }

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from precis.llm import secret_scan as secrets
 from precis.llm.decontamination import decontaminate
 from precis.llm.line_dedup import line_dedup
+from precis.llm.language_id import fit, held_out, label_languages
 from precis.llm.mixing import mix
+from precis.llm.near_dedup import Settings, near_dedup
 from precis.llm.substring_dedup import substring_dedup
 from precis.llm.warc_revisits import captures, resolve_revisits
 
@@ -24,11 +26,21 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), Settings(words=2))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = label_languages(docs, fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_scan(table(spark, sf_dir, "documents"))
 
@@ -63,7 +75,7 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op3_substring_dedup, op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits,
+        op1_line_dedup, op2_near_dedup, op3_substring_dedup, op4_language_id, op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits,
         op10_poisson_mixing,
     )
 }
