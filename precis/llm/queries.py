@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.llm import pii
 from precis.llm import secret_scan as secrets
 from precis.llm.decontamination import decontaminate
 from precis.llm.line_dedup import line_dedup
@@ -14,6 +15,7 @@ from precis.llm.language_id import fit, held_out, label_languages
 from precis.llm.mixing import mix
 from precis.llm.near_dedup import Settings, near_dedup
 from precis.llm.substring_dedup import substring_dedup
+from precis.llm.vector_search import search
 from precis.llm.warc_revisits import captures, resolve_revisits
 
 
@@ -41,6 +43,22 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.fit(docs))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{pii.KINDS[kind]}")
+
+    return found.select(
+        "doc_id", *(count(i) for i in range(len(pii.KINDS))), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.concat("base", "added")).alias("spans"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_scan(table(spark, sf_dir, "documents"))
 
@@ -75,7 +93,7 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op2_near_dedup, op3_substring_dedup, op4_language_id, op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits,
-        op10_poisson_mixing,
+        op1_line_dedup, op2_near_dedup, op3_substring_dedup, op4_language_id, op5_vector_search, op6_pii,
+        op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits, op10_poisson_mixing,
     )
 }
