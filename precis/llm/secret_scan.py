@@ -99,7 +99,8 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
             continue
         if min(map(len, run)) >= 3:
             members = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in run}
-            groups.append(sorted(members, key=sorted))
+            # A member that asks for more than another one adds nothing.
+            groups.append(sorted((m for m in members if not any(o < m for o in members)), key=sorted))
         run = [""] if more is None or len(more) > MOST_STRINGS else more
     return groups
 
