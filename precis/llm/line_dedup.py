@@ -12,24 +12,28 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _digest(line: Column, min_chars: int) -> Column:
-    """128 bits of the line's key; null for a key that is too short."""
-    key = ascii_lower(F.btrim(line, F.lit(BLANKS)))
-    digest = F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
-    return F.when(F.length(key) >= min_chars, digest)
+def _digests(lines: Column, min_chars: int) -> Column:
+    """128 bits of each line's key; null for a key that is too short.
+
+    One pass for each step, as a step that uses its input twice would compute it twice.
+    """
+    bare = F.transform(lines, lambda x: F.btrim(x, F.lit(BLANKS)))
+    keys = F.transform(bare, ascii_lower)
+    return F.transform(keys, lambda k: F.when(
+        F.length(k) >= min_chars, F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(1), k).alias("h2"))))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """Places (from 0) of the lines to drop: k1, k2, places array; only documents that have some."""
-    rows = keyed(docs).select(*KEY, F.transform(_lines(F.col("text")), lambda x: _digest(x, min_chars)).alias("d"))
-    # One row for each key of a document; counts combine before the shuffle, so a
+    rows = keyed(docs).select(*KEY, _digests(_lines(F.col("text")), min_chars).alias("d"))
+    # One row for each key of a document (the outer form computes the array once); counts combine before the shuffle, so a
     # line that is everywhere costs one row for each task.
     frequent = (
-        rows.select(F.explode(F.array_distinct("d")).alias("d")).where("d is not null")
+        rows.select(F.explode_outer(F.array_distinct("d")).alias("d")).where("d is not null")
         .select("d.h1", "d.h2").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_docs).select("h1", "h2")
     )
-    places = rows.select(*KEY, F.posexplode("d").alias("place", "d")).where("d is not null")
+    places = rows.select(*KEY, F.posexplode_outer("d").alias("place", "d")).where("d is not null")
     places = places.select(*KEY, "place", "d.h1", "d.h2")
     # A set, as copies of a row have the same key.
     return places.join(frequent, ["h1", "h2"]).groupBy(*KEY).agg(F.collect_set("place").alias("places"))
