@@ -1,0 +1,8 @@
+"""Text summarisation analytics on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with them, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,8 @@ hostile input (a megabyte of dots, or one unbroken run of characters).
 
 from __future__ import annotations
 
+import string
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,12 +92,20 @@ def clean_light(c: Column | str) -> Column:
     return trim_ws(text)
 
 
-def tokens(c: Column | str) -> Column:
-    """Words between whitespace; an empty or blank text has none."""
+def tokens(c: Column | str, strip_punct: bool = False) -> Column:
+    """Words between whitespace; an empty or blank text has none.
+
+    ``strip_punct`` takes ASCII punctuation off both ends of words, and leaves out
+    words that are nothing else.
+    """
     text = trim_ws(F.coalesce(_col(c), F.lit("")))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
+    words = F.when(text == "", F.array().cast("array<string>")).otherwise(
         F.split(text, f"{WS}+")
     )
+    if not strip_punct:
+        return words
+    bare = F.transform(words, lambda w: F.btrim(w, F.lit(string.punctuation)))
+    return F.filter(bare, lambda w: w != "")
 
 
 def word_count(c: Column | str) -> Column:

@@ -1,25 +1,31 @@
 """Next-token probabilities, greedy and beam decoding.
 
-With a table of P(next | previous) the continuation of a sequence depends on
-its last id alone. Decoding therefore runs once per distinct last id, at most
-one per vocabulary word, and each start row then looks its continuation up:
-the loop never touches the big table.
+The next id depends on the last one by a corpus table P(next | previous), mixed
+with the successors that the text itself has: ``(1 - share) * P + share * P_text``.
+Only ids that follow the last one in the text, and the few best of the corpus, can
+be among the best of the mix, so a text brings its own rows, as many as it has
+words, and the corpus a table bounded by the vocabulary. All steps of a text then
+run in one task, without a join or a checkpoint for each.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from precis.functions.sequences import is_finished
+from precis.functions.sequences import add_markers
 from precis.operators.lookup import Sized, lookup
 from precis.operators.rows import unroll
-from precis.settings import DEFAULTS, END, PAD, Settings
+from precis.settings import DEFAULTS, END, PAD, START, UNK, Settings
 from precis.sources.storage import cut_lineage
 
 TINY = 1e-10
+Options = Callable[[int], list[tuple[int, float]]]
 
 
 def next_token_table(samples: DataFrame) -> DataFrame:
@@ -52,82 +58,84 @@ def top_next(probs: DataFrame, k: int) -> DataFrame:
     return probs.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
 
 
-def beam_step(hyps: DataFrame, probs: DataFrame, k: int) -> DataFrame:
+def beam_step(hyps: DataFrame, probs: DataFrame, k: int, settings: Settings = DEFAULTS) -> DataFrame:
     """Expand every open hypothesis by its k best ids, keep k per document.
 
     ``hyps`` is ``(doc_id, hyp_id, seq, score, done)``; ``hyp_id`` is the rank
     in the beam. Finished hypotheses are carried. Ties keep the order of the
     beam, then the lower id. A sequence without a known continuation stays.
     """
-    return _expander(top_next(probs, k), k)(hyps)
-
-
-def _expander(top: DataFrame, k: int):
-    """One beam step as a function; its expressions are made once for all steps."""
-    extended = F.col("next").isNotNull()
-    gain = F.when(extended, F.log(F.col("p") + TINY)).otherwise(0.0)
+    # One row for each id, so that an id that many hypotheses end in is a hot key
+    # of the lookup like any other; its weight is how often rows would meet it.
+    choices = Sized.store(
+        top_next(probs, k).groupBy("prev").agg(F.collect_list(F.struct("next", "p")).alias("choices")), "prev")
     last_open = F.when(~F.col("done"), F.element_at("seq", -1)).alias("prev")
-    candidate = [
-        F.col("doc_id"), F.col("hyp_id"), F.col("next"),
-        F.when(extended, F.concat("seq", F.array("next"))).otherwise(F.col("seq")).alias("seq"),
-        (F.col("score") + gain).alias("score"),
-        (F.col("done") | ~extended | (F.col("next") == END)).alias("done"),
-    ]
-    order = Window.partitionBy("doc_id").orderBy(
-        F.round("score", 10).desc(), F.asc("hyp_id"), F.asc("next")
-    )
-    rank = F.row_number().over(order).alias("rank")
-    kept = [F.col("doc_id"), F.col("rank").alias("hyp_id"), *map(F.col, ("seq", "score", "done"))]
-    everything, in_beam = F.col("*"), F.col("rank") <= k
-
-    def expand(hyps: DataFrame) -> DataFrame:
-        grown = hyps.select(everything, last_open).join(top, "prev", "left")
-        return grown.select(candidate).select(everything, rank).where(in_beam).select(kept)
-
-    return expand
-
-
-def _advance(hyps: DataFrame, step, max_steps: int, settings: Settings) -> DataFrame:
-    """Repeat ``step`` until everything is done, cutting the lineage at times."""
-    for i in range(1, max_steps + 1):
-        hyps = step(hyps)
-        if i % settings.checkpoint_every == 0 and i < max_steps:
-            hyps = cut_lineage(hyps)
-            if hyps.where(~F.col("done")).isEmpty():
-                break
-    return hyps
-
-
-def _start_states(last_ids: DataFrame) -> DataFrame:
-    """One row per distinct last id, with that id as the sequence."""
-    return last_ids.distinct().select(
-        F.col("last").alias("doc_id"),
-        F.lit(1).alias("hyp_id"),
-        F.array("last").alias("seq"),
-        F.lit(0.0).alias("score"),
-        is_finished(F.array("last")).alias("done"),
+    weight = F.when(F.col("prev") == START, 2).otherwise(1)
+    found = lookup(hyps.select("*", last_open), choices, weight, settings)
+    grown = found.select("*", F.explode_outer("choices").alias("choice"))
+    step, extended = F.col("choice.next"), F.col("choice").isNotNull()
+    candidates = grown.select(
+        "doc_id", "hyp_id", step.alias("next"),
+        F.when(extended, F.concat("seq", F.array(step))).otherwise(F.col("seq")).alias("seq"),
+        (F.col("score") + F.when(extended, F.log(F.col("choice.p") + TINY)).otherwise(0.0)).alias("score"),
+        (F.col("done") | ~extended | F.coalesce(step == END, F.lit(False))).alias("done"),
     )
+    order = Window.partitionBy("doc_id").orderBy(F.round("score", 10).desc(), "hyp_id", "next")
+    ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("doc_id", F.col("rank").alias("hyp_id"), "seq", "score", "done")
 
 
-def _continue(paths: DataFrame, more: DataFrame) -> DataFrame:
-    """Lengthen every unfinished path by the path from its last id.
+def text_successors(texts: DataFrame, probs: DataFrame, share: float = DEFAULTS.text_share) -> DataFrame:
+    """``(doc_id, own)``: for every two ids that follow each other in a text their mixed probability.
 
-    Both are ``(id, tail, score, done)``, at most one row per vocabulary word.
+    ``texts`` is ``(doc_id, ids)`` with unique keys, ids of the whole text; START and END
+    are put around them. An unknown word follows nothing. Counts combine before
+    the shuffle; a pair of ids that is frequent in the corpus is one row for each text.
     """
-    reached = F.coalesce(F.try_element_at("tail", F.lit(-1)), F.col("id"))
-    open_paths = paths.withColumn("reached", F.when(~F.col("done"), reached))
-    rest = more.select(
-        F.col("id").alias("reached"), F.col("tail").alias("more"),
-        F.col("score").alias("gain"), F.col("done").alias("ended"),
-    )
-    found = F.col("more").isNotNull()
-    return open_paths.join(rest, "reached", "left").select(
-        "id",
-        F.when(found, F.concat("tail", "more")).otherwise(F.col("tail")).alias("tail"),
-        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"),
-        # An id that nothing is known to follow ends its path.
-        F.coalesce("ended", F.lit(True)).alias("done"),
-    )
+    marked = texts.select("doc_id", add_markers("ids").alias("ids"))
+    steps = marked.select("doc_id", F.explode_outer(F.arrays_zip(
+        F.slice("ids", 1, F.size("ids") - 1).alias("prev"), F.slice("ids", 2, F.size("ids") - 1).alias("next"))).alias("s"))
+    pairs = steps.select("doc_id", "s.prev", "s.next").where(F.col("next") != UNK)
+    counts = pairs.groupBy("doc_id", "prev", "next").agg(F.count("*").alias("c"))
+    total = F.sum("c").over(Window.partitionBy("doc_id", "prev"))
+    mine = counts.withColumn("mine", F.col("c").cast("double") / total)
+    known = mine.join(probs, ["prev", "next"], "left")
+    p = (1 - share) * F.coalesce("p", F.lit(0.0)) + share * F.col("mine")
+    return known.groupBy("doc_id").agg(
+        F.collect_list(F.struct("prev", "next", p.alias("p"))).alias("own"))
+
+
+def greedy_path(options: Options, max_steps: int) -> tuple[list[int], float, bool]:
+    """Most likely next id until END, which is not appended; of equals the lowest id."""
+    seq, score = [START], 0.0
+    for _ in range(max_steps):
+        found = options(seq[-1])
+        if not found:
+            return seq, score, True
+        step, p = min(found, key=lambda o: (-o[1], o[0]))
+        score += math.log(p + TINY)
+        if step == END:
+            return seq, score, True
+        seq.append(step)
+    return seq, score, False
+
+
+def beam_path(options: Options, k: int, max_steps: int) -> tuple[list[int], float, bool]:
+    """The best of k hypotheses kept at each step; ties as in ``beam_step``."""
+    beam = [([START], 0.0, False)]
+    for _ in range(max_steps):
+        grown = []
+        for place, (seq, score, done) in enumerate(beam):
+            found = [] if done else sorted(options(seq[-1]), key=lambda o: (-o[1], -o[0]))[:k]
+            if not found:
+                grown.append((-round(score, 10), place, -1, seq, score, True))
+            for step, p in found:
+                more = score + math.log(p + TINY)
+                grown.append((-round(more, 10), place, step, [*seq, step], more, step == END))
+        beam = [g[3:] for g in sorted(grown, key=lambda g: g[:3])[:k]]
+        if all(done for *_, done in beam):
+            break
+    return beam[0]
 
 
 @dataclass(frozen=True)
@@ -135,42 +143,22 @@ class NextTokens:
     """A stored next-token table: the stand-in for a trained decoder."""
 
     probs: DataFrame
-    n_rows: int
 
     @staticmethod
     def fit(samples: DataFrame) -> "NextTokens":
-        stored = cut_lineage(next_token_table(samples))
-        return NextTokens(stored, stored.count())
-
-    def _stored(self, choices: DataFrame, settings: Settings) -> DataFrame:
-        """Choices made once for all steps, and sent to all tasks if few."""
-        stored = cut_lineage(choices)
-        return F.broadcast(stored) if self.n_rows <= settings.broadcast_rows else stored
-
-    def _finish(self, starts: DataFrame, paths: DataFrame, settings: Settings) -> DataFrame:
-        """Give every start row the path ``(last, tail, score, done)`` of its last id."""
-        stored = cut_lineage(paths)
-        n_rows, n_ids = stored.agg(
-            F.count("*"), F.coalesce(F.sum(F.size("tail")), F.lit(0))
-        ).first()
-        continued = Sized(stored, "last", n_rows, n_rows * 64 + n_ids * 4)
-        begun = starts.withColumn("last", F.element_at("seq", -1))
-        joined = lookup(begun, continued, F.lit(1), settings)
-        return joined.select(
-            "doc_id", F.concat("seq", F.coalesce("tail", F.array().cast("array<int>"))).alias("seq"),
-            F.coalesce("score", F.lit(0.0)).alias("score"), "done",
-        )
+        return NextTokens(cut_lineage(next_token_table(samples)))
 
     def predict(self, samples: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         """``(doc_id, predicted)``: the most likely next id at every position.
 
-        Positions without a known continuation, padding above all, get PAD.
+        Positions without a known continuation, padding above all, get PAD. The
+        table looked up has one row for each id of the vocabulary.
         """
         rows = unroll(samples.select("doc_id", "decoder_in").repartition("doc_id"),
                       ["doc_id"], "decoder_in", item="prev", keep_empty=True)
-        best = self._stored(best_next(self.probs).drop("p"), settings)
+        best = Sized.store(best_next(self.probs).drop("p"), "prev")
         return (
-            rows.join(best, "prev", "left")
+            lookup(rows, best, F.lit(1), settings)
             .groupBy("doc_id")
             .agg(
                 F.sort_array(
@@ -187,50 +175,46 @@ class NextTokens:
 
     def greedy(
         self,
-        starts: DataFrame,
+        texts: DataFrame,
         max_steps: int = DEFAULTS.max_summary_length,
-        settings: Settings = DEFAULTS,
+        share: float = DEFAULTS.text_share,
     ) -> DataFrame:
-        """Most likely next id until END; END itself is not appended.
-
-        ``starts`` is ``(doc_id, seq)``; result ``(doc_id, seq, score, done)``.
-        The next id is a function of the last one, so two paths of k steps make
-        one of 2k: the number of joins is that of the binary digits of
-        ``max_steps``, not the number of steps.
-        """
-        ends = F.col("next") == END
-        power = best_next(self.probs).where(F.col("prev") != END).select(
-            F.col("prev").alias("id"),
-            F.when(ends, F.array().cast("array<int>")).otherwise(F.array("next")).alias("tail"),
-            F.log(F.col("p") + TINY).alias("score"),
-            ends.alias("done"),
-        )
-        paths = starts.select(F.element_at("seq", -1).alias("id")).distinct().select(
-            "id",
-            F.array().cast("array<int>").alias("tail"),
-            F.lit(0.0).alias("score"),
-            is_finished(F.array("id")).alias("done"),
-        )
-        for digit in reversed(f"{max_steps:b}"):
-            power = cut_lineage(power)
-            if digit == "1":
-                paths = _continue(paths, power)
-            power = _continue(power, power)
-        return self._finish(starts, paths.withColumnRenamed("id", "last"), settings)
+        """Greedy decoding of whole encoded texts ``(doc_id, ids)``: ``(doc_id, seq, score, done)``."""
+        return self._decode(texts, best_next(self.probs), share, lambda o: greedy_path(o, max_steps))
 
     def beam_search(
         self,
-        starts: DataFrame,
+        texts: DataFrame,
         k: int = DEFAULTS.beam_width,
         max_steps: int = DEFAULTS.max_summary_length,
-        settings: Settings = DEFAULTS,
+        share: float = DEFAULTS.text_share,
     ) -> DataFrame:
-        """Beam search of width k; the best sequence of each start row."""
-        states = _start_states(starts.select(F.element_at("seq", -1).alias("last")))
-        top = self._stored(top_next(self.probs, k), settings)
-        beams = _advance(states, _expander(top, k), max_steps, settings)
-        best = beams.where("hyp_id = 1").select(
-            F.col("doc_id").alias("last"), F.slice("seq", 2, F.size("seq")).alias("tail"),
-            "score", "done",
-        )
-        return self._finish(starts, best, settings)
+        """Beam search of width k for whole encoded texts; the best sequence of each."""
+        return self._decode(texts, top_next(self.probs, k), share, lambda o: beam_path(o, k, max_steps))
+
+    def _decode(self, texts: DataFrame, corpus: DataFrame, share: float, path) -> DataFrame:
+        # At most k rows for each word of the vocabulary, whatever the corpus.
+        best: dict[int, list[tuple[int, float]]] = {}
+        for r in corpus.toLocalIterator():
+            best.setdefault(r.prev, []).append((r.next, (1 - share) * r.p))
+        sent = texts.sparkSession.sparkContext.broadcast(best)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            common = sent.value
+            for batch in batches:
+                out = []
+                for key, own in zip(batch["doc_id"], batch["own"]):
+                    mine: dict[int, dict[int, float]] = {}
+                    for s in own if own is not None else []:
+                        mine.setdefault(s["prev"], {})[s["next"]] = s["p"]
+
+                    def options(last: int, mine=mine) -> list[tuple[int, float]]:
+                        # A text's own row has the corpus in it already.
+                        return list((dict(common.get(last, [])) | mine.get(last, {})).items())
+
+                    out.append((key, *path(options)))
+                yield pd.DataFrame(out, columns=["doc_id", "seq", "score", "done"])
+
+        key = next(f.dataType.simpleString() for f in texts.schema if f.name == "doc_id")
+        return text_successors(texts, self.probs, share).mapInPandas(
+            run, f"doc_id {key}, seq array<int>, score double, done boolean")

@@ -10,7 +10,7 @@ from precis.functions.text import tokens
 from precis.operators.lookup import lookup
 from precis.operators.rows import unroll
 from precis.operators.vocabulary import Vocabulary
-from precis.settings import DEFAULTS, END, PAD, SPECIAL_TOKENS, START, UNK, Settings
+from precis.settings import DEFAULTS, END, PAD, START, UNK, Settings
 
 
 def token_id_lookup(
@@ -29,8 +29,10 @@ def id_token_lookup(
     rows: DataFrame, vocab: Vocabulary, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Add ``token`` to rows that have an ``id``; unknown ids get ``<UNK>``."""
-    found = lookup(rows, vocab.by_id(), F.col("freq"), settings)
-    return found.withColumn("token", F.coalesce("token", F.lit(SPECIAL_TOKENS[UNK]))).drop("freq")
+    # The specials have no count, yet padding and unknown words are the most frequent ids.
+    weight = F.when(F.col("id") < len(settings.special_tokens), F.lit(2**62)).otherwise(F.col("freq"))
+    found = lookup(rows, vocab.by_id(), weight, settings)
+    return found.withColumn("token", F.coalesce("token", F.lit(settings.special_tokens[UNK]))).drop("freq")
 
 
 def encode(

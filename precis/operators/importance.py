@@ -22,7 +22,11 @@ from precis.operators.rows import unroll
 
 
 def fragment_lists(
-    texts: DataFrame, text: str = "text", key: str = "doc_id", colocated: bool = False
+    texts: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    colocated: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(doc_id, fragments)`` laid out by ``doc_id``; the key must be unique.
 
@@ -31,7 +35,7 @@ def fragment_lists(
     said here, all branches stay alike and share one exchange.
     """
     lists = texts.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("doc_id"), split_fragments(clean_light(text)).alias("fragments")
+        F.col(key).alias("doc_id"), split_fragments(clean_light(text)).alias("fragments"), *carry
     )
     return lists if colocated else lists.repartition("doc_id")
 
@@ -145,6 +149,19 @@ def drop_stopwords(words: DataFrame) -> DataFrame:
     return words.where(is_content(F.col("word")))
 
 
-def keep_important(words: DataFrame, important: DataFrame) -> DataFrame:
-    """Rows whose word is one of the document's important words."""
-    return words.join(important.select("doc_id", "word"), ["doc_id", "word"], "left_semi")
+def keep_important(rows: DataFrame) -> DataFrame:
+    """``(doc_id, idx, pos, word)`` of words that are important in their document.
+
+    The windows of ``fragment_importance`` rank the words where they lie, so
+    nothing is joined or shuffled beyond the layout by document.
+    """
+    words = drop_stopwords(long_word_rows(rows)).withColumn("place", _place())
+    of_word, of_doc = Window.partitionBy("doc_id", "word"), Window.partitionBy("doc_id")
+    ranked = (
+        words.withColumn("freq", F.count("*").over(of_word))
+        .withColumn("first_place", F.min("place").over(of_word))
+        .withColumn("n_distinct", F.count_if(F.col("place") == F.col("first_place")).over(of_doc))
+        .withColumn("rank", F.dense_rank().over(of_doc.orderBy(F.desc("freq"), "first_place")))
+    )
+    important = F.col("rank") <= F.greatest(F.lit(5), F.floor(F.col("n_distinct") / 5))
+    return ranked.where(important).select("doc_id", "idx", "pos", "word")

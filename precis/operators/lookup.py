@@ -48,7 +48,7 @@ def hot_keys(
     The running sum goes over at most ``hot_rows`` rows.
     """
     weighed = table.withColumn("_weight", weight)
-    top = weighed.orderBy(F.desc("_weight"), key).limit(settings.hot_rows)
+    top = weighed.where(F.col(key).isNotNull()).orderBy(F.desc("_weight"), key).limit(settings.hot_rows)
     running = F.sum(F.octet_length(F.col(key).cast("string")) + ROW_BYTES).over(
         Window.orderBy(F.desc("_weight"), key).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -66,12 +66,26 @@ def lookup(
 
     A table of small measured size is broadcast. From a larger one only the
     heaviest keys are: word counts are so uneven that a few thousand words make
-    up most rows, which then stay where they lie. The rows of the other keys
-    are shuffled, and none of these keys is heavy.
+    up most rows. One join with the whole table follows, for which the rows that
+    are settled already, or have no key, travel by a hash of the row instead of
+    the key, so no key is heavy and ``rows`` is read once. Columns named ``_hot``,
+    ``_all`` and ``_salt`` are used inside.
     """
     if sized.is_small(settings):
         return rows.join(F.broadcast(sized.table), sized.key, "left")
-    hot = F.broadcast(hot_keys(sized.table, sized.key, weight, settings))
-    near = rows.join(hot, sized.key)
-    far = rows.join(hot.select(sized.key), sized.key, "left_anti")
-    return near.unionByName(far.join(sized.table, sized.key, "left"))
+    key, names = sized.key, [c for c in sized.table.columns if c != sized.key]
+    payload = F.struct(*names)
+    hot = hot_keys(sized.table, key, weight, settings).select(key, payload.alias("_hot"))
+    near = rows.join(F.broadcast(hot), key, "left")
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    own = near.select(
+        F.when(~settled, F.col(key)).alias("_key"),
+        F.when(settled, F.xxhash64(*rows.columns)).otherwise(0).alias("_salt"),
+        "*",
+    )
+    whole = sized.table.select(
+        F.col(key).alias("_key"), F.lit(0).cast("long").alias("_salt"), payload.alias("_all"))
+    found = F.coalesce("_hot", "_all")
+    columns = [F.col(c) for c in near.columns if c != "_hot"]
+    return own.join(whole, ["_key", "_salt"], "left").select(
+        *columns, *(found.getField(n).alias(n) for n in names))

@@ -1,4 +1,4 @@
-"""Tables of rows out of tables of arrays, and the layout of small inputs."""
+"""Tables of rows out of tables of arrays."""
 
 from __future__ import annotations
 
@@ -24,15 +24,3 @@ def unroll(
     """
     rows = df.select(*keep, F.posexplode_outer(values).alias(pos, item))
     return rows if keep_empty else rows.where(F.col(pos).isNotNull())
-
-
-def spread_small(df: DataFrame, split_bytes: int = 4 * 1024 * 1024) -> DataFrame:
-    """Spread a table of few input splits over all cores.
-
-    A small file is often a single row group and would be read, and all its
-    texts parsed, by one task. Tables with at least one split's worth of data
-    per core are left as they lie, so nothing large is ever shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split_bytes else df

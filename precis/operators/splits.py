@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from precis.settings import DEFAULTS
 
 TRAIN, VALIDATION = "train", "validation"
+# Times that digests are counted by four more digits.
+LEVELS = 3
 
 
 def row_digest(key: str, seed: int) -> Column:
@@ -30,25 +32,31 @@ def split_exact(
     """Add ``split``: exactly ``round(fraction * rows)`` rows are ``chosen``.
 
     The rows with the smallest digests are chosen. Digests are counted by their
-    first four digits, at most 65,536 groups; the running total names the one
-    group in which the parts meet, and only its rows are ranked. The split is
-    then a comparison inside each row, so the table is never sorted, gathered
-    or shuffled. Keys must be unique.
+    first four digits, at most 65,536 groups, and the running total names the one
+    group in which the parts meet; that group is counted again by the next four
+    digits, three times in all. What is left to rank is a share of 1 / 2**48 of the
+    rows. The split is then a comparison inside each row, so the table is never
+    sorted, gathered or shuffled. Keys must be unique. The key is read once for
+    each level: store the table before if it is expensive to make.
     """
     digests = df.select(row_digest(key, seed).alias("digest"))
-    prefix = F.substring("digest", 1, 4)
-    counts = digests.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    # Two windows in one task, over the groups, not the rows.
-    wanted = F.bround(F.lit(fraction) * F.sum("n").over(Window.partitionBy()), 0).cast("long")
-    totals = counts.withColumn("upto", F.sum("n").over(running)).withColumn("wanted", wanted)
-    before = F.col("upto") - F.col("n")
-    border = totals.where((before < F.col("wanted")) & (F.col("upto") >= F.col("wanted"))).agg(
-        F.max("prefix").alias("prefix"), F.max(F.col("wanted") - before).alias("place")
-    )
-    near = digests.where(prefix == border.select("prefix").scalar())
+    near, place = digests, None
+    for level in range(LEVELS):
+        prefix = F.substring("digest", 1, 4 * (level + 1))
+        counts = near.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+        # Windows in one task, over the groups, not the rows.
+        running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+        if place is None:
+            place = F.bround(F.lit(fraction) * F.sum("n").over(Window.partitionBy()), 0).cast("long")
+        totals = counts.withColumn("upto", F.sum("n").over(running)).withColumn("wanted", place)
+        before = F.col("upto") - F.col("n")
+        border = totals.where((before < F.col("wanted")) & (F.col("upto") >= F.col("wanted"))).agg(
+            F.max("prefix").alias("prefix"), F.max(F.col("wanted") - before).alias("place")
+        )
+        near = near.where(prefix == border.select("prefix").scalar())
+        place = border.select("place").scalar()
     ranked = near.withColumn("place", F.row_number().over(Window.orderBy("digest")))
-    last = ranked.where(F.col("place") <= border.select("place").scalar()).agg(F.max("digest"))
+    last = ranked.where(F.col("place") <= place).agg(F.max("digest"))
     return df.withColumn("split", _part(row_digest(key, seed) <= last.scalar(), chosen, rest))
 
 

@@ -15,8 +15,14 @@ from precis.settings import DEFAULTS, SPECIAL_TOKENS
 FIRST = ("first_batch", "first_doc", "first_rank")
 
 
-def word_freq(texts: DataFrame, text: str, key: str = "doc_id", batch: int = 0) -> DataFrame:
-    """Corpus word counts with the place of first occurrence.
+def word_freq(
+    texts: DataFrame,
+    text: str,
+    key: str = "doc_id",
+    batch: int = 0,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """Corpus word counts with the place of first occurrence, apart for each ``by``.
 
     The place is ``(first_batch, first_doc, first_rank)``, the rank being that
     among the distinct words of the document. Distinct words are put before
@@ -24,14 +30,14 @@ def word_freq(texts: DataFrame, text: str, key: str = "doc_id", batch: int = 0)
     So every aggregate is a primitive with map-side combine, and frequent
     words shrink to one row per task before the shuffle.
     """
-    words = texts.select(F.col(key).alias("doc"), tokens(text).alias("words"))
-    both = words.select("doc", "words", F.array_distinct("words").alias("distinct")).select(
-        "doc", F.size("distinct").alias("n"), F.concat("distinct", "words").alias("both")
+    words = texts.select(*by, F.col(key).alias("doc"), tokens(text).alias("words"))
+    both = words.select(*by, "doc", "words", F.array_distinct("words").alias("distinct")).select(
+        *by, "doc", F.size("distinct").alias("n"), F.concat("distinct", "words").alias("both")
     )
-    rows = unroll(both, ["doc", "n"], "both", pos="at")
+    rows = unroll(both, [*by, "doc", "n"], "both", pos="at")
     place = F.col("at") < F.col("n")
     doc = F.when(place, F.col("doc"))
-    return rows.groupBy("word").agg(
+    return rows.groupBy(*by, "word").agg(
         F.count_if(~place).alias("freq"),
         F.lit(batch).alias("first_batch"),
         F.min(doc).alias("first_doc"),
@@ -57,28 +63,30 @@ def top_words(freqs: DataFrame, n: int = DEFAULTS.top_words) -> DataFrame:
     return freqs.orderBy(*_by_rank()).limit(n)
 
 
-def vocabulary(freqs: DataFrame, capacity: int) -> DataFrame:
+def vocabulary(
+    freqs: DataFrame, capacity: int, specials: tuple[str, ...] = SPECIAL_TOKENS
+) -> DataFrame:
     """The most frequent words as ``(token, id, freq)``, four specials first.
 
     Ties go to the word that occurs first. A word spelled like a special token
     never takes a second id.
     """
-    n_special = len(SPECIAL_TOKENS)
+    n_special = len(specials)
     if capacity < n_special:
         raise ValueError(f"a vocabulary needs room for {n_special} special tokens")
     words = (
-        freqs.where(~F.col("word").isin(*SPECIAL_TOKENS))
+        freqs.where(~F.col("word").isin(*specials))
         .orderBy(*_by_rank())
         .limit(capacity - n_special)
         # One task, over no more rows than the vocabulary has.
         .withColumn("id", F.row_number().over(Window.orderBy(*_by_rank())) + n_special - 1)
         .select(F.col("word").alias("token"), "id", "freq")
     )
-    specials = freqs.sparkSession.createDataFrame(
-        [(token, i, 0) for i, token in enumerate(SPECIAL_TOKENS)],
+    first = freqs.sparkSession.createDataFrame(
+        [(token, i, 0) for i, token in enumerate(specials)],
         "token string, id int, freq long",
     )
-    return specials.unionByName(words)
+    return first.unionByName(words)
 
 
 @dataclass(frozen=True)
@@ -104,8 +112,12 @@ class Vocabulary:
 
 
 def fit_vocabulary(
-    texts: DataFrame, text: str, capacity: int, key: str = "doc_id"
+    texts: DataFrame,
+    text: str,
+    capacity: int,
+    key: str = "doc_id",
+    specials: tuple[str, ...] = SPECIAL_TOKENS,
 ) -> Vocabulary:
     """Count, rank and store; the corpus is read once, whatever follows."""
-    ranked = vocabulary(word_freq(texts, text, key), capacity)
+    ranked = vocabulary(word_freq(texts, text, key), capacity, specials)
     return Vocabulary(Sized.store(ranked, "token"))

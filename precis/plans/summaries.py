@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.metrics import compression_ratio
-from precis.functions.text import clean_text, join_fragments, tokens, word_count
+from precis.functions.text import clean_text, join_fragments, word_count
 from precis.operators.decoding import NextTokens
-from precis.operators.encoding import decode, token_id_lookup
+from precis.operators.encoding import decode, encode
 from precis.operators.filters import min_words_filter
 from precis.operators.importance import fragment_importance, fragment_lists, fragment_rows
 from precis.operators.ranking import rank_then_restore
-from precis.operators.rows import unroll
 from precis.operators.tfidf import (
     fit_idf,
     sentence_lists,
@@ -24,36 +23,39 @@ from precis.operators.tfidf import (
     word_lists,
 )
 from precis.operators.vocabulary import Vocabulary
-from precis.settings import DEFAULTS, START, SUMMARY, TEXT, UNK
+from precis.settings import DEFAULTS, SUMMARY, TEXT
 from precis.sources.pairs import append_pairs
-from precis.sources.storage import cut_lineage
 
 STRATEGIES = ("extractive", "tfidf", "greedy", "beam_search")
 
 
 def extractive_summary(
-    texts: DataFrame, text: str = "text", key: str = "doc_id", colocated: bool = False
+    texts: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    colocated: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, summary, n_fragments, n_kept)`` of every text.
+    """``(doc_id, summary, n_fragments, n_kept)`` of every text, and the columns of ``carry``.
 
     One shuffle in all: fragments travel by ``doc_id`` once, and both the
-    scoring and the final assembly read that same exchange.
+    scoring and the final assembly read that same exchange. Carried columns
+    travel with the fragments, in an exchange of their own beside that of the scoring.
     """
-    lists = fragment_lists(texts, text, key, colocated)
+    lists = fragment_lists(texts, text, key, colocated, carry)
     kept = rank_then_restore(fragment_importance(fragment_rows(lists)))
-    # The kept positions are far smaller than the texts: hash them, so that
-    # the texts need not be sorted.
-    joined = lists.join(kept.hint("shuffle_hash"), "doc_id", "left")
+    joined = lists.join(kept, "doc_id", "left")
     n = F.size("fragments")
     fragments, positions = F.col("fragments"), F.col("kept")
     chosen = F.when(n <= 2, fragments).otherwise(
         F.transform(positions, lambda i: F.get(fragments, i))
     )
-    return joined.select("doc_id", n.alias("n_fragments"), chosen.alias("chosen")).select(
+    return joined.select("doc_id", n.alias("n_fragments"), chosen.alias("chosen"), *carry).select(
         "doc_id",
         join_fragments("chosen", "n_fragments").alias("summary"),
         "n_fragments",
         F.size("chosen").alias("n_kept"),
+        *carry,
     )
 
 
@@ -69,9 +71,7 @@ def tfidf_summary(
     kept = best.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "idx"))).alias("kept")
     )
-    # A few positions per text; hashing them leaves the texts unsorted.
-    lists = sentence_lists(texts, text, key)
-    joined = lists.join(kept.hint("shuffle_hash"), "doc_id", "left")
+    joined = sentence_lists(texts, text, key).join(kept, "doc_id", "left")
     chosen = F.coalesce(
         F.transform(F.col("kept").getField("idx"), lambda i: F.get(F.col("sentences"), i)),
         F.array().cast("array<string>"),
@@ -89,19 +89,6 @@ class Decoder:
     model: NextTokens
 
 
-def decoding_starts(texts: DataFrame, text: str, vocab: Vocabulary, key: str) -> DataFrame:
-    """``(doc_id, seq)``: START and the first word of the text the vocabulary knows."""
-    words = texts.select(F.col(key).alias("doc_id"), tokens(clean_text(text)).alias("words"))
-    rows = token_id_lookup(unroll(words, ["doc_id"], "words", keep_empty=True), vocab)
-    known = F.when(F.col("id") != UNK, F.col("pos"))
-    # One row per text and task goes into the shuffle.
-    first = rows.groupBy("doc_id").agg(F.min_by("id", known).alias("first"))
-    seq = F.when(F.col("first").isNull(), F.array(F.lit(START))).otherwise(
-        F.array(F.lit(START), F.col("first"))
-    )
-    return first.select("doc_id", seq.alias("seq"))
-
-
 def summarize(
     texts: DataFrame,
     strategy: str = "extractive",
@@ -120,25 +107,24 @@ def summarize(
         return tfidf_summary(texts, text, key)
     if decoder is None:
         raise ValueError(f"strategy {strategy} needs a decoder")
-    # Two ids per text, read by two jobs: stored, so that the texts are read once.
-    starts = cut_lineage(decoding_starts(texts, text, decoder.vocab, key))
+    cleaned = texts.select(F.col(key).alias("doc_id"), clean_text(text).alias("clean"))
+    ids = encode(cleaned, "clean", decoder.vocab)
     if strategy == "greedy":
-        found = decoder.model.greedy(starts, max_steps)
+        found = decoder.model.greedy(ids, max_steps)
     else:
-        found = decoder.model.beam_search(starts, beam_width, max_steps)
+        found = decoder.model.beam_search(ids, beam_width, max_steps)
     return decode(found, "seq", decoder.vocab, out="summary")
 
 
 def summary_log(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Texts of enough words with summary, both word counts and percent."""
-    long_enough = min_words_filter(texts.select(F.col(key).alias("doc_id"), text), text)
-    summaries = extractive_summary(long_enough, text).select("doc_id", "summary")
-    joined = long_enough.join(summaries, "doc_id")
-    return joined.select(
-        "doc_id", F.col(text).alias(TEXT), F.col("summary").alias(SUMMARY),
-        word_count(text).alias("text_words"),
+    named = texts.select(F.col(key).alias("doc_id"), F.col(text).alias(TEXT))
+    found = extractive_summary(min_words_filter(named, TEXT), TEXT, carry=(TEXT,))
+    return found.select(
+        "doc_id", TEXT, F.col("summary").alias(SUMMARY),
+        word_count(TEXT).alias("text_words"),
         word_count("summary").alias("summary_words"),
-        (compression_ratio(text, "summary") * 100).alias("percent"),
+        (compression_ratio(TEXT, "summary") * 100).alias("percent"),
     )
 
 

@@ -13,8 +13,9 @@ from precis.operators.encoding import encode
 from precis.operators.lookup import Sized, lookup
 from precis.operators.rows import unroll
 from precis.operators.splits import TRAIN
-from precis.operators.vocabulary import Vocabulary, fit_vocabulary
+from precis.operators.vocabulary import Vocabulary, vocabulary, word_freq
 from precis.settings import DEFAULTS, SUMMARY, TEXT, UNK, Settings
+from precis.sources.storage import cut_lineage
 
 
 def fit_two_vocabularies(
@@ -22,13 +23,18 @@ def fit_two_vocabularies(
 ) -> tuple[Vocabulary, Vocabulary]:
     """Text and summary vocabulary, from the training rows only."""
     train = pairs.where(F.col("split") == TRAIN) if "split" in pairs.columns else pairs
-    cleaned = train.select(
-        "doc_id", clean_text(TEXT).alias(TEXT), clean_text(SUMMARY).alias(SUMMARY)
-    )
-    return (
-        fit_vocabulary(cleaned, TEXT, settings.text_vocabulary),
-        fit_vocabulary(cleaned, SUMMARY, settings.summary_vocabulary),
+    # Both sides are counted in one pass over the pairs, and the counts stored once.
+    sides = train.select("doc_id", F.inline(F.array(
+        F.struct(F.lit(0).alias("side"), clean_text(TEXT).alias("clean")),
+        F.struct(F.lit(1).alias("side"), clean_text(SUMMARY).alias("clean")),
+    )))
+    counts = cut_lineage(word_freq(sides, "clean", by=("side",)))
+    text, summary = (
+        Vocabulary(Sized.store(vocabulary(
+            counts.where(F.col("side") == side).drop("side"), capacity, settings.special_tokens), "token"))
+        for side, capacity in ((0, settings.text_vocabulary), (1, settings.summary_vocabulary))
     )
+    return text, summary
 
 
 def prepare_seq2seq(

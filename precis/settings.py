@@ -20,7 +20,6 @@ class Settings:
     # Lengths and vocabulary sizes.
     max_text_length: int = 500
     max_summary_length: int = 100
-    max_sentence_length: int = 50
     text_vocabulary: int = 50_000
     summary_vocabulary: int = 20_000
     sentences_to_extract: int = 5
@@ -40,8 +39,9 @@ class Settings:
     # Beyond them only this many of the most frequent keys are broadcast, cut to
     # the same number of bytes, so that the broadcast has a proven size.
     hot_rows: int = 10_000
-    # Decoding loops cut their lineage every so many steps.
-    checkpoint_every: int = 10
+    # The share that a text's own successors have in decoding.
+    text_share: float = 0.5
+    special_tokens: tuple[str, ...] = SPECIAL_TOKENS
 
 
 DEFAULTS = Settings()

@@ -2,44 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from precis.functions.text import has_words, trim_ws
-from precis.operators.lookup import Sized, lookup
-from precis.settings import DEFAULTS, Settings
 
 
-def assemble_lines(lines: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def assemble_lines(lines: DataFrame) -> DataFrame:
     """One text per document out of ``(doc_id, line_no, line)``.
 
     Leading blank lines are skipped, the first blank line after content ends
-    the text, the rest is joined by one space and trimmed. First and last line
-    of a document come from map-side aggregates. Lines meet them by a lookup
-    that keeps the lines of long documents where they lie, so one document may
-    hold a large share of all lines; only the lines of a text are gathered.
+    the text, the rest is joined by one space and trimmed. Lines travel once, by
+    document, as their text becomes one row in the end; two running counts and
+    the assembly use that layout.
     """
     content = has_words("line")
-    of_doc = F.col("n")
-    starts = Sized.store(
-        lines.groupBy("doc_id").agg(
-            F.min(F.when(content, F.col("line_no"))).alias("first"),
-            F.count("*").alias("n"),
-        ).where(F.col("first").isNotNull()),
-        "doc_id",
-    )
-    stops = (
-        lookup(lines.where(~content).select("doc_id", "line_no"), starts, of_doc, settings)
-        .where(F.col("line_no") > F.col("first"))
-        .groupBy("doc_id")
-        .agg(F.min("line_no").alias("stop"))
-    )
-    limits = Sized.store(
-        starts.table.select("doc_id", "n").join(stops, "doc_id", "left"), "doc_id"
-    )
+    so_far = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    begun = lines.withColumn("content", content).withColumn("begun", F.count_if("content").over(so_far) > 0)
+    ended = begun.withColumn("ended", F.count_if(F.col("begun") & ~F.col("content")).over(so_far) > 0)
     kept = (
-        lookup(lines.where(content), limits, of_doc, settings)
-        .where(F.col("stop").isNull() | (F.col("line_no") < F.col("stop")))
+        ended.where(F.col("content") & ~F.col("ended"))
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("parts"))
     )

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.operators.filters import valid_pairs
 from precis.settings import SUMMARY, TEXT
 
 # Cell contents that count as missing when a CSV file is read.
@@ -15,91 +16,78 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# The built-in example pairs.
-SAMPLE_PAIRS = (
-    (
-        "La inteligencia artificial es una rama de la informática que busca crear sistemas capaces de realizar tareas que normalmente requieren inteligencia humana. Estos sistemas pueden aprender de la experiencia, ajustarse a nuevas entradas y realizar tareas similares a las humanas. El aprendizaje automático y el aprendizaje profundo son subcampos importantes de la IA.",
-        "La IA crea sistemas que realizan tareas que requieren inteligencia humana mediante aprendizaje automático.",
-    ),
-    (
-        "El cambio climático es uno de los mayores desafíos que enfrenta la humanidad en el siglo XXI. Las temperaturas globales están aumentando debido a las emisiones de gases de efecto invernadero. Esto está causando el derretimiento de los glaciares, el aumento del nivel del mar y eventos climáticos extremos más frecuentes.",
-        "El cambio climático causa aumento de temperaturas, derretimiento de glaciares y eventos climáticos extremos.",
-    ),
-    (
-        "Python es un lenguaje de programación de alto nivel, interpretado y de propósito general. Su filosofía de diseño enfatiza la legibilidad del código con el uso de una sintaxis clara. Python soporta múltiples paradigmas de programación, incluyendo programación orientada a objetos, imperativa y funcional.",
-        "Python es un lenguaje de programación de alto nivel con sintaxis clara y múltiples paradigmas.",
-    ),
-    (
-        "Las redes neuronales son modelos computacionales inspirados en el cerebro humano. Están compuestas por capas de nodos interconectados que procesan información. Cada conexión tiene un peso que se ajusta durante el entrenamiento. Las redes neuronales profundas han revolucionado campos como la visión por computadora y el procesamiento del lenguaje natural.",
-        "Las redes neuronales son modelos inspirados en el cerebro que procesan información mediante capas interconectadas.",
-    ),
-    (
-        "El aprendizaje profundo es una técnica de machine learning que utiliza redes neuronales con múltiples capas. Estas redes pueden aprender representaciones jerárquicas de los datos. El deep learning ha logrado avances impresionantes en reconocimiento de imágenes, procesamiento de voz y traducción automática.",
-        "El deep learning usa redes neuronales profundas para aprender representaciones jerárquicas de datos.",
-    ),
-)
-
-PAIR_SCHEMA = f"{TEXT} string, {SUMMARY} string"
-
-
-def sample_pairs(spark: SparkSession) -> DataFrame:
-    rows = [(i, text, summary) for i, (text, summary) in enumerate(SAMPLE_PAIRS)]
-    return spark.createDataFrame(rows, f"doc_id long, {PAIR_SCHEMA}")
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(hadoop_path)
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet table, or None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_pairs(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Scan CSV pairs with a header; a missing path gives an empty table.
 
-    Quoted cells may hold line breaks and doubled quotes. Such files cannot be
-    split, so keep them to moderate size and give a folder of many; with
-    ``multiline=False`` Spark splits files of any size.
+    ``doc_id`` is a digest of the row and the number of its copy, so it is the same
+    however the files are cut; copies are counted, not ranked, so many of them are no
+    hot group. Quoted cells may hold line breaks; a file with such cells cannot be
+    split, so it is one task: give a folder of files as ``write_pairs_csv`` makes
+    them. With ``multiline=False`` files of any size are split at line ends.
     """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], f"doc_id long, {PAIR_SCHEMA}")
-    raw = spark.read.csv(
-        path, schema=PAIR_SCHEMA, header=True, multiLine=multiline, quote='"', escape='"'
-    )
+    schema = f"{TEXT} string, {SUMMARY} string"
+    try:
+        raw = spark.read.csv(path, schema=schema, header=True, multiLine=multiline, quote='"', escape='"')
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], f"doc_id string, {schema}")
+        raise
     cells = [
         F.when(F.col(c).isin(*NA_TOKENS), None).otherwise(F.col(c)).alias(c)
         for c in (TEXT, SUMMARY)
     ]
-    return raw.select(F.monotonically_increasing_id().alias("doc_id"), *cells)
+    digest = F.md5(F.to_json(F.struct(TEXT, SUMMARY)))
+    rows = raw.select(*cells).withColumn("digest", digest).groupBy("digest").agg(
+        F.first(TEXT).alias(TEXT), F.first(SUMMARY).alias(SUMMARY), F.count("*").cast("int").alias("n"))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select(
+        F.concat_ws("-", "digest", F.col("copy").cast("string")).alias("doc_id"), TEXT, SUMMARY)
 
 
-def write_pairs_csv(pairs: DataFrame, path: str) -> None:
-    pairs.select(TEXT, SUMMARY).write.csv(
+def write_pairs_csv(pairs: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Write CSV files of bounded size with a header."""
+    pairs.select(TEXT, SUMMARY).write.option("maxRecordsPerFile", rows_per_file).csv(
         path, header=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
 
-def append_pairs(pairs: DataFrame, path: str, source: str = "user") -> int:
+def append_pairs(
+    pairs: DataFrame, path: str, source: str = "user", valid_only: bool = False
+) -> int:
     """Append pairs to a parquet table, creating it if absent; the new total.
 
-    Only the new rows are written. ``source`` tells saved summaries from pairs
-    given by users.
+    Only the new rows are written, under fresh keys: the number of the batch and the
+    key within it, so keys stay unique whatever was appended before. A batch with a
+    null or repeated key is refused. ``valid_only`` leaves out blank pairs.
+    ``source`` tells saved summaries from pairs given by users.
     """
     spark = pairs.sparkSession
-    pairs.withColumn("source", F.lit(source)).write.mode("append").parquet(path)
+    if valid_only:
+        pairs = valid_pairs(pairs)
+    keys = pairs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    if not keys.isEmpty():
+        raise ValueError("the keys of a batch must be unique and not null")
+    table = read_table(spark, path)
+    last = None if table is None else table.agg(F.max("batch")).first()[0]
+    batch = 0 if last is None else last + 1
+    pairs.select(
+        F.concat_ws("-", F.lit(str(batch)), F.col("doc_id").cast("string")).alias("doc_id"),
+        TEXT, SUMMARY, F.lit(source).alias("source"), F.lit(batch).alias("batch"),
+    ).write.mode("append").parquet(path)
     return spark.read.parquet(path).count()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet table, or None where there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def write_split(pairs: DataFrame, path: str) -> None:
     """Write train and validation parts as partitions of one table."""
     pairs.write.partitionBy("split").parquet(path)

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only on a local master."""
+    """The session's checkpoint folder, a folder that all executors share.
+
+    Only a local master, whose executor is the driver, may do without the setting.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from precis.functions.chars import STOPWORDS, WS_CHARS
+from precis.functions.chars import STOPWORDS
 from precis.settings import SUMMARY, TEXT
-from precis.sources.pairs import NA_TOKENS, SAMPLE_PAIRS
 from registry.queries import BEAM, STEPS, SUMMARY_WORDS, TEXT_WORDS
 
 
@@ -13,6 +12,14 @@ _WS_RANGES = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same characters one by one, and cells that count as missing: written out here
+# again, so that a wrong entry in the code shows.
+WS_CHARS = "".join(map(chr, (
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 WS, NWS, W = f"[{_WS_RANGES}]", f"[^{_WS_RANGES}]", r"[\p{L}\p{N}_]"
 
 
@@ -308,12 +315,12 @@ cte("triples", f"""
     FROM pairs JOIN p_summary USING (doc_id)""", "pairs", "p_summary")
 
 # Next-token table and decoding.
-cte("samples", f"""
-    SELECT doc_id, {padded('ids', 100)}[1:99] AS decoder_in, {padded('ids', 100)}[2:100] AS decoder_target
-    FROM marked""", "marked")
 cte("steps", """
-    SELECT doc_id, unnest(range(99)) AS pos, unnest(decoder_in) AS prev, unnest(decoder_target) AS next
-    FROM samples""", "samples")
+    SELECT doc_id, unnest(ids[1:len(ids) - 1]) AS prev, unnest(ids[2:]) AS next FROM marked""", "marked")
+# The same with padding up to the usual length.
+cte("padded_steps", """
+    SELECT doc_id, unnest(ids[1:len(ids) - 1]) AS prev, unnest(ids[2:]) AS next
+    FROM (SELECT doc_id, list_resize(ids, greatest(len(ids), 100), 0) AS ids FROM marked)""", "marked")
 cte("probs", """
     SELECT prev, next, c::DOUBLE / sum(c) OVER (PARTITION BY prev) AS p FROM (
         SELECT prev, next, count(*) AS c FROM steps WHERE next <> 0 GROUP BY prev, next)""", "steps")
@@ -323,31 +330,52 @@ cte("best", """
 cte("top", f"""
     SELECT prev, next, p FROM probs
     QUALIFY row_number() OVER (PARTITION BY prev ORDER BY p DESC, next DESC) <= {BEAM}""", "probs")
-cte("starts", "SELECT doc_id, [2] || list_filter(ids, lambda i: i <> 1)[1:1] AS seq FROM txt_sum_ids",
-    "txt_sum_ids")
+# Successors in the text itself, mixed with those of the corpus; owner -1 is the corpus alone.
+cte("own_steps", """
+    SELECT doc_id, prev, next, count(*) AS c FROM (
+        SELECT doc_id, unnest(ids[1:len(ids) - 1]) AS prev, unnest(ids[2:]) AS next
+        FROM (SELECT doc_id, [2] || ids || [3] AS ids FROM txt_sum_ids))
+    WHERE next <> 1 GROUP BY doc_id, prev, next""", "txt_sum_ids")
+cte("own", """
+    SELECT o.doc_id AS owner, o.prev, o.next,
+        0.5::DOUBLE * coalesce(p, 0.0::DOUBLE) + 0.5::DOUBLE * (c::DOUBLE / sum(c) OVER (PARTITION BY o.doc_id, o.prev)) AS p
+    FROM own_steps o LEFT JOIN probs b ON b.prev = o.prev AND b.next = o.next""", "own_steps", "probs")
+cte("seen", "SELECT DISTINCT owner, prev FROM own", "own")
+for _kind, _corpus, _order, _k in (("best", "best", "next", 1), ("top", "top", "next DESC", BEAM)):
+    cte(f"{_kind}_choices", f"""
+        SELECT owner, prev, next, p FROM (
+            SELECT * FROM own UNION ALL
+            SELECT s.owner, s.prev, t.next, 0.5::DOUBLE * t.p FROM seen s JOIN {_corpus} t ON t.prev = s.prev
+            WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o.owner = s.owner AND o.prev = s.prev AND o.next = t.next)
+            UNION ALL SELECT -1, prev, next, 0.5::DOUBLE * p FROM {_corpus})
+        QUALIFY row_number() OVER (PARTITION BY owner, prev ORDER BY p DESC, {_order}) <= {_k}""",
+        "own", "seen", _corpus)
 cte("greedy", f"""
-    SELECT doc_id, seq, 0.0::DOUBLE AS score, seq[-1] = 3 AS done, 0 AS step FROM starts
+    SELECT doc_id, [2] AS seq, 0.0::DOUBLE AS score, false AS done, 0 AS step FROM txt_sum_ids
     UNION ALL
     SELECT doc_id, CASE WHEN next IS NULL OR next = 3 THEN seq ELSE list_append(seq, next) END,
         score + CASE WHEN next IS NULL THEN 0.0::DOUBLE ELSE ln(p + 1e-10::DOUBLE) END,
         next IS NULL OR next = 3, step + 1
-    FROM greedy LEFT JOIN best ON prev = seq[-1] WHERE NOT done AND step < {STEPS}""", "starts", "best")
+    FROM greedy g LEFT JOIN seen s ON s.owner = g.doc_id AND s.prev = g.seq[-1]
+        LEFT JOIN best_choices c ON c.owner = coalesce(s.owner, -1) AND c.prev = g.seq[-1]
+    WHERE NOT done AND step < {STEPS}""", "txt_sum_ids", "seen", "best_choices")
 cte("greedy_end", "SELECT doc_id, arg_max(seq, step) AS seq, arg_max(score, step) AS score FROM greedy GROUP BY doc_id",
     "greedy")
 cte("beams", f"""
-    SELECT doc_id, 1::BIGINT AS hyp_id, seq, 0.0::DOUBLE AS score, seq[-1] = 3 AS done, 0 AS step FROM starts
+    SELECT doc_id, 1::BIGINT AS hyp_id, [2] AS seq, 0.0::DOUBLE AS score, false AS done, 0 AS step FROM txt_sum_ids
     UNION ALL
     SELECT doc_id, rank, seq, score, done, step FROM (
         SELECT *, row_number() OVER (
             PARTITION BY doc_id ORDER BY round(score, 10) DESC, hyp_id, next) AS rank
         FROM (
-            SELECT doc_id, hyp_id, next,
+            SELECT b.doc_id, hyp_id, next,
                 CASE WHEN next IS NULL THEN seq ELSE list_append(seq, next) END AS seq,
                 score + CASE WHEN next IS NULL THEN 0.0::DOUBLE ELSE ln(p + 1e-10::DOUBLE) END AS score,
                 done OR next IS NULL OR next = 3 AS done, step + 1 AS step
-            FROM beams LEFT JOIN top ON NOT done AND prev = seq[-1]
+            FROM beams b LEFT JOIN seen s ON s.owner = b.doc_id AND s.prev = b.seq[-1]
+                LEFT JOIN top_choices c ON NOT done AND c.owner = coalesce(s.owner, -1) AND c.prev = b.seq[-1]
             WHERE step < {STEPS}))
-    WHERE rank <= {BEAM}""", "starts", "top")
+    WHERE rank <= {BEAM}""", "txt_sum_ids", "seen", "top_choices")
 cte("beam_end", f"SELECT doc_id, seq, score FROM beams WHERE step = {STEPS} AND hyp_id = 1", "beams")
 
 
@@ -376,7 +404,8 @@ oracle("read_pairs", f"""
     SELECT CASE WHEN {TEXT} IN ({_na}) THEN NULL ELSE {TEXT} END AS {TEXT},
         CASE WHEN {SUMMARY} IN ({_na}) THEN NULL ELSE {SUMMARY} END AS {SUMMARY} FROM pairs""", "pairs")
 oracle("append_pairs", f"""
-    SELECT *, CASE WHEN {HASH_TRAIN} THEN 'train' ELSE 'validation' END AS source FROM pairs""", "pairs")
+    SELECT * REPLACE (CASE WHEN {HASH_TRAIN} THEN '0-' ELSE '1-' END || doc_id AS doc_id),
+        CASE WHEN {HASH_TRAIN} THEN 'train' ELSE 'validation' END AS source FROM pairs""", "pairs")
 oracle("write_split", """
     SELECT * EXCLUDE (chosen), CASE WHEN chosen THEN 'train' ELSE 'validation' END AS split
     FROM split_pairs""", "split_pairs")
@@ -394,11 +423,6 @@ cte("ends", """
 oracle("assemble_lines", f"""
     SELECT doc_id, {trim("string_agg(line, ' ' ORDER BY line_no)")} AS text
     FROM ends WHERE NOT blank AND NOT ended GROUP BY doc_id""", "ends")
-_samples = ", ".join(f"({lit(t)}, {lit(s)})" for t, s in SAMPLE_PAIRS)
-oracle("sample_pairs", f"""
-    SELECT doc_id, {TEXT}, {SUMMARY}, 'given' AS source FROM pairs UNION ALL
-    SELECT row_number() OVER () - 1, t, s, 'built-in' FROM (VALUES {_samples}) AS v(t, s)""", "pairs")
-
 oracle("clean_text", f"""
     SELECT doc_id, {clean('text')} AS clean, {clean('text', bare=True)} AS bare,
         {clean('text', lower=False)} AS cased, {clean('text', emails_first=True)} AS emails_first
@@ -419,13 +443,13 @@ oracle("decode", f"""
     SELECT a.doc_id, a.summary AS text, b.summary AS with_specials
     FROM ({decoded('marked_seq')}) a JOIN ({decoded('marked_seq', specials=True)}) b ON a.doc_id = b.doc_id""",
     "marked_seq", "sum_vocab")
-oracle("pad_post", f"SELECT doc_id, {glue(padded('ids', 40))} AS seq FROM marked", "marked")
+oracle("pad_post", f"SELECT doc_id, {glue(padded('ids', 100))} AS seq FROM marked", "marked")
 oracle("pad_pre", f"""
-    SELECT doc_id, {glue("list_resize([]::INT[], greatest(40 - len(ids), 0), 0) || ids[1:40]")} AS seq
+    SELECT doc_id, {glue("list_resize([]::INT[], greatest(100 - len(ids), 0), 0) || ids[1:100]")} AS seq
     FROM marked""", "marked")
 oracle("teacher_shift", f"""
-    SELECT doc_id, {glue(padded('ids', 40) + '[1:39]')} AS decoder_in,
-        {glue(padded('ids', 40) + '[2:40]')} AS decoder_target FROM marked""", "marked")
+    SELECT doc_id, {glue(padded('ids', 100) + '[1:99]')} AS decoder_in,
+        {glue(padded('ids', 100) + '[2:100]')} AS decoder_target FROM marked""", "marked")
 oracle("preview", """
     SELECT doc_id, CASE WHEN length(text) > 200 THEN substring(text, 1, 200) || '...' ELSE text END AS preview,
         substring(text, 1, 100) || '...' AS list_view FROM docs""", "docs")
@@ -453,8 +477,23 @@ oracle("valid_pairs", f"""
     "turns")
 oracle("score_threshold", f"SELECT doc_id, idx, {r6('score')} AS score FROM scores WHERE score >= 0.5", "scores")
 oracle("min_rows_check", "SELECT count(*) AS n, count(*) < 10 AS too_few FROM pairs", "pairs")
+cte("two_steps", f"""
+    SELECT doc_id, 1::BIGINT AS hyp_id, [2] AS seq, 0.0::DOUBLE AS score, false AS done, 0 AS step FROM pairs
+    UNION ALL
+    SELECT doc_id, rank, seq, score, done, step FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY doc_id ORDER BY round(score, 10) DESC, hyp_id, next) AS rank
+        FROM (
+            SELECT doc_id, hyp_id, next,
+                CASE WHEN next IS NULL THEN seq ELSE list_append(seq, next) END AS seq,
+                score + CASE WHEN next IS NULL THEN 0.0::DOUBLE ELSE ln(p + 1e-10::DOUBLE) END AS score,
+                done OR next IS NULL OR next = 3 AS done, step + 1 AS step
+            FROM two_steps LEFT JOIN top ON NOT done AND prev = seq[-1]
+            WHERE step < 2))
+    WHERE rank <= {BEAM}""", "pairs", "top")
 oracle("exclude_finished", f"""
-    SELECT doc_id, {glue('ids[1:40]')} AS seq FROM marked WHERE ids[1:40][-1] <> 3""", "marked")
+    SELECT doc_id, CAST(hyp_id AS INT) AS hyp_id, {glue('seq')} AS seq FROM two_steps WHERE step = 2 AND seq[-1] <> 3""",
+    "two_steps")
 
 oracle("token_id_lookup", """
     SELECT doc_id, pos, word, coalesce(id, 1) AS id FROM txt_words LEFT JOIN sum_vocab ON token = word""",
@@ -488,9 +527,9 @@ oracle("fragment_word_freq", "SELECT * FROM d_cfreq", "d_cfreq")
 oracle("term_freq", f"""
     SELECT doc_id, idx, word, count(*) AS c, {r6('count(*)::DOUBLE / any_value(n)')} AS tf, 'sentence' AS kind
     FROM sentence_words GROUP BY doc_id, idx, word UNION ALL
-    SELECT t.doc_id, t.idx, word, c, {r6('c::DOUBLE / m')}, 'fragment'
-    FROM d_terms t JOIN d_sums s ON s.doc_id = t.doc_id AND s.idx = t.idx""",
-    "sentence_words", "d_terms", "d_sums")
+    SELECT doc_id, idx, word, c, {r6('c::DOUBLE / sum(c) OVER (PARTITION BY doc_id, idx)')}, 'fragment'
+    FROM d_terms""",
+    "sentence_words", "d_terms")
 oracle("sentence_tfidf", f"SELECT doc_id, idx, {r6('score')} AS score FROM scores", "scores")
 oracle("fragment_importance", f"""
     SELECT doc_id, CAST(n_fragments AS INT) AS n_fragments, idx, {r6('score')} AS score FROM d_scores""", "d_scores")
@@ -536,12 +575,12 @@ oracle("binary_metrics", f"""
         {r6(ratio(_n('said AND truth'), _n('said')))} AS precision,
         {r6(ratio(_n('said AND truth'), _n('truth')))} AS recall FROM said""", "said")
 cte("guessed", """
-    SELECT s.next AS target, coalesce(b.next, 0) AS guess FROM steps s LEFT JOIN best b ON b.prev = s.prev""",
-    "steps", "best")
+    SELECT s.next AS target, coalesce(b.next, 0) AS guess FROM padded_steps s LEFT JOIN best b ON b.prev = s.prev""",
+    "padded_steps", "best")
 oracle("token_accuracy", " UNION ALL ".join(f"""
     SELECT count(*) AS n, {_n('target = guess')} AS "right", {r6(ratio(_n('target = guess'), 'count(*)'))} AS accuracy,
-        '{kind}' AS kind FROM guessed {where}""" for kind, where in (("all", ""), ("no padding", "WHERE target <> 0"))),
-    "guessed")
+        '{kind}' AS kind FROM {source} {where}""" for kind, source, where in (
+        ("all", "guessed", ""), ("no padding", "guessed", "WHERE target <> 0"))), "guessed")
 oracle("distinct_words", "SELECT doc_id, word FROM doc_seen", "doc_seen")
 oracle("count_rows", """
     SELECT CASE WHEN chosen THEN 'train' ELSE 'validation' END AS split, count(*) AS n
@@ -554,7 +593,7 @@ cte("ranked", f"SELECT *, CAST(row_number() OVER ({BEST_FIRST}) AS INT) AS rank
 cte("ranked_over", f"""
     SELECT *, CAST(row_number() OVER ({BEST_FIRST}) AS INT) AS rank FROM scores WHERE score >= 0.5""", "scores")
 oracle("tfidf_top_n", f"SELECT doc_id, idx, {r6('score')} AS score, rank FROM ranked WHERE rank <= 5", "ranked")
-oracle("threshold_top_n", f"SELECT doc_id, idx, {r6('score')} AS score, rank FROM ranked_over WHERE rank <= 3",
+oracle("threshold_top_n", f"SELECT doc_id, idx, {r6('score')} AS score, rank FROM ranked_over WHERE rank <= 5",
        "ranked_over")
 oracle("adaptive_k", f"""
     SELECT doc_id, CAST(len(parts) AS INT) AS n_fragments, {adaptive_k('len(parts)')} AS k FROM d_lists""", "d_lists")
@@ -566,7 +605,7 @@ oracle("extractive_summary", """
     SELECT doc_id, summary, n_fragments, CAST(len(chosen) AS INT) AS n_kept FROM d_summary""", "d_summary")
 
 _items = f"""
-    SELECT item_id, text, CASE WHEN length(text) > 50 THEN substring(text, 1, 50) || '...' ELSE text END FROM benchmark"""
+    SELECT item_id, text, text FROM benchmark"""
 oracle("union_pairs", f"SELECT doc_id, {TEXT}, {SUMMARY} FROM pairs UNION ALL {_items} UNION ALL {_items}", "pairs")
 oracle("split_exact", """
     SELECT doc_id, CASE WHEN chosen THEN 'train' ELSE 'validation' END AS split FROM split_docs""", "split_docs")
@@ -609,10 +648,31 @@ oracle("summarize_batch", f"""
     "d_summary", "tfidf_lists", "greedy_end", "beam_end", "sum_vocab")
 _nd, _nk = f"len({words('text')})", f"len({words('summary')})"
 oracle("summarize_and_log", f"""
-    SELECT doc_id, summary AS {SUMMARY}, 'summary' AS source, {_nd} AS text_words, {_nk} AS summary_words,
+    SELECT '0-' || doc_id AS doc_id, summary AS {SUMMARY}, 'summary' AS source, {_nd} AS text_words, {_nk} AS summary_words,
         {r6(f'({ratio(_nk, _nd)}) * 100')} AS percent
     FROM docs JOIN d_summary USING (doc_id) WHERE {_nd} >= 10""", "docs", "d_summary")
 
 oracle("next_token_table", f"SELECT prev, next, {r6('p')} AS p FROM probs", "probs")
 oracle("greedy_decode", f"SELECT doc_id, {glue('seq')} AS seq, {r6('score')} AS score FROM greedy_end", "greedy_end")
 oracle("beam_search", f"SELECT doc_id, {glue('seq')} AS seq, {r6('score')} AS score FROM beam_end", "beam_end")
+
+# Naive Bayes over the words of sentences with a quality label.
+cte("said_words", """
+    SELECT word, count(*) FILTER (WHERE quality = 1) AS a, count(*) FILTER (WHERE quality = 0) AS b
+    FROM sentence_words JOIN labels USING (doc_id) WHERE quality IN (0, 1) GROUP BY word""", "sentence_words")
+cte("salience", """
+    SELECT s.doc_id, s.idx, s.sentence, 1 / (1 + exp(-(prior + coalesce(total, 0.0::DOUBLE)))) AS score
+    FROM sentences s CROSS JOIN (
+        SELECT ln((count(*) FILTER (WHERE quality = 1) + 1)::DOUBLE / (count(*) FILTER (WHERE quality = 0) + 1)) AS prior
+        FROM sentences JOIN labels USING (doc_id))
+    LEFT JOIN (
+        SELECT doc_id, idx, sum(weight) AS total FROM sentence_words JOIN (
+            SELECT word, ln((a + 1) / (sum(a) OVER () + count(*) OVER ())::DOUBLE)
+                - ln((b + 1) / (sum(b) OVER () + count(*) OVER ())::DOUBLE) AS weight
+            FROM said_words) w USING (word) GROUP BY doc_id, idx
+    ) t ON t.doc_id = s.doc_id AND t.idx = s.idx""", "sentences", "sentence_words", "said_words")
+oracle("salience_fit_score", f"SELECT doc_id, idx, {r6('score')} AS score FROM salience", "salience")
+oracle("salience_top_n", f"""
+    SELECT doc_id, idx, {r6('score')} AS score, rank FROM (
+        SELECT *, CAST(row_number() OVER ({BEST_FIRST}) AS INT) AS rank FROM salience WHERE score >= 0.5)
+    WHERE rank <= 5""", "salience")

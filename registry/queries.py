@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +16,10 @@ from precis.operators import salience, splits, statistics, tfidf
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
 from precis.plans import summaries, training_data
-from precis.settings import DEFAULTS, SUMMARY, TEXT
+from precis.settings import DEFAULTS, PAD, START, SUMMARY, TEXT
 from precis.sources import lines as ln
 from precis.sources import pairs as pr
-from precis.sources.storage import scratch_path
+from precis.sources.storage import cut_lineage, scratch_path
 from registry.tables import documents, joined, pairs, r6, read, turns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 
 # Sizes as the operators have them by default.
 STEPS, BEAM = DEFAULTS.max_summary_length, DEFAULTS.beam_width
+SUMMARY_LENGTH = DEFAULTS.max_summary_length
 TEXT_WORDS, SUMMARY_WORDS = DEFAULTS.text_vocabulary, DEFAULTS.summary_vocabulary
 
 
@@ -99,13 +99,6 @@ def _lines(d: DataFrame) -> DataFrame:
 _on_documents("assemble_lines", lambda d: ln.assemble_lines(_lines(d)))
 
 
-@query("sample_pairs")
-def _sample_pairs(spark, sf):
-    given = pairs(spark, sf).withColumn("source", F.lit("given"))
-    built_in = pr.sample_pairs(spark).withColumn("source", F.lit("built-in"))
-    return pr.union_pairs(given, built_in).select("doc_id", TEXT, SUMMARY, "source")
-
-
 # --- row-local text functions ----------------------------------------------
 
 _on_documents("clean_text", lambda d: d.select(
@@ -157,7 +150,7 @@ def _decode(spark, sf):
 
 def _padded(spark, sf, post: bool):
     ids = _encoded_summaries(spark, sf)[0]
-    return ids.select("doc_id", joined(sq.pad("ids", 40, post)).alias("seq"))
+    return ids.select("doc_id", joined(sq.pad("ids", SUMMARY_LENGTH, post)).alias("seq"))
 
 
 QUERIES["pad_post"] = partial(_padded, post=True)
@@ -166,11 +159,11 @@ QUERIES["pad_pre"] = partial(_padded, post=False)
 
 @query("teacher_shift")
 def _teacher_shift(spark, sf):
-    padded = _encoded_summaries(spark, sf)[0].select("doc_id", sq.pad("ids", 40).alias("seq"))
+    padded = _encoded_summaries(spark, sf)[0].select("doc_id", sq.pad("ids", SUMMARY_LENGTH).alias("seq"))
     return padded.select(
         "doc_id",
-        joined(sq.decoder_input("seq", 40)).alias("decoder_in"),
-        joined(sq.decoder_target("seq", 40)).alias("decoder_target"),
+        joined(sq.decoder_input("seq", SUMMARY_LENGTH)).alias("decoder_in"),
+        joined(sq.decoder_target("seq", SUMMARY_LENGTH)).alias("decoder_target"),
     )
 
 
@@ -231,9 +224,14 @@ _on_pairs("min_rows_check", filters.min_rows_check)
 
 @query("exclude_finished")
 def _exclude_finished(spark, sf):
-    ids = _encoded_summaries(spark, sf)[0]
-    cut = ids.select("doc_id", F.slice("ids", 1, 40).alias("seq"))
-    return cut.where(~sq.is_finished("seq")).select("doc_id", joined("seq").alias("seq"))
+    """Hypotheses of every pair after two steps of the beam."""
+    model = decoding.NextTokens.fit(_samples(spark, sf))
+    hyps = pairs(spark, sf).select(
+        "doc_id", F.lit(1).alias("hyp_id"), F.array(F.lit(START)).alias("seq"),
+        F.lit(0.0).alias("score"), F.lit(False).alias("done"))
+    for _ in range(2):
+        hyps = decoding.beam_step(hyps, model.probs, BEAM)
+    return hyps.where(~sq.is_finished("seq")).select("doc_id", "hyp_id", joined("seq").alias("seq"))
 
 
 # --- joins ------------------------------------------------------------------
@@ -280,11 +278,7 @@ _on_documents("drop_stopwords", lambda d: importance.drop_stopwords(
 
 @query("keep_important")
 def _keep_important(spark, sf):
-    rows = _fragments(documents(spark, sf))
-    important = importance.important_words(importance.fragment_word_freq(rows))
-    return importance.keep_important(importance.long_word_rows(rows), important).select(
-        "doc_id", "idx", "pos", "word"
-    )
+    return importance.keep_important(_fragments(documents(spark, sf)))
 
 
 @query("holdout_rest")
@@ -373,18 +367,23 @@ def _binary_metrics(spark, sf):
     )
 
 
+def _shifted(ids: DataFrame) -> DataFrame:
+    """Whole sequences as decoder input and target; a count table needs no fixed length."""
+    n = F.size("ids") - 1
+    return ids.select(
+        "doc_id", F.slice("ids", 1, n).alias("decoder_in"), F.slice("ids", 2, n).alias("decoder_target"))
+
+
 def _samples(spark, sf):
-    padded = _encoded_summaries(spark, sf)[0].select("doc_id", sq.pad("ids", 100).alias("s"))
-    return padded.select(
-        "doc_id",
-        sq.decoder_input("s", 100).alias("decoder_in"),
-        sq.decoder_target("s", 100).alias("decoder_target"),
-    )
+    return _shifted(_encoded_summaries(spark, sf)[0])
 
 
 @query("token_accuracy")
 def _token_accuracy(spark, sf):
-    samples = _samples(spark, sf)
+    ids = _encoded_summaries(spark, sf)[0]
+    # Padded to the usual length, and longer sequences not cut.
+    filler = F.array_repeat(F.lit(PAD), F.greatest(F.lit(SUMMARY_LENGTH) - F.size("ids"), F.lit(0)))
+    samples = _shifted(ids.select("doc_id", F.concat("ids", filler).alias("ids")))
     predicted = decoding.NextTokens.fit(samples).predict(samples).join(samples, "doc_id")
     with_pad = evaluation.token_accuracy(predicted, "predicted", "decoder_target")
     without = evaluation.token_accuracy(predicted, "predicted", "decoder_target", ignore_pad=True)
@@ -412,7 +411,7 @@ _on_documents("important_words", lambda d: importance.important_words(
     importance.fragment_word_freq(_fragments(d))))
 _on_documents("tfidf_top_n", lambda d: tfidf.tfidf_top_n(_sentence_scores(d)).withColumn(
     "score", r6("score")))
-_on_documents("threshold_top_n", lambda d: ranking.threshold_top_n(_sentence_scores(d), 3, 0.5).withColumn(
+_on_documents("threshold_top_n", lambda d: ranking.threshold_top_n(_sentence_scores(d)).withColumn(
     "score", r6("score")))
 _on_documents("adaptive_k", lambda d: d.select(
     "doc_id", F.size(tx.split_fragments(tx.clean_light("text"))).alias("n_fragments")
@@ -430,7 +429,7 @@ _on_documents("extractive_summary", summaries.extractive_summary)
 def _union_pairs(spark, sf):
     items = read(spark, sf, "benchmark").select(
         F.col("item_id").alias("doc_id"), F.col("text").alias(TEXT),
-        tx.preview("text", 50).alias(SUMMARY),
+        F.col("text").alias(SUMMARY),
     )
     return pr.union_pairs(pairs(spark, sf), items, items)
 
@@ -447,14 +446,15 @@ _on_pairs("set_overlap", lambda p: p.select("doc_id", mx.set_overlap(TEXT, SUMMA
 
 @query("prepare_seq2seq")
 def _prepare_seq2seq(spark, sf):
-    p = splits.split_exact(pairs(spark, sf))
+    # The pairs are a join that several jobs read.
+    p = splits.split_exact(cut_lineage(pairs(spark, sf)))
     out = training_data.prepare_seq2seq(p, *training_data.fit_two_vocabularies(p))
     return out.select("doc_id", *[joined(c).alias(c) for c in out.columns if c != "doc_id"])
 
 
 @query("fit_two_vocabularies")
 def _fit_two_vocabularies(spark, sf):
-    both = training_data.fit_two_vocabularies(splits.split_exact(pairs(spark, sf)))
+    both = training_data.fit_two_vocabularies(splits.split_exact(cut_lineage(pairs(spark, sf))))
     return both[0].table.withColumn("side", F.lit(TEXT)).unionByName(
         both[1].table.withColumn("side", F.lit(SUMMARY))
     )
@@ -472,13 +472,7 @@ def _decoder(spark, sf):
     cleaned = _clean_pairs(pairs(spark, sf))
     vocab = vb.fit_vocabulary(cleaned, SUMMARY, SUMMARY_WORDS)
     ids = encoding.encode(cleaned, SUMMARY, vocab, markers=True)
-    padded = ids.select("doc_id", sq.pad("ids", 100).alias("s"))
-    samples = padded.select(
-        "doc_id",
-        sq.decoder_input("s", 100).alias("decoder_in"),
-        sq.decoder_target("s", 100).alias("decoder_target"),
-    )
-    return summaries.Decoder(vocab, decoding.NextTokens.fit(samples))
+    return summaries.Decoder(vocab, decoding.NextTokens.fit(_shifted(ids)))
 
 
 @query("summarize_batch")
@@ -513,15 +507,23 @@ def _summarize_and_log(spark, sf):
 # --- model side -------------------------------------------------------------
 
 
-@query("salience_fit_score")
-def _salience_fit_score(spark, sf):
+def _salience_scores(spark, sf):
     sentences = tfidf.sentence_rows(documents(spark, sf)).select("doc_id", "idx", "sentence")
-    labels = read(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    model = salience.fit_salience(sentences.join(labels, "doc_id"))
+    labels = read(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     path = scratch_path(spark, "salience")
-    model.save(path)
-    scored = salience.score_salience(PipelineModel.load(path), sentences)
-    return scored.select("doc_id", "idx", r6("score").alias("score"))
+    salience.fit_salience(sentences.join(labels, "doc_id")).save(path)
+    return salience.score_salience(salience.Salience.load(spark, path), sentences)
+
+
+@query("salience_fit_score")
+def _salience_fit_score(spark, sf):
+    return _salience_scores(spark, sf).withColumn("score", r6("score"))
+
+
+@query("salience_top_n")
+def _salience_top_n(spark, sf):
+    """Extraction by the classifier's score."""
+    return ranking.threshold_top_n(_salience_scores(spark, sf)).withColumn("score", r6("score"))
 
 
 @query("next_token_table")
@@ -529,10 +531,11 @@ def _next_token_table(spark, sf):
     return decoding.next_token_table(_samples(spark, sf)).withColumn("p", r6("p"))
 
 
-def _starts(spark, sf):
+def _encoded_texts(spark, sf):
+    """The decoder, and the whole texts of the pairs in its vocabulary."""
     decoder = _decoder(spark, sf)
-    starts = summaries.decoding_starts(pairs(spark, sf), TEXT, decoder.vocab, "doc_id")
-    return decoder.model, starts
+    cleaned = _clean_pairs(pairs(spark, sf))
+    return decoder.model, encoding.encode(cleaned, TEXT, decoder.vocab)
 
 
 def _decoded(found: DataFrame) -> DataFrame:
@@ -541,11 +544,11 @@ def _decoded(found: DataFrame) -> DataFrame:
 
 @query("greedy_decode")
 def _greedy_decode(spark, sf):
-    model, starts = _starts(spark, sf)
-    return _decoded(model.greedy(starts, STEPS))
+    model, texts = _encoded_texts(spark, sf)
+    return _decoded(model.greedy(texts, STEPS))
 
 
 @query("beam_search")
 def _beam_search(spark, sf):
-    model, starts = _starts(spark, sf)
-    return _decoded(model.beam_search(starts, BEAM, STEPS))
+    model, texts = _encoded_texts(spark, sf)
+    return _decoded(model.beam_search(texts, BEAM, STEPS))

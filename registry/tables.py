@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.operators.rows import spread_small
 from precis.settings import SUMMARY, TEXT
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(
-        spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    )
+    return read(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

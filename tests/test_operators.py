@@ -15,6 +15,7 @@ from precis.plans import summaries, training_data
 from precis.settings import DEFAULTS
 from precis.sources import lines, pairs
 from precis.sources.storage import scratch_path
+from tests.samples import sample_pairs
 
 CATS = ["el gato está en el tejado", "el perro corre por el parque", "el gato y el perro son amigos"]
 WORDS = "está en tejado corre por parque y son amigos".split()
@@ -107,6 +108,11 @@ def test_lookup_of_a_large_table_equals_the_plain_join(spark):
     found = lookup.lookup(rows, sized, F.col("df"), TINY)
     plain = rows.join(table, "word", "left")
     assert sorted(found.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    # Keys that are null, or settled by the hot table, go to all partitions.
+    nulls = spark.range(800).select(F.when(F.col("id") % 8 == 0, "w1").alias("word"), "id")
+    far = lookup.lookup(nulls, sized, F.col("df"), TINY).where("word is null")
+    spread = far.select(F.pmod(F.hash(F.lit(None).cast("string"), F.xxhash64("word", "id")), F.lit(8)).alias("p")).distinct()
+    assert far.count() == 700 and spread.count() == 8
     assert [r.word for r in lookup.hot_keys(table, "word", F.col("df"), TINY).collect()][0] == "hot"
 
 
@@ -116,6 +122,19 @@ def test_hot_keys_keep_to_the_byte_limit(spark):
     assert [r.df for r in cut.collect()] == [3]
 
 
+def test_large_lookups_read_their_rows_once(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tiny = replace(TINY, hot_rows=20)
+    idf = tfidf.fit_idf(tfidf.word_lists(docs))
+    scores = tfidf.sentence_tfidf(tfidf.sentence_rows(docs), idf, tiny)
+    scores.collect()
+    plan = scores._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    plain = tfidf.sentence_tfidf(tfidf.sentence_rows(docs), idf)
+    rounded = lambda df: sorted((r.doc_id, r.idx, round(r.score, 9)) for r in df.collect())
+    assert rounded(scores) == rounded(plain)
+
+
 # --- TF-IDF -----------------------------------------------------------------
 
 
@@ -189,7 +208,7 @@ def test_six_sentences_golden(spark):
 
 
 def test_sample_pairs_golden(spark):
-    p = pairs.sample_pairs(spark)
+    p = sample_pairs(spark)
     scores = importance.fragment_importance(
         importance.fragment_rows(importance.fragment_lists(p, "texto")))
     kept = as_dict(ranking.rank_then_restore(scores), "doc_id", "kept")
@@ -231,6 +250,14 @@ def test_summary_does_not_depend_on_the_layout(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def exchanges(df):
+    """Shuffles in the plan that ran, and no join."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan
+    return plan.count("Exchange hashpartitioning")
+
+
 def test_summary_needs_one_exchange(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     df = summaries.extractive_summary(docs)
@@ -243,11 +270,10 @@ def test_summary_needs_one_exchange(spark):
 
 def test_keep_important_and_stopwords(spark):
     rows = importance.fragment_rows(importance.fragment_lists(texts(spark, [SIX])))
-    words = importance.long_word_rows(rows)
-    content = importance.drop_stopwords(words)
+    content = importance.drop_stopwords(importance.long_word_rows(rows))
     assert not {r.word for r in content.collect()} & set(STOPWORDS)
-    important = importance.important_words(importance.fragment_word_freq(rows))
-    kept = importance.keep_important(words, important)
+    kept = importance.keep_important(rows)
+    assert exchanges(kept) == 1
     assert Counter(r.word for r in kept.collect()) == {"gato": 3, "perro": 3, "negro": 2, "lluvia": 2, "casa": 2}
 
 
@@ -267,6 +293,10 @@ def test_summarize_and_log(spark):
     assert summaries.summarize_and_log(df, path) == 1
     assert summaries.summarize_and_log(df, path) == 2
     assert {r.source for r in spark.read.parquet(path).collect()} == {"summary"}
+    log = summaries.summary_log(df)
+    log.collect()
+    plan = log._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Join") == 1
 
 
 # --- sources ----------------------------------------------------------------
@@ -275,8 +305,8 @@ def test_summarize_and_log(spark):
 def test_csv_pairs(spark, tmp_path):
     file = tmp_path / "pairs.csv"
     file.write_text('texto,resumen\n"uno ""dos""\ntres",NA\n  x ,"a, b"\n', encoding="utf-8")
-    found = [(r.texto, r.resumen) for r in pairs.read_pairs(spark, str(file)).orderBy("doc_id").collect()]
-    assert found == [('uno "dos"\ntres', None), ("  x ", "a, b")]
+    found = {(r.texto, r.resumen) for r in pairs.read_pairs(spark, str(file)).collect()}
+    assert found == {('uno "dos"\ntres', None), ("  x ", "a, b")}
     missing = pairs.read_pairs(spark, str(tmp_path / "none.csv"))
     assert missing.count() == 0 and missing.columns == ["doc_id", "texto", "resumen"]
 
@@ -284,24 +314,31 @@ def test_csv_pairs(spark, tmp_path):
 def test_append_and_split_tables(spark, tmp_path):
     path = str(tmp_path / "table")
     assert pairs.read_table(spark, path) is None
-    p = pairs.sample_pairs(spark)
+    p = sample_pairs(spark)
     assert pairs.append_pairs(p, path) == 5
     assert pairs.append_pairs(p.limit(2), path, source="summary") == 7
     assert pairs.read_table(spark, path).where("source = 'summary'").count() == 2
+    keys = [r.doc_id for r in spark.read.parquet(path).collect()]
+    assert len(set(keys)) == 7
+    with pytest.raises(ValueError, match="unique"):
+        pairs.append_pairs(p.unionAll(p), path)
+    with pytest.raises(ValueError, match="unique"):
+        pairs.append_pairs(p.withColumn("doc_id", F.lit(None).cast("long")), path)
+    blank = spark.createDataFrame([(0, " ", "x"), (1, "x", "y")], "doc_id long, texto string, resumen string")
+    assert pairs.append_pairs(blank, path, valid_only=True) == 8
     split_path = str(tmp_path / "split")
     pairs.write_split(splits.split_exact(p), split_path)
     assert as_dict(splits.count_rows(spark.read.parquet(split_path)), "split", "n") == {
         "train": 4, "validation": 1}
 
 
-@pytest.mark.parametrize("settings", [DEFAULTS, TINY])
-def test_assemble_lines(spark, settings):
+def test_assemble_lines(spark):
     entered = {
         0: ["", " ", "a ", " b", "", "c"], 1: ["x"], 2: ["", ""], 3: ["p", " ", "q", "", "r"],
     }
     rows = [(d, i, t) for d, ts in entered.items() for i, t in enumerate(ts)]
     df = spark.createDataFrame(rows, "doc_id long, line_no int, line string")
-    found = as_dict(lines.assemble_lines(df, settings), "doc_id", "text")
+    found = as_dict(lines.assemble_lines(df), "doc_id", "text")
     assert found == {0: "a   b", 1: "x", 3: "p"}
 
 
@@ -391,6 +428,31 @@ def test_reports(spark):
 # --- training data and decoding ---------------------------------------------
 
 
+def test_appended_twice_and_logged_stays_whole(spark, tmp_path):
+    path = str(tmp_path / "table")
+    p = sample_pairs(spark)
+    pairs.append_pairs(p, path)
+    pairs.append_pairs(p, path)
+    summaries.summarize_and_log(p.withColumnRenamed("texto", "text"), path)
+    table = spark.read.parquet(path)
+    books = training_data.fit_two_vocabularies(table)
+    assert table.count() == training_data.prepare_seq2seq(table, *books).count() == 15
+    halves = as_dict(splits.count_rows(splits.split_exact(table, 0.6)), "split", "n")
+    assert halves == {"train": 9, "validation": 6}
+
+
+def test_read_pairs_has_the_same_keys_for_any_layout(spark, tmp_path):
+    p = sample_pairs(spark).unionAll(sample_pairs(spark))
+    seen = []
+    for n in (1, 16):
+        path = str(tmp_path / f"csv{n}")
+        pairs.write_pairs_csv(p.repartition(n), path)
+        rows = pairs.read_pairs(spark, path).collect()
+        assert len({r.doc_id for r in rows}) == len(rows) == 10
+        seen.append(sorted(tuple(r) for r in rows))
+    assert seen[0] == seen[1]
+
+
 @pytest.mark.parametrize("settings", [DEFAULTS, TINY])
 def test_prepare_seq2seq(spark, settings):
     p = spark.createDataFrame(
@@ -407,7 +469,7 @@ def test_prepare_seq2seq(spark, settings):
 
 
 def test_vocabularies_come_from_training_rows(spark):
-    p = splits.split_exact(pairs.sample_pairs(spark))
+    p = splits.split_exact(sample_pairs(spark))
     left_out = p.where("split = 'validation'").first()
     words = {r.token for r in training_data.fit_two_vocabularies(p)[1].table.collect()}
     train = " ".join(r.resumen.lower() for r in p.where("split = 'train'").collect()).split()
@@ -420,10 +482,11 @@ PROBS = [(2, 4, 0.6), (2, 5, 0.4), (4, 3, 0.3), (4, 5, 0.7), (5, 3, 1.0)]
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return decoding.NextTokens(spark.createDataFrame(PROBS, "prev int, next int, p double"), len(PROBS))
+    return decoding.NextTokens(spark.createDataFrame(PROBS, "prev int, next int, p double"))
 
 
-def test_beam_step(spark, model):
+@pytest.mark.parametrize("settings", [DEFAULTS, TINY])
+def test_beam_step(spark, model, settings):
     hyps = spark.createDataFrame(
         [(7, 1, [2], 0.0, False)], "doc_id long, hyp_id int, seq array<int>, score double, done boolean")
     expected = [
@@ -432,22 +495,24 @@ def test_beam_step(spark, model):
         [([2, 4, 5, 3], 0.42), ([2, 5, 3], 0.4)],
     ]
     for step in expected:
-        hyps = decoding.beam_step(hyps, model.probs, 2)
+        hyps = decoding.beam_step(hyps, model.probs, 2, settings)
         found = [(r.seq, round(math.exp(r.score), 6)) for r in hyps.orderBy("hyp_id").collect()]
         assert found == step
 
 
-def test_decoding(spark, model):
-    starts = spark.createDataFrame(
-        [(i, seq) for i, seq in enumerate([[2], [2, 4], [2, 99], [2, 5, 3]] * 3)],
-        "doc_id long, seq array<int>")
-    greedy = as_dict(model.greedy(starts), "doc_id", "seq")
-    assert [greedy[i] for i in range(4)] == [[2, 4, 5], [2, 4, 5], [2, 99], [2, 5, 3]]
-    beam = model.beam_search(starts, 2)
-    assert beam.count() == 12
-    found = as_dict(beam, "doc_id", "seq")
-    assert [found[i] for i in range(4)] == [[2, 4, 5, 3], [2, 4, 5, 3], [2, 99], [2, 5, 3]]
-    assert as_dict(model.greedy(starts, 1), "doc_id", "seq")[0] == [2, 4]
+def encoded(spark, rows):
+    return spark.createDataFrame(list(enumerate(rows)), "doc_id long, ids array<int>")
+
+
+def test_decoding_depends_on_the_whole_text(spark, model):
+    # Two texts with the same first word decode differently.
+    rows = encoded(spark, [[4, 5], [4, 9], []])
+    assert as_dict(model.greedy(rows), "doc_id", "seq") == {0: [2, 4, 5], 1: [2, 4, 9], 2: [2]}
+    beam = as_dict(model.beam_search(rows, 2), "doc_id", "seq")
+    assert beam == {0: [2, 4, 5, 3], 1: [2, 4, 9, 3], 2: [2, 3]}
+    assert as_dict(model.greedy(rows, 1), "doc_id", "seq")[0] == [2, 4]
+    # Without a share of the text all texts go the corpus's way.
+    assert set(map(tuple, as_dict(model.greedy(rows, share=0.0), "doc_id", "seq").values())) == {(2, 4, 5)}
 
 
 def brute_beam(table, start, k, steps):
@@ -474,13 +539,18 @@ def test_beam_search_equals_brute_force(spark):
     table = {}
     for a, b, p in probs:
         table.setdefault(a, {})[b] = p
-    m = decoding.NextTokens(spark.createDataFrame(probs, "prev int, next int, p double"), len(probs))
-    starts = spark.createDataFrame([(s, [s]) for s in (2, 4, 7, 11)], "doc_id long, seq array<int>")
-    found = {r.doc_id: (r.seq, r.score) for r in m.beam_search(starts, 3, 6).collect()}
-    for s in (2, 4, 7, 11):
-        seq, score = brute_beam(table, s, 3, 6)
-        assert found[s][0] == seq
-        assert found[s][1] == pytest.approx(score)
+    m = decoding.NextTokens(spark.createDataFrame(probs, "prev int, next int, p double"))
+    rows = [[5, 6, 5, 7, 1, 9], [11, 4], [], [8, 8, 8, 10, 12]]
+    found = {r.doc_id: (r.seq, r.score) for r in m.beam_search(encoded(spark, rows), 3, 6).collect()}
+    for i, ids in enumerate(rows):
+        steps = Counter((a, b) for a, b in zip([2, *ids], [*ids, 3]) if b != 1)
+        mixed = {a: {b: p / 2 for b, p in nexts.items()} for a, nexts in table.items()}
+        for (a, b), n in steps.items():
+            total = sum(c for (x, _), c in steps.items() if x == a)
+            mixed.setdefault(a, {})[b] = mixed.get(a, {}).get(b, 0.0) + n / total / 2
+        seq, score = brute_beam(mixed, 2, 3, 6)
+        assert found[i][0] == seq
+        assert found[i][1] == pytest.approx(score)
 
 
 def test_next_token_table(spark):
@@ -493,14 +563,45 @@ def test_next_token_table(spark):
     assert as_dict(predicted, "doc_id", "predicted") == {0: [4, 3, 3, 0], 1: [4, 3, 0, 0]}
 
 
-def test_salience(spark, tmp_path):
-    rows = [(i, 0, "gato bueno casa" if i % 2 else "perro malo calle", float(i % 2)) for i in range(40)]
-    df = spark.createDataFrame(rows, "doc_id long, idx int, sentence string, label double")
-    fitted = salience.fit_salience(df, features=256, max_iter=5)
-    fitted.save(str(tmp_path / "model"))
-    scored = salience.score_salience(type(fitted).load(str(tmp_path / "model")), df.drop("label"))
-    assert scored.columns == ["doc_id", "idx", "sentence", "score"]
-    assert all((r.score > 0.5) == bool(r.doc_id % 2) for r in scored.collect())
+@pytest.mark.parametrize("settings", [DEFAULTS, TINY])
+def test_salience(spark, tmp_path, settings):
+    rows = [(i, 0, "gato bueno casa" if i % 2 else "perro malo calle", i % 2) for i in range(40)]
+    rows += [(40, 0, None, 1), (41, 0, "raro", None), (42, 0, "", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, idx int, sentence string, label int")
+    path = scratch_path(spark, "salience")
+    salience.fit_salience(df).save(path)
+    model = salience.Salience.load(spark, path)
+    score = as_dict(salience.score_salience(model, df.drop("label"), settings), "doc_id", "score")
+    assert all((score[i] > 0.5) == bool(i % 2) for i in range(40))
+    assert score[40] == score[41] == score[42] == pytest.approx(0.5)
+    # 61 words of either kind, 6 different ones.
+    assert score[1] == pytest.approx(1 / (1 + math.exp(-3 * math.log(21 / 1))))
+    # A word far behind counts like any other.
+    long = spark.createDataFrame(
+        [(0, 0, "nada " * 60 + "gato"), (1, 0, "nada " * 60 + "perro")], "doc_id long, idx int, sentence string")
+    far = as_dict(salience.score_salience(model, long, settings), "doc_id", "score")
+    assert far[0] > 0.5 > far[1]
+
+
+def test_own_specials_and_bare_words(spark, cats):
+    own = replace(DEFAULTS, special_tokens=("[P]", "[U]", "[S]", "[E]"))
+    book = vb.fit_vocabulary(cats, "text", 100, specials=own.special_tokens)
+    assert [r.token for r in book.table.orderBy("id").limit(4).collect()] == list(own.special_tokens)
+    seqs = spark.createDataFrame([(0, [2, 4, 99])], "doc_id long, seq array<int>")
+    assert as_dict(encoding.decode(seqs, "seq", book, settings=own), "doc_id", "text") == {0: "el [U]"}
+    row = texts(spark, ["(casa), ¡sol! -- a.b ..."]).select(tokens("text", strip_punct=True).alias("w")).first()
+    assert row.w == ["casa", "¡sol", "a.b"]
+
+
+def test_fixed_word_lists():
+    """The SQL side shares the stopwords; this pins them."""
+    from precis.functions.chars import WS_CHARS
+    from precis.sources.pairs import NA_TOKENS
+    from registry import oracles
+
+    assert len(STOPWORDS) == len(set(STOPWORDS)) == 118
+    assert sorted(WS_CHARS) == sorted(oracles.WS_CHARS) == sorted(c for c in map(chr, range(0x110000)) if c.isspace())
+    assert sorted(NA_TOKENS) == sorted(oracles.NA_TOKENS)
 
 
 def test_unroll_keeps_order_and_empty_rows(spark):

@@ -8,7 +8,7 @@ from precis.functions import sequences as sq
 from precis.functions import text as tx
 from precis.functions.chars import STOPWORDS, WS, W, strip_accents_text
 from precis.operators.ranking import adaptive_k
-from precis.sources.pairs import sample_pairs
+from tests.samples import sample_pairs
 
 
 def value(spark, text, column):
