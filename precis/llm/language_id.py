@@ -30,6 +30,7 @@ _NAMES = sorted({name for _, name in SCRIPTS})
 _FIRST = np.array([first for first, _ in SCRIPTS])
 _WHICH = np.array([_NAMES.index(name) for _, name in SCRIPTS])
 
+#: Runs of letters, and of signs for numbers such as superscripts, which go afterwards.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 COUNTS = "lang string, slot int, n long"
@@ -138,9 +139,15 @@ class Model:
             ids, letters, new = [], [], []
             for text in column(batch, "text").to_pylist():
                 words = WORD.findall(text.lower()) if text and self.languages else []
-                for w in set(words).difference(cache):
-                    cache[w] = len(cache)
-                    new.append(w)
+                own, signs = set(words), set()
+                for w in own.difference(cache):
+                    if w.isalpha() or any(map(str.isalpha, w)):
+                        cache[w] = len(cache)
+                        new.append(w)
+                    else:
+                        signs.add(w)
+                if signs:
+                    words = [w for w in words if w not in signs]
                 ids.append(np.fromiter(map(cache.__getitem__, words), np.int32, len(words)))
                 letters.append(np.fromiter(map(len, words), np.int32, len(words)))
             sizes = np.array([len(x) for x in ids], np.int64)

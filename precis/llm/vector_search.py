@@ -243,12 +243,11 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     n_lists = max(1, min(settings.most_lists, -(-n // settings.list_rows)))
     share = min(1.0, n_lists * settings.sample_per_list / max(1, n))
     draw = F.pmod(F.col("h1"), F.lit(1_000_000)) / F.lit(1e6)
-    sample = np.array([r.v for r in entries.where(draw < share).select("v").toLocalIterator()])
-    if not len(sample):
-        sample = np.array([r.v for r in entries.select("v").limit(1).collect()])
-    if not len(sample):
+    sample = [np.array(r.v) for r in entries.where(draw < share).select("v").toLocalIterator()]
+    sample = sample or [np.array(r.v) for r in entries.select("v").limit(1).collect()]
+    if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lists = Lists(CentroidGraph(balanced_centroids(sample, n_lists), settings), settings)
+    lists = Lists(CentroidGraph(balanced_centroids(np.array(sample), n_lists), settings), settings)
     own = rows.where(queries).select("vec_id", "v")
     filed = stored(entries.mapInArrow(lists.file, PLACED))
     asked = stored(own.select("v").distinct().select(*_digest(), "v").mapInArrow(lists.ask, ASKED))

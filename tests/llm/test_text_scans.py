@@ -172,7 +172,7 @@ def two_languages(spark):
 def test_spans_scripts_and_odd_rows(spark):
     model = lang.fit(two_languages(spark))
     assert model.languages == ["en", "ru"]
-    texts = ["the green garden дом и сад the sun", None, "", "12 -- 34", "дом", "中文字", "the " * 30_000, "THE HOUSE"]
+    texts = ["the green garden дом и сад the sun", None, "", "12 -- 34 ² Ⅷ", "дом", "中文字", "the " * 30_000, "THE HOUSE"]
     rows = {r.doc_id: r for r in lang.label_languages(cases.frame(spark, texts), model).collect()}
     assert [rows[i].lang_pred for i in range(8)] == ["en", "und", "und", "und", "ru", "en", "en", "en"]
     assert [tuple(s) for s in rows[0].spans] == [(0, 2, "en"), (3, 5, "ru"), (6, 7, "en")]
