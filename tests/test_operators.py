@@ -338,6 +338,7 @@ def test_assemble_lines(spark):
     }
     rows = [(d, i, t) for d, ts in entered.items() for i, t in enumerate(ts)]
     df = spark.createDataFrame(rows, "doc_id long, line_no int, line string")
+    assert exchanges(lines.assemble_lines(df)) == 1
     found = as_dict(lines.assemble_lines(df), "doc_id", "text")
     assert found == {0: "a   b", 1: "x", 3: "p"}
 
