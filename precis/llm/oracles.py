@@ -72,6 +72,46 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+#: Kind, pattern, group and its least length; base kinds as the contract has them, without bounds in the pattern.
+_RULES = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("bearer", r"(?i:bearer)\x20{1,8}[A-Za-z0-9._~+/=-]{16,}", 0, 0),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,1000}\.eyJ[A-Za-z0-9_-]{10,1000}\.[A-Za-z0-9_-]{10,}", 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("url_login", r"://[^/\x20:@\n]{1,256}:[^/\x20:@\n]{1,256}@", 0, 0),
+)
+
+
+def _matches(nth: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of one rule: the text between matches and the matches before add up to the start."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+      SELECT doc_id, {nth} AS nth, '{kind}' AS kind, total - n AS s, total AS e FROM (
+        SELECT doc_id, length(m) AS n, length(g) AS g, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS total
+        FROM (SELECT doc_id, unnest(range(len(ms))) AS i, unnest(ms) AS m, unnest(gs) AS g, unnest(gaps[1:len(ms)]) AS gap FROM (
+          SELECT doc_id, regexp_extract_all(t, {p}) AS ms, regexp_extract_all(t, {p}, {group}) AS gs,
+            string_split_regex(t, {p}) AS gaps FROM texts)))
+      WHERE g >= {least}"""
+
+
+OP7 = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_matches(i, *r) for i, r in enumerate(_RULES))}
+), named AS (
+  SELECT *, kind || ':' || CAST(s AS VARCHAR) || ':' || CAST(e AS VARCHAR) AS span FROM spans
+)
+SELECT t.doc_id, count(*) FILTER (WHERE nth = 0) AS n_assign, count(*) FILTER (WHERE nth = 1) AS n_access,
+  count(*) FILTER (WHERE nth = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, nth) FILTER (WHERE nth < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY s, nth), '') AS spans
+FROM texts t LEFT JOIN named n ON t.doc_id = n.doc_id GROUP BY t.doc_id
+"""
+
 OP8 = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -168,6 +208,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM draw WHERE n_copies
 """
 
 SQL = {
-    "op1_line_dedup": OP1, "op2_near_dedup": OP2, "op3_substring_dedup": OP3, "op8_benchmark_decontamination": OP8,
+    "op1_line_dedup": OP1, "op2_near_dedup": OP2, "op3_substring_dedup": OP3, "op7_secret_scan": OP7,
+    "op8_benchmark_decontamination": OP8,
     "op9_warc_revisits": OP9, "op10_poisson_mixing": OP10,
 }

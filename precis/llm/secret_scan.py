@@ -43,7 +43,7 @@ RULES = (
     Rule("bearer", r"(?i:bearer)\x20{1,8}[A-Za-z0-9._~+/=-]{16,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,4096}\.eyJ[A-Za-z0-9_-]{10,4096}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,1000}\.eyJ[A-Za-z0-9_-]{10,1000}\.[A-Za-z0-9_-]{10,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("url_login", r"://[^/\x20:@\n]{1,256}:[^/\x20:@\n]{1,256}@"),
