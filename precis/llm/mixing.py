@@ -9,10 +9,15 @@ from precis.llm.common import numbered, restored
 
 #: A mean above this is drawn as the sum of equal parts, so that exp(-mean) stays a normal number.
 PART = 64.0
+#: Sources up to which their table (1.5 KB a source at most) is sent to all tasks.
+MOST_BROADCAST = 10_000
+SALTS = 64
 
 
-def source_rates(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, alpha: float = 0.5) -> DataFrame:
-    """source, rate: the mean number of copies of each of its documents.
+def source_rates(
+    docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, alpha: float = 0.5
+) -> tuple[DataFrame, int]:
+    """source, rate (the mean number of copies of each of its documents), and the number of sources.
 
     ``weights`` (source, weight) has the target share of each source; sources that
     it lacks, or gives a null or negative weight, get none. Without it a source's
@@ -28,11 +33,11 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, epochs: floa
         given = weights.groupBy(F.col("source").alias("s")).agg(F.greatest(F.sum("weight"), F.lit(0.0)).alias("weight"))
         weighed = counts.join(given, counts["source"].eqNullSafe(given["s"]), "left").select(
             "source", "n", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight"))
-    # Two numbers; the decimal makes the sum the same in any order.
+    # Three numbers; the decimal makes the sum the same in any order.
     weight = F.sum(F.col("weight").cast("decimal(38,9)")).cast("double")
-    total = weighed.agg(F.sum("n").alias("n"), weight.alias("weight")).first()
+    total = weighed.agg(F.sum("n").alias("n"), weight.alias("weight"), F.count(F.lit(1)).alias("sources")).first()
     scale = float(epochs) * total.n / total.weight if total.weight else 0.0
-    return weighed.select("source", (F.col("weight") * F.lit(scale) / F.col("n")).alias("rate"))
+    return weighed.select("source", (F.col("weight") * F.lit(scale) / F.col("n")).alias("rate")), total.sources
 
 
 def uniform(*parts: Column) -> Column:
@@ -61,13 +66,21 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
         "*", _cdf(F.col("rate") / F.col("parts")).alias("cdf"))
 
 
-def _replicated(rows: DataFrame, source: Column, tables: DataFrame, seed: str) -> DataFrame:
+def _replicated(
+    docs: DataFrame, rows: DataFrame, source: Column, weights: DataFrame | None, epochs: float, alpha: float,
+    seed: str, most_broadcast: int,
+) -> DataFrame:
     """``rows`` with n_copies, copy (from 1) and order_key, one row for each copy."""
-    # A plain join: sources may be many, and a source with a third of the rows is
-    # split by adaptive execution, as the other side has one row of it.
-    tables = tables.withColumnRenamed("source", "t_source")
-    joined = rows.join(tables, source.eqNullSafe(F.col("t_source")))
-
+    rates, n_sources = source_rates(docs, weights, epochs, alpha)
+    tables = poisson_tables(rates).withColumnRenamed("source", "t_source")
+    same = source.eqNullSafe(F.col("t_source"))
+    if n_sources <= most_broadcast:
+        joined = rows.join(F.broadcast(tables), same)
+    else:
+        # Each source is SALTS keys, so that one with a third of all rows fills no task.
+        salted = tables.withColumn("t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "k2"), F.lit(SALTS)).cast("int")
+        joined = rows.withColumn("salt", salt).join(salted, same & (F.col("salt") == F.col("t_salt"))).drop("salt", "t_salt")
     draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: uniform(F.lit(seed), F.col("doc_id"), part))
     n = F.aggregate(draws, F.lit(0), lambda n, u: n + F.aggregate("cdf", F.lit(0), lambda k, c: k + (c <= u).cast("int")))
     drawn = joined.withColumn("n_copies", F.when(F.col("rate") > 0, n).otherwise(0)).drop("cdf", "parts", "rate", "t_source")
@@ -79,31 +92,32 @@ def _replicated(rows: DataFrame, source: Column, tables: DataFrame, seed: str) -
 
 def mix(
     docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, alpha: float = 0.5, seed: str = "mix",
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """Copies of documents so that sources have their target weights, globally shuffled.
 
     Each document gets a Poisson number of copies with its source's rate as the
     mean (``source_rates``), found by inverting the distribution at a hash of seed
     and doc_id, so a run can be repeated. The copies are sorted by a digest of
-    seed, document and copy number. Rows with equal doc_id draw the same number. Texts
-    may be null, empty or long, as they are only carried. An empty table gives none.
+    seed, document and copy number. Rows with equal doc_id draw alike if their
+    sources are alike. Texts may be null, empty or long, as they are only carried.
+    An empty table gives none.
 
     Returns doc_id, source, text, n_copies, copy, order_key in shuffled order.
     """
     at = docs.columns.index("source")
-    rows = numbered(docs)
-    tables = poisson_tables(source_rates(docs, weights, epochs, alpha))
-    rows = rows.select("doc_id", "text", "k2", F.col(f"c{at}").cast("string").alias("source"))
-    mixed = _replicated(rows, F.col("source"), tables, seed)
+    rows = numbered(docs).select("doc_id", "text", "k2", F.col(f"c{at}").cast("string").alias("source"))
+    mixed = _replicated(docs, rows, F.col("source"), weights, epochs, alpha, seed, most_broadcast)
     return mixed.orderBy("order_key").select(
         "doc_id", "source", "text", F.col("n_copies").cast("long"), F.col("copy").cast("long"), "order_key")
 
 
 def mixed_documents(
     docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, alpha: float = 0.5, seed: str = "mix",
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """The copies of ``mix`` in shuffled order, with the columns of ``docs``."""
     at = docs.columns.index("source")
-    tables = poisson_tables(source_rates(docs, weights, epochs, alpha))
-    mixed = _replicated(numbered(docs), F.col(f"c{at}").cast("string"), tables, seed).orderBy("order_key")
-    return restored(mixed, docs)
+    rows, source = numbered(docs), F.col(f"c{at}").cast("string")
+    mixed = _replicated(docs, rows, source, weights, epochs, alpha, seed, most_broadcast)
+    return restored(mixed.orderBy("order_key"), docs)
