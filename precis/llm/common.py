@@ -136,7 +136,12 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written as a table to the shared checkpoint folder and read from there."""
+    """The rows written as a table to the shared checkpoint folder and read from there.
+
+    Besides the lineage, this makes a join with sums plain: both sides are then shuffled
+    for the join itself, which lets adaptive execution split a key with many rows, and
+    Spark knows the size of the table, and so whether to send it whole.
+    """
     path = scratch_path(df.sparkSession, "llm")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

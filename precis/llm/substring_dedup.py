@@ -154,21 +154,22 @@ def repeated_spans(docs: DataFrame, n: int = 35) -> DataFrame:
     rows = keyed(docs).select("doc_id", *KEY, "text")
     paths = rows.select(*KEY, "text").mapInArrow(paths_of(n, core), PATHS)
     # Counts and extremes combine before the shuffle, so hot passages are a row for each task.
-    cores = paths.groupBy("core").agg(
+    cores = stored(paths.groupBy("core").agg(
         F.count(F.lit(1)).alias("times"), F.min("path").alias("low"), F.max("path").alias("high"), F.max("loop").alias("loops"),
-    ).where("times > 1 or loops")
+    ).where("times > 1 or loops"))
     branches = (F.col("low") != F.col("high")) | F.col("loops")
     found = stored(paths.join(cores, "core").select(*KEY, "start", "n", "core", "path", branches.alias("branches")))
     whole = found.where("not branches").select(*KEY, "start", "n")
     branching = found.where("branches")
     # Each kind of path once, with the coordinates of one of its places.
-    kinds = branching.groupBy("core", "path").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEY, "start", "n")).alias("source"))
+    kinds = stored(branching.groupBy("core", "path").agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEY, "start", "n")).alias("source")))
     copies = branching.join(kinds.where("times > 1").select("core", "path"), ["core", "path"]).select(*KEY, "start", "n")
     asked = kinds.select("source.*", "core", "times").groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "n", "core", F.least("times", F.lit(2).cast("long")).alias("times"))).alias("asked"))
     windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n), WINDOWS))
-    repeated = windows.groupBy("core", "window").agg(F.sum("times").alias("n")).where("n > 1").select("core", "window")
+    repeated = stored(
+        windows.groupBy("core", "window").agg(F.sum("times").alias("n")).where("n > 1").select("core", "window"))
     single = windows.where("times = 1").join(repeated, ["core", "window"]).select(
         *KEY, F.col("at").alias("start"), F.lit(1).alias("n"))
     spans = whole.unionAll(copies).unionAll(single)
