@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import BLANKS, KEY, ascii_lower, keyed, numbered, restored
+from precis.llm.common import BLANKS, KEY, ascii_lower, keyed, numbered, restored, stored
 
 
 def _lines(text: Column) -> Column:
@@ -28,7 +28,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Da
     rows = keyed(docs).select(*KEY, _digests(_lines(F.col("text")), min_chars).alias("d"))
     # One row for each key of a document (the outer form computes the array once); counts combine before the shuffle, so a
     # line that is everywhere costs one row for each task.
-    frequent = (
+    frequent = stored(
         rows.select(F.explode_outer(F.array_distinct("d")).alias("d")).where("d is not null")
         .select("d.h1", "d.h2").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_docs).select("h1", "h2")
