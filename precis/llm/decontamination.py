@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.llm.common import KEY, as_bytes, column, keyed, numbered, pick, restored, slices
@@ -107,8 +108,32 @@ class Index:
         self.matchers = [Matcher(w, length) for length, w in sorted(windows.items())]
 
     def scan(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return self._scan(slices(batches))
+
+    def clean(self, share: int):
+        """mapInArrow function that passes on the rows of which less than 1 / share of the words is hit."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = []
+
+            def seen() -> Iterator[pa.RecordBatch]:
+                for part[:] in ([x] for x in slices(batches)):
+                    yield part[0]
+
+            for out in self._scan(seen()):
+                good = []
+                for n, first, last in zip(*(column(out, c).to_pylist() for c in ("n_words", "first", "last"))):
+                    n_hit, end = 0, -1
+                    for a, b in sorted(zip(first, last)):
+                        n_hit += max(0, b - max(end, a - 1))
+                        end = max(end, b)
+                    good.append(not n_hit or share * n_hit < n)
+                yield part[0].filter(pa.array(good, pa.bool_()))
+
+        return run
+
+    def _scan(self, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, none = self.vocabulary.get, 0
-        for batch in slices(batches):
+        for batch in parts:
             ids, sizes = [], []
             for text in as_bytes(batch):
                 own = words(text)
@@ -139,36 +164,35 @@ class Index:
             ], names=["doc_id", "k1", "k2", "n_words", "first", "last", "item"])
 
 
+def indexes(benchmark: DataFrame, n: int, block_bytes: int) -> list[Index]:
+    """The items in blocks of about ``block_bytes`` of text, so that what is sent to a task is bounded."""
+    items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = items.where("text is not null").select(F.coalesce("item_id", F.lit("null")).alias("item_id"), "text")
+    size = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
+    n_blocks = max(1, math.ceil(size / block_bytes))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    return [
+        Index(((r.item_id, r.text.encode()) for r in items.where(block == b).toLocalIterator()), n) for b in range(n_blocks)]
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_bytes: int = 64 << 20) -> DataFrame:
     """Spans of each document's words that some item's window covers, and the items.
 
-    Items are sent to the tasks in blocks of about ``block_bytes`` of text, each
-    read by the driver once; a benchmark beyond that is several blocks, whose
-    searches are put together by document. No item is left out.
+    A benchmark beyond ``block_bytes`` is several blocks, whose searches are put
+    together by document. No item is left out.
     Returns doc_id, k1, k2, n_words, first, last, item (spans may overlap).
     """
-    items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    items = items.where("text is not null").select(F.coalesce("item_id", F.lit("null")).alias("item_id"), "text")
-    size = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
-    n_blocks = max(1, math.ceil(size / block_bytes))
-    rows, parts = keyed(docs), []
-    if n_blocks > 1:
-        # Rows of one key are copies; they come back below.
-        rows = rows.dropDuplicates(list(KEY))
-    for b in range(n_blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
-        index = Index(((r.item_id, r.text.encode()) for r in own.toLocalIterator()), n)
-        parts.append(rows.mapInArrow(index.scan, HITS))
-    if n_blocks == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionAll(p)
+    blocks, rows = indexes(benchmark, n, block_bytes), keyed(docs)
+    if len(blocks) == 1:
+        return rows.mapInArrow(blocks[0].scan, HITS)
+    # Rows of one key are copies; they come back below.
+    once = rows.dropDuplicates(list(KEY))
+    every = reduce(DataFrame.unionAll, (once.mapInArrow(b.scan, HITS) for b in blocks))
     merged = every.groupBy(*KEY).agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("first")).alias("first"),
         F.flatten(F.collect_list("last")).alias("last"), F.array_distinct(F.flatten(F.collect_list("item"))).alias("item"),
     )
-    return keyed(docs).select("doc_id", *KEY).join(merged, list(KEY)).select("doc_id", *KEY, "n_words", "first", "last", "item")
+    return rows.select("doc_id", *KEY).join(merged, list(KEY)).select("doc_id", *KEY, "n_words", "first", "last", "item")
 
 
 def decontaminate(
@@ -201,11 +225,12 @@ def decontaminate(
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 64 << 20
+) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
-    bad = decontaminate(docs, benchmark, n, share).where("contaminated").select(*KEY).distinct()
-    return restored(numbered(docs).join(bad, list(KEY), "left_anti"), docs)
-
-
-def benchmark_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    blocks, rows = indexes(benchmark, n, block_bytes), numbered(docs)
+    if len(blocks) == 1:
+        return restored(rows.mapInArrow(blocks[0].clean(share), rows.schema), docs)
+    bad = decontaminate(docs, benchmark, n, share, block_bytes).where("contaminated").select(*KEY).distinct()
+    return restored(rows.join(bad, list(KEY), "left_anti"), docs)

@@ -131,9 +131,28 @@ class Model:
             return np.where(known, np.where(at, score, last) - best, 0.0).astype(np.float32)
 
     def label(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return self._label(slices(batches))
+
+    def keep(self, least: float, wanted: tuple[str, ...] | None):
+        """mapInArrow function that passes on the rows with ``least`` of their letters in a wanted language."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = []
+
+            def seen() -> Iterator[pa.RecordBatch]:
+                for part[:] in ([x] for x in slices(batches)):
+                    yield part[0]
+
+            for out in self._label(seen()):
+                found = zip(column(out, "lang_pred").to_pylist(), column(out, "score").to_pylist())
+                good = [x != UNKNOWN and s >= least and (wanted is None or x in wanted) for x, s in found]
+                yield part[0].filter(pa.array(good, pa.bool_()))
+
+        return run
+
+    def _label(self, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
         scores = np.zeros((0, len(self.languages)), np.float32)
-        for batch in slices(batches):
+        for batch in parts:
             if len(cache) > self.settings.cache:
                 cache, scores = {}, scores[:0]
             ids, letters, new = [], [], []
@@ -257,8 +276,5 @@ def with_known_language(docs: DataFrame, model: Model, least: float = 0.5, wante
 
     A row goes if it has no letters, or no language has ``least`` of them.
     """
-    good = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
-    if wanted is not None:
-        good = good & F.col("lang_pred").isin(*wanted)
-    gone = label_languages(docs, model).where(~good).select(*KEY).distinct()
-    return restored(numbered(docs).join(gone, list(KEY), "left_anti"), docs)
+    rows = numbered(docs)
+    return restored(rows.mapInArrow(model.keep(least, wanted), rows.schema), docs)

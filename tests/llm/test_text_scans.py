@@ -36,10 +36,11 @@ def test_hits_against_plain_python(spark, block_bytes):
     assert [got[i] for i in range(len(texts))] == cases.contaminated(texts, [(i, t) for i, t, *_ in bench])
 
 
-def test_contaminated_rows_go(spark):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 4])
+def test_contaminated_rows_go(spark, block_bytes):
     docs = cases.frame(spark, ["a b c", "a b c", "z " * 60 + "a b c", None, "z"], [1, 1, 2, None, 3])
-    bench = items(spark, [(1, "A b; c", 0, "")])
-    out = without_contaminated(docs, bench, n=3)
+    bench = items(spark, [(1, "A b; c", 0, ""), (2, "never", 0, ""), (3, "seen", 0, "")])
+    out = without_contaminated(docs, bench, n=3, block_bytes=block_bytes)
     assert out.columns == docs.columns
     kept = sorted(str(r.doc_id) for r in out.collect())
     # 3 of 63 words are 20 * 3 = 60 < 63: not enough.
