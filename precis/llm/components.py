@@ -23,6 +23,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("n").alias("b")))
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """No node is a centre and a ray, or a ray of two centres."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("centre")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("centre")))
+    seen = ends.groupBy("node").agg(F.max("centre").alias("centre"), F.sum(1 - F.col("centre")).alias("rays"))
+    return seen.where("rays > 1 or (rays > 0 and centre = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a, b); the root is the least node it is linked with.
 
@@ -30,13 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     with the logarithm of the longest chain. Nodes without links are not returned.
     """
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    edges, last = stored(edges), None
-    while True:
+    edges = stored(edges)
+    while not _all_stars(edges):
         edges = stored(_small_star(_large_star(edges)).where("a <> b").distinct())
-        # The stars are the result once a round changes nothing: the same edges in number and digest.
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if now == last:
-            break
-        last = now
     roots = edges.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("root"))
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(roots)

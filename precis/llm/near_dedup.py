@@ -214,7 +214,7 @@ def _differences(a: Column, b: Column) -> Column:
 def _star_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Links between each bucket's leader and its other members."""
     meets = members.groupBy("node").agg(F.sum("m").alias("meets"))
-    leaders = members.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("top"))
+    leaders = stored(members.join(meets, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("top")))
     pairs = members.join(leaders, "bucket").select("node", F.col("top.node").alias("leader")).where("node <> leader")
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
@@ -236,7 +236,7 @@ def _rest_links(members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: Da
     """Links between members of a bucket that are in different components."""
     placed = members.join(roots, "node", "left").select("bucket", "m", "node", F.coalesce("root", "node").alias("root"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = open_.where("low <> high").select("bucket")
+    open_ = stored(open_.where("low <> high").select("bucket"))
     n_blocks = F.ceil(F.col("m") / settings.block).cast("int")
     left = placed.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
     # A block meets itself and every other block of its bucket once.
@@ -264,10 +264,14 @@ def near_components(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     texts = nodes.select("node", *KEY).join(rows.select(*KEY, "text"), list(KEY)).select("node", "text")
     sets = stored(texts.mapInArrow(_sets_of(settings.words), SETS).dropDuplicates(["node"]))
     links = stored(_star_links(members, nodes, sets, settings))
-    more = _rest_links(members, components(links), nodes, sets, settings)
-    roots = components(links.unionAll(more))
+    roots = components(links)
+    more = stored(_rest_links(members, roots, nodes, sets, settings))
+    if not more.isEmpty():
+        # The components found so far are stars, to which the further links are added.
+        stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+        roots = components(stars.unionAll(more))
     named = classes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = stored(named.groupBy("root").agg(F.min("least_id").alias("component_id")))
     named = named.join(least, "root").select("node", "root", "component_id")
     return signed.select("doc_id", *KEY, "n_shingles", "node").join(named, "node", "left").select(
         "doc_id", *KEY, "n_shingles", "node", "root",
