@@ -83,6 +83,36 @@ def test_bounded_forms_equal_the_open_ones():
             assert [m.span() for m in re.finditer(rule.pattern, text)] == long
 
 
+def test_long_tokens_and_logins(spark):
+    long, head = "aB3_-" * 1000, "eyJhbGciOiJIUzI1NiJ9"
+    tokens = [f"{head}.eyJ{long}.{long}", f"eyJ{long}.eyJ{long}.signature-0", f"{head}.eyJzdWIiOiIxMjM0.signature-0"]
+    logins = [f"://user:{'p' * 3000}@", f"://{'u' * 3000}:pw@", "://u:p@"]
+    texts = [f"see {t} there" for t in tokens] + [f"x-{tokens[0]}.y eyJabc {tokens[2]}"] + [f"https{x}host/" for x in logins]
+    texts += [f"eyJ{long}.{tokens[2][:-12]} b", "eyJabc.eyJabcdefghijk.eyJabcdefghijk", f"://{long}", "eyJabcdefghijk.eyJabcdefghijk.short"]
+    want = [[("jwt", 4, 4 + len(t))] for t in tokens]
+    want += [[("jwt", 2, 2 + len(tokens[0])), ("jwt", len(texts[3]) - len(tokens[2]), len(texts[3]))]]
+    want += [[("url_login", 5, 5 + len(x))] for x in logins]
+    want += [[("jwt", 0, len(texts[7]) - 2)], [], [], []]
+    rows = secrets.secret_scan(cases.frame(spark, texts)).collect()
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind in ("jwt", "url_login")] for r in rows}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 100_000, "eyJabcdefghijk." * 20_000, "://" + "a" * 300_000, "://a:" * 60_000])
+def test_long_runs_are_linear(text):
+    assert [s for s in plain_spans(text) if s[2] == "url_login"] == []
+
+
+def test_tokens_equal_the_open_form():
+    rng = random.Random(9)
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    for _ in range(5000):
+        text = "".join(rng.choices(["eyJ", "abcdefghij", "ab", ".", ".eyJ", " "], [3, 5, 1, 2, 3, 1], k=rng.randint(1, 30)))
+        found = [m.span() for m in re.finditer(rule.pattern, text) if m[1]]
+        assert found == [m.span() for m in plain.finditer(text)]
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{24,}") == []
     assert secrets.trigram_query("AKIA[A-Z0-9]{16,}") == [[frozenset({"aki", "kia"})]]
