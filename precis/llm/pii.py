@@ -30,6 +30,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _SOME = re.compile(r"[0-9@]|[\[(]at[\])]")
 _TOKEN = re.compile(r"\S+")
+#: Blank-free runs above this length are cut into further tokens; no character is left out.
+LONG = 80
+# Signs that some kind contains, also in disguise, and those that none does; scripts without blanks.
+_SIGNS = r"0-9._%+\-@()\[\]\uFF10-\uFF19\uFF20\uFF0B\uFF0D\uFF0E"
+_OTHER = (r"!-$&'*,/:-?\\^`{-~\u00A1-\u00A9\u00AB-\u00B4\u00B6-\u00B9\u00BB-\u00BF\u00D7\u00F7"
+          r"\u2010-\u206F\u3001-\u303F\uFF01-\uFF0A\uFF0C\uFF0F\uFF1A-\uFF1F\uFF5B-\uFF65")
+_LATIN = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u036F\u1E00-\u1EFF\uFF21-\uFF3A\uFF41-\uFF5A"
+_DENSE = (r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF"
+          r"\uFF66-\uFF9F\U00020000-\U0003FFFF")
+_REST = rf"[^\s{_SIGNS}{_OTHER}{_LATIN}{_DENSE}]"
+_PIECE = re.compile(
+    rf"[{_DENSE}]+|[{_OTHER}]+|[{_SIGNS}]*+(?:[{_LATIN}][{_LATIN}{_SIGNS}]*|{_REST}(?:{_REST}|[{_SIGNS}])*)|[{_SIGNS}]+")
 
 FOUND = ("doc_id long, text string, base array<struct<start:int,kind:int,end:int>>, "
          "added array<struct<start:int,kind:int,end:int>>")
@@ -81,10 +93,22 @@ def shape(word: str) -> str:
         n = len(m[0])
         return "0" if n > 19 else "l" if n > 11 else "m" if n > 8 else "s" if n > 4 else str(n)
 
-    plain = re.sub(r"[^\W\d_]+", "x", word[:80])
+    plain = re.sub(r"[^\W\d_]+", "x", word)
     return re.sub(r"([^\w\s])\1+", r"\1", re.sub(r"[0-9]+", run, plain))
 
 
+def tokens(text: str) -> list[tuple[int, int]]:
+    """Bounds of the runs without blanks; long ones are cut at signs that no kind contains and where the script changes."""
+    out = []
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        if b - a > LONG:
+            out += [p.span() for p in _PIECE.finditer(text, a, b)]
+        else:
+            out.append((a, b))
+    return out
+
+
 @dataclass(frozen=True)
 class Settings:
     #: Documents (on average) that the labelled table is made from, and sequences that training takes at most.
@@ -107,7 +131,7 @@ class Tagger:
         """Bounds of words near one that may matter; neighbourhoods that touch are one sequence."""
         if not _SOME.search(text):
             return []
-        words = [m.span() for m in _TOKEN.finditer(text)]
+        words = tokens(text)
         starts = np.array([a for a, _ in words])
         hits = np.array([m.start() for m in _SOME.finditer(text)])
         at = np.unique(np.searchsorted(starts, hits, side="right") - 1)

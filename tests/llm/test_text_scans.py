@@ -167,6 +167,31 @@ def test_added_spans(spark):
     assert all(r.base == [] for r in rows.values())
 
 
+def test_added_spans_in_long_runs(spark):
+    plain = [f"write to ab.{i}@mail.example.com or call +1 (20{i % 10}) 555-01{i % 90 + 10} soon" for i in range(200)]
+    plain += [f"we counted {i} birds in {1900 + i} and {i * 37} more" for i in range(200)]
+    finder = pii.fit(cases.frame(spark, plain))
+    mail, lead = "xy.9(at)mail.example.com", "abcdefgh," * 20
+    new = ['{"n":"' + lead + '","mail":"' + mail + '","b":"' + lead + '"}', "中文" * 60 + mail + "中文" * 60, lead + "nothing"]
+    rows = {r.doc_id: r for r in pii.find_pii(cases.frame(spark, new), finder).collect()}
+    found = [[(pii.KINDS[s.kind], rows[i].text[s.start : s.end]) for s in rows[i].added] for i in range(len(new))]
+    assert found == [[("email", mail)], [("email", mail)], []]
+
+
+def test_tokens_keep_all_characters():
+    rng = random.Random(10)
+    parts = ["ab", "(at)", "中文", "ไทย", "дом", "é", "ß", '"', ",", "{", "12", "＠", "．", "„", "“", "€", "·", "\u0301", "ª", "@", "/", "\\", "\ud800", "😀"]
+    for _ in range(500):
+        text = "".join(rng.choices([*parts, " "], k=rng.randint(1, 400)))
+        assert "".join(text[a:b] for a, b in pii.tokens(text)) == re.sub(r"\s", "", text)
+    assert pii.shape("ab1" * 40 + "@x") != pii.shape("ab1" * 40 + "x") and pii.shape("a" * 90 + "@") == "x@"
+
+
+@pytest.mark.parametrize("text", ["(" * 300_000, "1," * 150_000, "a中" * 150_000, "(д" * 150_000, "((((," * 60_000])
+def test_tokens_are_linear(text):
+    pii.tokens(text)
+
+
 def test_personal_data_odd_rows(spark):
     texts = cases.odd_texts() + pii_texts()[:300]
     docs = cases.frame(spark, texts)
