@@ -24,7 +24,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have letters, most of them in one of the languages that the corpus teaches."""
-    return with_known_language(docs, fit(docs))
+    return with_known_language(docs, fit(docs), strangers=False)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

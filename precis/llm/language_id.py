@@ -114,9 +114,10 @@ class Model:
         share = scripts / np.maximum(scripts.sum(0), 1)
         self.candidates = share >= settings.script_share
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """For each word the mean log probability of its pieces, scaled to two pieces.
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the scores by language, and whether its script is one that a language is written in.
 
+        A score is the mean log probability of its pieces, scaled to two pieces.
         The best candidate has 0; languages not written in the word's script have 10
         less than the last candidate. In a strange script all have 0.
         """
@@ -128,13 +129,16 @@ class Model:
         last = np.where(at, score, np.inf).min(1, keepdims=True) - 10
         known = at.any(1, keepdims=True)
         with np.errstate(invalid="ignore"):
-            return np.where(known, np.where(at, score, last) - best, 0.0).astype(np.float32)
+            return np.where(known, np.where(at, score, last) - best, 0.0).astype(np.float32), known[:, 0]
 
     def label(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return self._label(slices(batches))
 
-    def keep(self, least: float, wanted: tuple[str, ...] | None):
-        """mapInArrow function that passes on the rows with ``least`` of their letters in a wanted language."""
+    def keep(self, least: float, wanted: tuple[str, ...] | None, strangers: bool):
+        """mapInArrow function that passes on the rows with ``least`` of their letters in a wanted language.
+
+        With ``strangers`` letters of a strange script count for the language that their word is labelled with.
+        """
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = []
 
@@ -142,19 +146,19 @@ class Model:
                 for part[:] in ([x] for x in slices(batches)):
                     yield part[0]
 
-            for out in self._label(seen()):
+            for out in self._label(seen(), strangers):
                 found = zip(column(out, "lang_pred").to_pylist(), column(out, "score").to_pylist())
                 good = [x != UNKNOWN and s >= least and (wanted is None or x in wanted) for x, s in found]
                 yield part[0].filter(pa.array(good, pa.bool_()))
 
         return run
 
-    def _label(self, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def _label(self, parts: Iterator[pa.RecordBatch], strangers: bool = False) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
-        scores = np.zeros((0, len(self.languages)), np.float32)
+        scores, known = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, bool)
         for batch in parts:
             if len(cache) > self.settings.cache:
-                cache, scores = {}, scores[:0]
+                cache, scores, known = {}, scores[:0], known[:0]
             ids, letters, new = [], [], []
             for text in column(batch, "text").to_pylist():
                 words = WORD.findall(text.lower()) if text and self.languages else []
@@ -171,19 +175,20 @@ class Model:
                 letters.append(np.fromiter(map(len, words), np.int32, len(words)))
             sizes = np.array([len(x) for x in ids], np.int64)
             if new:
-                scores = np.concatenate([scores, self.score(new)])
+                more, fits = self.score(new)
+                scores, known = np.concatenate([scores, more]), np.concatenate([known, fits])
             if sizes.any():
                 labels = viterbi(scores, np.concatenate(ids), sizes, self.settings.switch)
             ends = np.cumsum(sizes)
             best, score, spans = [], [], []
-            for n, end, own in zip(sizes.tolist(), ends.tolist(), letters):
+            for n, end, own, words in zip(sizes.tolist(), ends.tolist(), letters, ids):
                 if not n:
                     best.append(UNKNOWN), score.append(0.0), spans.append([])
                     continue
                 mine = labels[end - n : end]
-                weight = np.bincount(mine, own, len(self.languages))
-                best.append(self.languages[int(weight.argmax())])
-                score.append(float(weight.max() / weight.sum()))
+                weight = np.bincount(mine, own if strangers else own * known[words], len(self.languages))
+                best.append(self.languages[int((weight if weight.any() else np.bincount(mine, own)).argmax())])
+                score.append(float(weight.max() / own.sum()))
                 cuts = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), n]
                 spans.append([{"first": a, "last": b - 1, "lang": self.languages[mine[a]]} for a, b in zip(cuts, cuts[1:])])
             yield pa.RecordBatch.from_arrays([
@@ -261,7 +266,9 @@ def label_languages(docs: DataFrame, model: Model) -> DataFrame:
     in it; a word in a script that none was learned for fits all alike. Scores of
     words by language are joined by Viterbi with a price for each change. The
     text's language is the one with the most letters (of equals the first by name),
-    its score the share of them. A null text and one without letters are ``und``
+    its score the share of them in all letters. Letters of a word in a strange script
+    are no language's: a text of such words alone has a learned language with score 0.
+    A null text and one without letters are ``und``
     with score 0, and so is all if nothing could be learned. Repeated rows each have
     their result; an empty table gives none.
 
@@ -271,10 +278,13 @@ def label_languages(docs: DataFrame, model: Model) -> DataFrame:
     return keyed(docs).select("doc_id", *KEY, "text").mapInArrow(model.label, LABELS)
 
 
-def with_known_language(docs: DataFrame, model: Model, least: float = 0.5, wanted: tuple[str, ...] | None = None) -> DataFrame:
+def with_known_language(docs: DataFrame, model: Model, least: float = 0.5, wanted: tuple[str, ...] | None = None,
+                        strangers: bool = True) -> DataFrame:
     """The rows of ``docs`` in a wanted language (any learned one by default), unchanged.
 
-    A row goes if it has no letters, or no language has ``least`` of them.
+    A row goes if it has no letters, or no language has ``least`` of them. Letters of
+    words in a script that no learned language uses count for the language that
+    the word is labelled with, or without ``strangers`` for none.
     """
     rows = numbered(docs)
-    return restored(rows.mapInArrow(model.keep(least, wanted), rows.schema), docs)
+    return restored(rows.mapInArrow(model.keep(least, wanted, strangers), rows.schema), docs)

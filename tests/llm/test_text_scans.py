@@ -240,6 +240,22 @@ def test_spans_scripts_and_odd_rows(spark):
     assert lang.label_languages(cases.frame(spark, texts).limit(0), model).collect() == []
 
 
+def test_strange_scripts_are_no_language(spark):
+    import corpus_pipeline
+
+    docs = two_languages(spark)
+    model = lang.fit(docs)
+    texts = ["中文字", "ქართული ენა", "the house 中文字中文字中文字中文字", "the garden 中文", "дом и сад", "中文字中文字 дом"]
+    rows = {r.doc_id: r for r in lang.label_languages(cases.frame(spark, texts), model).collect()}
+    assert [rows[i].score for i in range(6)] == [0.0, 0.0, 8 / 20, 9 / 11, 1.0, 3 / 9]
+    assert [rows[i].lang_pred for i in range(2, 6)] == ["en", "en", "ru", "ru"]
+    strict = lang.with_known_language(cases.frame(spark, texts), model, strangers=False)
+    assert sorted(r.doc_id for r in strict.collect()) == [3, 4]
+    more = docs.unionAll(spark.createDataFrame([(9_000 + i, t, None) for i, t in enumerate(texts)], docs.schema))
+    kept = [r.doc_id for r in corpus_pipeline.language_id(spark, more, "").collect()]
+    assert sorted(i for i in kept if i >= 9_000) == [9_003, 9_004] and len(kept) == 18
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
