@@ -207,8 +207,106 @@ SELECT doc_id, source, n_copies, copy, md5('mix|order|' || coalesce(CAST(doc_id
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM draw WHERE n_copies > 0)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """The checksum of ASCII text: each character is one step that takes it in, and eight that shift a bit out."""
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({text}, ''),
+      lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+# Overlaps of a text with itself are stretches of equal six-word runs at one distance; a run is an overlap and one period.
+OP11 = f"""
+WITH w AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents
+), a AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM w
+), p AS (
+  SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM a
+), texts AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_concat(w[1:a], list_transform(range(len(w) - a), lambda i: w[a + i % p + 1])) END AS w FROM p
+), words AS (
+  SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM texts
+), grams AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS i FROM texts WHERE len(w) > 11)
+), pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i
+), chains AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 6 + q AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS chain FROM pairs) GROUP BY doc_id, q, chain
+), runs AS (
+  SELECT doc_id, s, e - s AS n, min(q) AS q FROM chains WHERE e - s >= greatest(12, 2 * q) GROUP BY doc_id, s, e
+), best AS (
+  SELECT doc_id, count(*) AS n_runs, min({{'n': -n, 's': s, 'q': q}}) AS b,
+    string_agg(CAST(s AS VARCHAR) || ',' || CAST(n AS VARCHAR) || ',' || CAST(q AS VARCHAR) || chr(10), '' ORDER BY s, q) AS runs
+  FROM runs GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs
+), kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS text FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, -b.n AS length, b.q AS period, (-1000 * b.n) // b.q AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best ON d.doc_id = best.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+# A state is the last role (0: none, 1: system, 2: user, 3: assistant); "ins" are empty turns before a turn or at the end.
+OP12 = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS c FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN c = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN c = 1 THEN '' WHEN c = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN c = 3 THEN 2 ELSE 1 END)) AS copy FROM given WHERE c <> 0
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS r, trim(text, {_BLANK}) AS bare,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before
+  FROM damaged
+), turns AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+), ins(s, t, price, letters, said) AS (
+  VALUES (0, 0, 0, '', ''), (0, 2, 2, 'I', 'user:' || chr(10)), (0, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    (1, 1, 0, '', ''), (1, 2, 2, 'I', 'user:' || chr(10)), (1, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    (2, 2, 0, '', ''), (2, 3, 2, 'I', 'assistant:' || chr(10)), (3, 3, 0, '', ''), (3, 2, 2, 'I', 'user:' || chr(10))
+), edits(s, t, edit, r) AS (
+  VALUES (0, 0, 'D', ''), (1, 1, 'D', ''), (2, 2, 'D', ''), (3, 3, 'D', ''), (0, 2, 'R', ''), (1, 2, 'R', ''), (2, 3, 'R', ''), (3, 2, 'R', ''),
+    (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (3, 2, 'K', 'u'), (2, 3, 'K', 'a')
+), best AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {{'cost': 0, 'audit': '', 'said': ''}} AS b FROM counts
+  UNION ALL
+  SELECT b.conv_id, t.i, e.t, min({{'cost': b.b.cost + n.price + CASE e.edit WHEN 'K' THEN 0 WHEN 'R' THEN 2 ELSE 3 END
+      + CASE WHEN t.fault = 'truncated' AND e.edit <> 'D' THEN 1 ELSE 0 END,
+    'audit': b.b.audit || n.letters || e.edit,
+    'said': b.b.said || n.said || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN t.role || ':' || t.text || chr(10)
+      ELSE CASE e.t WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || t.text || chr(10) END}})
+  FROM best b JOIN turns t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = b.i + 1
+    JOIN ins n ON n.s = b.s JOIN edits e ON e.s = n.t
+  WHERE (e.edit = 'D' OR t.fault NOT IN ('blank', 'duplicate')) AND (e.edit <> 'K' OR e.r = t.r)
+  GROUP BY b.conv_id, t.i, e.t
+), last AS (
+  SELECT b.conv_id, min({{'cost': b.b.cost + n.price, 'audit': b.b.audit || n.letters, 'said': b.b.said || n.said}}) AS b
+  FROM best b JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n JOIN ins n ON n.s = b.s AND n.t IN (0, 3) GROUP BY b.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost,
+  coalesce(b.audit, '') AS audit, sha256(coalesce(b.said[1:len(b.said) - 1], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN last l ON o.conv_id IS NOT DISTINCT FROM l.conv_id
+"""
+
 SQL = {
     "op1_line_dedup": OP1, "op2_near_dedup": OP2, "op3_substring_dedup": OP3, "op7_secret_scan": OP7,
     "op8_benchmark_decontamination": OP8,
     "op9_warc_revisits": OP9, "op10_poisson_mixing": OP10,
+    "op11_periodic_runs": OP11, "op12_conversation_repair": OP12,
 }

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.llm import conversation_repair as conversations
+from precis.llm import periodic_runs as runs
 from precis.llm import pii
 from precis.llm import secret_scan as secrets
 from precis.llm.decontamination import decontaminate
@@ -91,9 +93,38 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "source", "n_copies", "copy", "order_key", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = runs.periodic_runs(runs.planted(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("col1"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return done.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").cast("long").alias("start"),
+        (-F.col("best.col1")).cast("long").alias("length"), F.col("best.period").cast("long").alias("period"),
+        F.floor(-1000 * F.col("best.col1").cast("long") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    said, audit = conversations.repair(conversations.damaged(given))
+    line = F.struct("place", F.concat_ws(":", "role", "text").alias("line"))
+    texts = said.groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    every = given.select("conv_id").distinct()
+
+    def same(other: DataFrame):
+        return every["conv_id"].eqNullSafe(other["conv_id"])
+
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    joined = every.join(audit, same(audit), "left").join(texts, same(texts), "left")
+    return joined.select(
+        every["conv_id"], *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce(F.array_join("lines.line", "\n"), F.lit("")), 256).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_near_dedup, op3_substring_dedup, op4_language_id, op5_vector_search, op6_pii,
-        op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits, op10_poisson_mixing,
+        op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits, op10_poisson_mixing, op11_periodic_runs,
+        op12_conversation_repair,
     )
 }
