@@ -74,12 +74,12 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a slice has about SLICE_BYTES of text, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a slice has about ``size`` bytes of text, one row at least."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        group = np.cumsum(sizes, dtype=np.int64) // size
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:

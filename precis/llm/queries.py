@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precis.llm import conversation_repair as conversations
+from precis.llm import passage_quality as quality
 from precis.llm import periodic_runs as runs
 from precis.llm import pii
 from precis.llm import secret_scan as secrets
@@ -121,10 +122,17 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce(F.array_join("lines.line", "\n"), F.lit("")), 256).alias("repaired_sha256"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    done = quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return done.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_near_dedup, op3_substring_dedup, op4_language_id, op5_vector_search, op6_pii,
         op7_secret_scan, op8_benchmark_decontamination, op9_warc_revisits, op10_poisson_mixing, op11_periodic_runs,
-        op12_conversation_repair,
+        op12_conversation_repair, op13_quality_classifier,
     )
 }
