@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
     """The batches cut so that a slice has about ``size`` bytes of text, one row at least."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes, dtype=np.int64) // size
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
         for a, b in zip(cuts, cuts[1:]):

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import KEY, as_bytes, column, keyed, numbered, pick, restored, slices
+from precis.llm.common import KEY, as_bytes, column, keyed, numbered, pick, restored, slices, stored
+from precis.sources.storage import scratch_path
 
 #: Bytes that are part of a word after lower-casing: digits, a-z and all of other scripts.
 _WORD = bytes([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
@@ -164,31 +166,63 @@ class Index:
             ], names=["doc_id", "k1", "k2", "n_words", "first", "last", "item"])
 
 
-def indexes(benchmark: DataFrame, n: int, block_bytes: int) -> list[Index]:
-    """The items in blocks of about ``block_bytes`` of text, so that what is sent to a task is bounded."""
+def _items(benchmark: DataFrame, n: int, block_bytes: int) -> tuple[DataFrame, int]:
+    """item_id, text, block of all items with a text, and the number of blocks.
+
+    An item without an id is named by a digest of its text, so each different one counts.
+    """
     items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    items = items.where("text is not null").select(F.coalesce("item_id", F.lit("null")).alias("item_id"), "text")
+    name = F.coalesce("item_id", F.concat(F.lit("null:"), F.md5(F.col("text").cast("binary"))))
+    items = items.where("text is not null").select(name.alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    return [
-        Index(((r.item_id, r.text.encode()) for r in items.where(block == b).toLocalIterator()), n) for b in range(n_blocks)]
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int"))
+    if n_blocks > 1:
+        # One folder for each block, so that a block is read alone.
+        path = scratch_path(benchmark.sparkSession, "items")
+        items.repartition("block").write.partitionBy("block").parquet(path)
+        items = benchmark.sparkSession.read.schema(items.schema).parquet(path)
+    return items, n_blocks
+
+
+def _send(items: DataFrame, block: int, n: int) -> Broadcast:
+    """The texts of one block as a broadcast, from which each Python worker makes their index once."""
+    some = [(r.item_id, r.text.encode()) for r in items.where(F.col("block") == block).toLocalIterator()]
+    return items.sparkSession.sparkContext.broadcast({"items": some, "n": n})
+
+
+def _with_index(sent: Broadcast, use: Callable[[Index], Callable]) -> Callable:
+    """mapInArrow function that makes or finds the worker's index of the block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = sent.value
+        if "index" not in block:
+            block["index"] = Index(block["items"], block["n"])
+            block["items"] = None
+        yield from use(block["index"])(batches)
+
+    return run
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_bytes: int = 64 << 20) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_bytes: int = 16 << 20) -> DataFrame:
     """Spans of each document's words that some item's window covers, and the items.
 
-    A benchmark beyond ``block_bytes`` is several blocks, whose searches are put
-    together by document. No item is left out.
+    A benchmark beyond ``block_bytes`` of text is several blocks. They are searched one
+    after another, each in a job of its own whose hits are stored, so driver and workers
+    hold one block at a time; the hits are put together by document. No item is left out.
     Returns doc_id, k1, k2, n_words, first, last, item (spans may overlap).
     """
-    blocks, rows = indexes(benchmark, n, block_bytes), keyed(docs)
-    if len(blocks) == 1:
-        return rows.mapInArrow(blocks[0].scan, HITS)
+    (items, n_blocks), rows = _items(benchmark, n, block_bytes), keyed(docs)
+    if n_blocks == 1:
+        return rows.mapInArrow(_with_index(_send(items, 0, n), lambda x: x.scan), HITS)
     # Rows of one key are copies; they come back below.
-    once = rows.dropDuplicates(list(KEY))
-    every = reduce(DataFrame.unionAll, (once.mapInArrow(b.scan, HITS) for b in blocks))
-    merged = every.groupBy(*KEY).agg(
+    once, found = stored(rows.dropDuplicates(list(KEY))), []
+    for b in range(n_blocks):
+        sent = _send(items, b, n)
+        hits = once.mapInArrow(_with_index(sent, lambda x: x.scan), HITS)
+        # The first block tells the number of words of all documents, the others bring hits alone.
+        found.append(stored(hits if b == 0 else hits.where(F.size("item") > 0)))
+        sent.destroy()
+    merged = reduce(DataFrame.unionAll, found).groupBy(*KEY).agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("first")).alias("first"),
         F.flatten(F.collect_list("last")).alias("last"), F.array_distinct(F.flatten(F.collect_list("item"))).alias("item"),
     )
@@ -196,7 +230,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_byt
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 64 << 20
+    docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 16 << 20
 ) -> DataFrame:
     """How much of each document stands in the benchmark.
 
@@ -205,8 +239,9 @@ def decontaminate(
     none, is one window. A document's word inside any occurrence of a window is hit.
     A document is contaminated if it has hits, and ``share`` times their number is at
     least its number of words. Nulls and texts without words have no words and no
-    hits, items likewise; a null item id counts as the item "null". Items of equal
-    text all count; repeated rows of one item count once. Repeated documents each
+    hits, items likewise; an item without an id is named "null:" and the MD5 of its text, so
+    such items of different texts are different ones, and repeats of one text are one. Items
+    of equal text but different ids all count; repeated rows of one item count once. Repeated documents each
     get their row. With an empty benchmark nothing is hit.
 
     Returns doc_id, k1, k2 (key of the row), n_words, n_hit, items (array, sorted as strings), contaminated.
@@ -226,11 +261,12 @@ def decontaminate(
 
 
 def without_contaminated(
-    docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 64 << 20
+    docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 16 << 20
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
-    blocks, rows = indexes(benchmark, n, block_bytes), numbered(docs)
-    if len(blocks) == 1:
-        return restored(rows.mapInArrow(blocks[0].clean(share), rows.schema), docs)
+    (items, n_blocks), rows = _items(benchmark, n, block_bytes), numbered(docs)
+    if n_blocks == 1:
+        sent = _send(items, 0, n)
+        return restored(rows.mapInArrow(_with_index(sent, lambda x: x.clean(share)), rows.schema), docs)
     bad = decontaminate(docs, benchmark, n, share, block_bytes).where("contaminated").select(*KEY).distinct()
     return restored(rows.join(bad, list(KEY), "left_anti"), docs)

@@ -12,6 +12,8 @@ PART = 64.0
 #: Sources up to which their table (1.5 KB a source at most) is sent to all tasks.
 MOST_BROADCAST = 10_000
 SALTS = 64
+#: Copies of one row without an id that one task makes at a time.
+COPIES = 1 << 12
 
 
 def source_rates(
@@ -66,6 +68,23 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
         "*", _cdf(F.col("rate") / F.col("parts")).alias("cdf"))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``name``, what draws and order keys depend on: the id as text.
+
+    Rows without an id get a digest of all their columns and, as equal rows of that kind
+    are documents too, their number among those. Equal rows travel as one with a count,
+    and come apart again block by block, so that many copies fill no task.
+    """
+    lost = rows.where("doc_id is null")
+    digest = F.md5(F.to_json(F.struct(*(F.col(c) for c in rows.columns))))
+    once = lost.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times")).withColumn("digest", digest)
+    blocks = once.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / COPIES))))
+    nth = F.explode(F.sequence(F.col("block") * COPIES + 1, F.least((F.col("block") + 1) * COPIES, "times")))
+    each = blocks.repartition("digest", "block").withColumn("nth", nth)
+    return rows.where("doc_id is not null").withColumn("name", F.col("doc_id").cast("string")).unionAll(
+        each.select(*rows.columns, F.concat_ws("|", F.lit("null"), "digest", "nth")))
+
+
 def _replicated(
     docs: DataFrame, rows: DataFrame, source: Column, weights: DataFrame | None, epochs: float, alpha: float,
     seed: str, most_broadcast: int,
@@ -73,20 +92,19 @@ def _replicated(
     """``rows`` with n_copies, copy (from 1) and order_key, one row for each copy."""
     rates, n_sources = source_rates(docs, weights, epochs, alpha)
     tables = poisson_tables(rates).withColumnRenamed("source", "t_source")
-    same = source.eqNullSafe(F.col("t_source"))
+    same, rows = source.eqNullSafe(F.col("t_source")), _named(rows)
     if n_sources <= most_broadcast:
         joined = rows.join(F.broadcast(tables), same)
     else:
         # Each source is SALTS keys, so that one with a third of all rows fills no task.
         salted = tables.withColumn("t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64("doc_id", "k2"), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64("name", "k2"), F.lit(SALTS)).cast("int")
         joined = rows.withColumn("salt", salt).join(salted, same & (F.col("salt") == F.col("t_salt"))).drop("salt", "t_salt")
-    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: uniform(F.lit(seed), F.col("doc_id"), part))
+    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: uniform(F.lit(seed), F.col("name"), part))
     n = F.aggregate(draws, F.lit(0), lambda n, u: n + F.aggregate("cdf", F.lit(0), lambda k, c: k + (c <= u).cast("int")))
     drawn = joined.withColumn("n_copies", F.when(F.col("rate") > 0, n).otherwise(0)).drop("cdf", "parts", "rate", "t_source")
     copies = drawn.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                            F.col("copy").cast("string")))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col("name"), F.col("copy").cast("string")))
     return copies.withColumn("order_key", key)
 
 
@@ -100,8 +118,9 @@ def mix(
     mean (``source_rates``), found by inverting the distribution at a hash of seed
     and doc_id, so a run can be repeated. The copies are sorted by a digest of
     seed, document and copy number. Rows with equal doc_id draw alike if their
-    sources are alike. Texts may be null, empty or long, as they are only carried.
-    An empty table gives none.
+    sources are alike. Rows without doc_id each draw on their own, by a digest of the
+    row and, where equal rows stand several times, by their number. Texts may be null,
+    empty or long, as they are only carried. An empty table gives none.
 
     Returns doc_id, source, text, n_copies, copy, order_key in shuffled order.
     """

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import zlib
@@ -36,6 +37,29 @@ def test_hits_against_plain_python(spark, block_bytes):
     assert [got[i] for i in range(len(texts))] == cases.contaminated(texts, [(i, t) for i, t, *_ in bench])
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 8])
+def test_items_without_id_are_items_of_their_own(spark, block_bytes):
+    bench = spark.createDataFrame(
+        [(None, "alpha beta"), (None, "gamma delta"), (None, "alpha beta"), ("null", "alpha beta"), (None, None)], "item_id string, text string")
+    docs = cases.frame(spark, ["alpha beta gamma delta", "alpha beta", "x", None])
+    got = {r.doc_id: r["items"] for r in decontaminate(docs, bench, n=2, block_bytes=block_bytes).collect()}
+    both = [f"null:{hashlib.md5(t).hexdigest()}" for t in (b"alpha beta", b"gamma delta")]
+    assert got == {0: sorted(["null", *both]), 1: sorted(["null", both[0]]), 2: [], 3: []}
+
+
+def test_blocks_are_searched_one_at_a_time(spark):
+    """Many blocks give what one gives, and no more than one is held."""
+    rng = random.Random(3)
+    bench = [(i, " ".join(rng.choices("abcdef", k=6))) for i in range(60)]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    docs = cases.frame(spark, [" ".join(rng.choices("abcdefg", k=80)) for _ in range(20)])
+
+    def rows(block_bytes):
+        return sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontaminate(docs, table, n=4, block_bytes=block_bytes).collect())
+
+    assert rows(1 << 20) == rows(100)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 4])
 def test_contaminated_rows_go(spark, block_bytes):
     docs = cases.frame(spark, ["a b c", "a b c", "z " * 60 + "a b c", None, "z"], [1, 1, 2, None, 3])
