@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from precis.functions.chars import STOPWORDS
 from precis.settings import SUMMARY, TEXT
-from registry.queries import BEAM, STEPS, SUMMARY_WORDS, TEXT_WORDS
+from registry.queries import BEAM, ROUNDS, STEPS, SUMMARY_WORDS, TEXT_WORDS
 
 
 # Whitespace as Python splits by, as ranges, and its word characters.
@@ -553,18 +553,58 @@ oracle("length_boxplot", f"""
     FROM (SELECT *, x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM lengths CROSS JOIN (
         SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3
         FROM lengths)) GROUP BY q1, median, q3""", "lengths")
-_mean = lambda v, t: (
-    f"round(coalesce(avg({v}) FILTER (WHERE {'' if t else 'NOT '}train), 0.0::DOUBLE), 8)")
-cte("history", f"""
-    SELECT epoch, {_mean('1 - f1', True)} AS loss, {_mean('1 - f1', False)} AS val_loss,
-        {_mean('r', True)} AS accuracy, {_mean('r', False)} AS val_accuracy
-    FROM (SELECT (doc_id % 1048576) // 2 AS epoch, {HASH_TRAIN} AS train, r, {F1} AS f1 FROM pair_pr)
-    GROUP BY epoch""", "pair_pr")
+
+# A fit by full gradients, round by round: feat has the share of each slot in a sentence, z the
+# margins and w the weights of a round, with what the update rule remembers.
+SLOTS, RATE = 65_536, 0.1
+cte("lab", f"""
+    SELECT doc_id, idx, quality AS y, {HASH_TRAIN} AS train FROM sentences JOIN labels USING (doc_id)
+    WHERE quality IN (0, 1)""", "sentences")
+cte("feat", f"""
+    SELECT doc_id, idx, slot, sum(x) AS x FROM (
+        SELECT doc_id, idx, ('0x' || substr(md5(word), 1, 8))::BIGINT % {SLOTS} AS slot, 1 / sqrt(n) AS x FROM sentence_words
+        UNION ALL SELECT doc_id, idx, {SLOTS}, 1.0::DOUBLE FROM sentences) GROUP BY doc_id, idx, slot""",
+    "sentences", "sentence_words")
+cte("seen_feat", "SELECT f.*, y, train FROM feat f JOIN lab USING (doc_id, idx)", "feat", "lab")
+cte("w0", "SELECT DISTINCT slot, 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v FROM seen_feat WHERE train", "seen_feat")
+for _r in range(1, ROUNDS + 1):
+    cte(f"z{_r - 1}", f"""
+        SELECT doc_id, idx, any_value(y) AS y, any_value(train) AS train, coalesce(sum(x * w), 0.0) AS z
+        FROM seen_feat LEFT JOIN w{_r - 1} USING (slot) GROUP BY doc_id, idx""", "seen_feat", f"w{_r - 1}")
+    cte(f"w{_r}", f"""
+        SELECT slot, w - {RATE} * (m / {1 - 0.9**_r!r}::DOUBLE) / (sqrt(v / {1 - 0.999**_r!r}::DOUBLE) + 1e-7) AS w, m, v FROM (
+            SELECT slot, w, 0.9::DOUBLE * m + 0.1::DOUBLE * g AS m, 0.999::DOUBLE * v + 0.001::DOUBLE * g * g AS v
+            FROM w{_r - 1} JOIN (
+                SELECT slot, sum(x * (1 / (1 + exp(-z)) - f.y)) / (SELECT count(*) FROM lab WHERE train) AS g
+                FROM seen_feat f JOIN z{_r - 1} USING (doc_id, idx) WHERE f.train GROUP BY slot) USING (slot))""",
+        "lab", f"w{_r - 1}", f"z{_r - 1}")
+cte(f"z{ROUNDS}", f"""
+    SELECT doc_id, idx, any_value(y) AS y, any_value(train) AS train, coalesce(sum(x * w), 0.0) AS z
+    FROM seen_feat LEFT JOIN w{ROUNDS} USING (slot) GROUP BY doc_id, idx""", "seen_feat", f"w{ROUNDS}")
+_loss = "ln(1 + exp(CASE y WHEN 1 THEN -z ELSE z END))"
+_hit = "CAST((z > 0) = (y = 1) AS INT)"
+_of = lambda v, part: f"avg({v}) FILTER (WHERE {part})"
+cte("history", " UNION ALL ".join(f"""
+    SELECT {r} AS epoch, {_of(_loss, 'train')} AS loss, {_of(_loss, 'NOT train')} AS val_loss,
+        {_of(_hit, 'train')} AS accuracy, {_of(_hit, 'NOT train')} AS val_accuracy, {RATE}::DOUBLE AS rate FROM z{r}"""
+    for r in range(1, ROUNDS + 1)), *(f"z{r}" for r in range(1, ROUNDS + 1)))
+_columns = ("loss", "val_loss", "accuracy", "val_accuracy")
+oracle("training_history", f"""
+    SELECT epoch, {", ".join(f"{r6(c)} AS {c}" for c in (*_columns, "rate"))} FROM history""", "history")
 oracle("training_report", f"""
-    SELECT count(*) AS epochs, {r6('arg_max(loss, epoch)')} AS last_loss,
-        {r6('arg_max(val_loss, epoch)')} AS last_val_loss, {r6('arg_max(accuracy, epoch)')} AS last_accuracy,
-        {r6('arg_max(val_accuracy, epoch)')} AS last_val_accuracy, {r6('min(val_loss)')} AS best_val_loss,
-        {r6('max(val_accuracy)')} AS best_val_accuracy FROM history""", "history")
+    SELECT count(*) AS epochs, {", ".join(f"{r6(f'arg_max({c}, epoch)')} AS last_{c}" for c in _columns)},
+        {r6('min(val_loss)')} AS best_val_loss, {r6('max(val_accuracy)')} AS best_val_accuracy FROM history""", "history")
+cte("fitted", f"""
+    SELECT slot, w FROM ({" UNION ALL ".join(f"SELECT {r} AS epoch, slot, w FROM w{r}" for r in range(1, ROUNDS + 1))})
+    WHERE epoch = (SELECT arg_min(epoch, val_loss) FROM history)""", "history", *(f"w{r}" for r in range(1, ROUNDS + 1)))
+cte("classified", f"""
+    SELECT doc_id, idx, {r6('1 / (1 + exp(-coalesce(sum(x * w), 0.0)))')} AS score
+    FROM feat LEFT JOIN fitted USING (slot) GROUP BY doc_id, idx""", "feat", "fitted")
+oracle("classifier_fit_score", "SELECT doc_id, idx, score FROM classified", "classified")
+oracle("classifier_top_n", f"""
+    SELECT doc_id, idx, score, rank FROM (
+        SELECT *, CAST(row_number() OVER ({BEST_FIRST}) AS INT) AS rank FROM classified WHERE score >= 0.5)
+    WHERE rank <= 5""", "classified")
 cte("ws", f"SELECT doc_id, {words('text')} AS ws FROM docs", "docs")
 cte("said", f"""
     SELECT quality = 1 AS truth, {ratio('len(list_distinct(ws))', 'len(ws)')} > 0.5 AS said

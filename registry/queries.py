@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precis.functions import metrics as mx
 from precis.functions import sequences as sq
 from precis.functions import text as tx
-from precis.operators import decoding, encoding, evaluation, filters, importance, ranking
+from precis.operators import classifier, decoding, encoding, evaluation, filters, importance, ranking
 from precis.operators import salience, splits, statistics, tfidf
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
@@ -335,23 +335,28 @@ _on_documents("length_boxplot", lambda d: statistics.length_boxplot(d, "text").w
     {c: r6(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")}))
 
 
+#: Rounds of a fit whose result SQL can follow; no early stop, so that their number is fixed.
+ROUNDS = 10
+
+
+def _classifier(spark, sf):
+    """Sentences, the folder of a fit by the quality of their documents, and its best model."""
+    sentences = tfidf.sentence_rows(documents(spark, sf)).select("doc_id", "idx", "sentence")
+    labels = read(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    path = scratch_path(spark, "classifier")
+    training = classifier.Training(rounds=ROUNDS, patience=ROUNDS, rate_patience=ROUNDS, min_delta=0.0)
+    return sentences, path, classifier.train(splits.split_hash(sentences.join(labels, "doc_id")), path, training)
+
+
+@query("training_history")
+def _training_history(spark, sf):
+    found = classifier.history(spark, _classifier(spark, sf)[1])
+    return found.select("epoch", *[r6(c).alias(c) for c in found.columns if c != "epoch"])
+
+
 @query("training_report")
 def _training_report(spark, sf):
-    """A history out of the pairs: one epoch per round of a conversation, the
-    distance and recall of user turn and answer as loss and accuracy."""
-    measured = splits.split_hash(pairs(spark, sf)).select(
-        F.floor(F.col("doc_id").bitwiseAND(F.lit(2**20 - 1)) / 2).cast("int").alias("epoch"),
-        "split", mx.rouge1(SUMMARY, TEXT).alias("r"),
-    )
-    mean = lambda value, part: F.round(F.coalesce(
-        F.avg(F.when(F.col("split") == part, value)), F.lit(0.0)), 8)
-    history = measured.groupBy("epoch").agg(
-        mean(1 - F.col("r.f1"), splits.TRAIN).alias("loss"),
-        mean(1 - F.col("r.f1"), splits.VALIDATION).alias("val_loss"),
-        mean(F.col("r.recall"), splits.TRAIN).alias("accuracy"),
-        mean(F.col("r.recall"), splits.VALIDATION).alias("val_accuracy"),
-    )
-    report = evaluation.training_report(history)
+    report = evaluation.training_report(classifier.history(spark, _classifier(spark, sf)[1]))
     return report.select("epochs", *[r6(c).alias(c) for c in report.columns if c != "epochs"])
 
 
@@ -526,6 +531,19 @@ def _salience_top_n(spark, sf):
     return ranking.threshold_top_n(_salience_scores(spark, sf)).withColumn("score", r6("score"))
 
 
+@query("classifier_fit_score")
+def _classifier_fit_score(spark, sf):
+    sentences, path, _ = _classifier(spark, sf)
+    return classifier.Classifier.load(spark, path).score(sentences).withColumn("score", r6("score"))
+
+
+@query("classifier_top_n")
+def _classifier_top_n(spark, sf):
+    """Extraction by the trained classifier; scores are compared by six digits."""
+    sentences, _, model = _classifier(spark, sf)
+    return ranking.threshold_top_n(model.score(sentences).withColumn("score", r6("score")))
+
+
 @query("next_token_table")
 def _next_token_table(spark, sf):
     return decoding.next_token_table(_samples(spark, sf)).withColumn("p", r6("p"))
