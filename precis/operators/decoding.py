@@ -4,17 +4,18 @@ The next id depends on the last one by a corpus table P(next | previous), mixed
 with the successors that the text itself has: ``(1 - share) * P + share * P_text``.
 Only ids that follow the last one in the text, and the few best of the corpus, can
 be among the best of the mix, so a text brings its own rows, as many as it has
-words, and the corpus a table bounded by the vocabulary. All steps of a text then
-run in one task, without a join or a checkpoint for each.
+words, and the corpus a table bounded by the vocabulary, whose size is checked before
+it is sent. All steps of a text then run in one task, without a join or a checkpoint
+for each, and all texts of a batch take each step together in numpy.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,9 @@ from precis.settings import DEFAULTS, END, PAD, START, UNK, Settings
 from precis.sources.storage import cut_lineage
 
 TINY = 1e-10
-Options = Callable[[int], list[tuple[int, float]]]
+#: Bytes of a row of successors.
+ROW_BYTES = 16
+DECODED = "doc_id {0}, seq array<int>, score double, done boolean"
 
 
 def next_token_table(samples: DataFrame) -> DataFrame:
@@ -105,37 +108,94 @@ def text_successors(texts: DataFrame, probs: DataFrame, share: float = DEFAULTS.
         F.collect_list(F.struct("prev", "next", p.alias("p"))).alias("own"))
 
 
-def greedy_path(options: Options, max_steps: int) -> tuple[list[int], float, bool]:
-    """Most likely next id until END, which is not appended; of equals the lowest id."""
-    seq, score = [START], 0.0
-    for _ in range(max_steps):
-        found = options(seq[-1])
-        if not found:
-            return seq, score, True
-        step, p = min(found, key=lambda o: (-o[1], o[0]))
-        score += math.log(p + TINY)
-        if step == END:
-            return seq, score, True
-        seq.append(step)
-    return seq, score, False
-
-
-def beam_path(options: Options, k: int, max_steps: int) -> tuple[list[int], float, bool]:
-    """The best of k hypotheses kept at each step; ties as in ``beam_step``."""
-    beam = [([START], 0.0, False)]
+class Successors:
+    """The k best next ids of each key, best first, as tables of k columns; -1 where there are fewer.
+
+    Of equal ones the highest ids are kept, or the lowest.
+    """
+
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, p: np.ndarray, k: int, high: bool):
+        order = np.lexsort((-ids if high else ids, -p, keys))
+        keys, ids, p = keys[order], ids[order], p[order]
+        self.keys, first, sizes = np.unique(keys, return_index=True, return_counts=True)
+        nth = np.arange(len(keys)) - np.repeat(first, sizes)
+        row, good = np.repeat(np.arange(len(first)), sizes), nth < k
+        self.ids, self.p = np.full((len(first) + 1, k), -1, np.int64), np.zeros((len(first) + 1, k))
+        self.ids[row[good], nth[good]], self.p[row[good], nth[good]] = ids[good], p[good]
+
+    def rows(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key; the last row, which is empty, for keys without one."""
+        if not len(self.keys):
+            return np.zeros(keys.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, len(self.keys))
+
+
+def mixed_successors(own: pa.Array, corpus: Successors, size: int, high: bool) -> Successors:
+    """The best next ids by text and last id (key: text * size + id), where the text has some of its own.
+
+    A text's own rows have the corpus in them already; the corpus adds the ids that the text lacks.
+    """
+    lists, flat = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), own.flatten()
+    prev, ids, p = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    keys = np.repeat(np.arange(len(lists)), lists) * size + prev
+    k = corpus.ids.shape[1]
+    once = np.unique(keys)
+    at = corpus.rows(once % size)
+    more_keys, more_ids, more_p = np.repeat(once, k), corpus.ids[at].ravel(), corpus.p[at].ravel()
+    fresh = (more_ids >= 0) & ~np.isin(more_keys * size + more_ids, keys * size + ids)
+    return Successors(
+        np.concatenate([keys, more_keys[fresh]]), np.concatenate([ids, more_ids[fresh]]).astype(np.int64),
+        np.concatenate([p, more_p[fresh]]), k, high)
+
+
+def paths(own: pa.Array, corpus: Successors, size: int, max_steps: int, high: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The best of k hypotheses of each text: ids (rows are cut at their lengths), lengths, score, done.
+
+    Ties are as in ``beam_step``; with k = 1 this is greedy decoding.
+    """
+    mixed, k = mixed_successors(own, corpus, size, high), corpus.ids.shape[1]
+    out = np.full((len(own), max_steps + 1), -1, np.int64)
+    out_length, out_score, out_done = np.ones(len(own), np.int64), np.zeros(len(own)), np.zeros(len(own), bool)
+    text = np.arange(len(own))
+    seq = np.full((len(own), k, max_steps + 1), -1, np.int32)
+    seq[:, :, 0] = START
+    length = np.ones((len(own), k), np.int64)
+    score, real, done = np.zeros((len(own), k)), np.zeros((len(own), k), bool), np.zeros((len(own), k), bool)
+    real[:, 0] = True
+
+    def finish(some: np.ndarray) -> None:
+        t = text[some]
+        out[t], out_length[t], out_score[t], out_done[t] = seq[some, 0], length[some, 0], score[some, 0], done[some, 0]
+
+    place = np.repeat(np.arange(k), k + 1)
     for _ in range(max_steps):
-        grown = []
-        for place, (seq, score, done) in enumerate(beam):
-            found = [] if done else sorted(options(seq[-1]), key=lambda o: (-o[1], -o[0]))[:k]
-            if not found:
-                grown.append((-round(score, 10), place, -1, seq, score, True))
-            for step, p in found:
-                more = score + math.log(p + TINY)
-                grown.append((-round(more, 10), place, step, [*seq, step], more, step == END))
-        beam = [g[3:] for g in sorted(grown, key=lambda g: g[:3])[:k]]
-        if all(done for *_, done in beam):
+        if not len(text):
             break
-    return beam[0]
+        last = np.take_along_axis(seq, length[:, :, None] - 1, 2)[:, :, 0].astype(np.int64)
+        mine, common = mixed.rows(text[:, None] * size + last), corpus.rows(last)
+        has = (mine < len(mixed.keys))[:, :, None]
+        ids, p = np.where(has, mixed.ids[mine], corpus.ids[common]), np.where(has, mixed.p[mine], corpus.p[common])
+        ids = np.where((real & ~done)[:, :, None], ids, -1)
+        # What cannot go on stays as it is, as a candidate without a further id.
+        stays = real & (ids < 0).all(2)
+        ids = np.concatenate([ids, np.full((*stays.shape, 1), -1)], 2).reshape(len(text), -1)
+        grown = np.concatenate([score[:, :, None] + np.log(p + TINY), score[:, :, None]], 2).reshape(len(text), -1)
+        good = (ids >= 0) | np.concatenate([np.zeros((*p.shape,), bool), stays[:, :, None]], 2).reshape(len(text), -1)
+        rank = np.where(good, -np.round(grown, 10), np.inf)
+        best = np.lexsort((ids, np.broadcast_to(place, ids.shape), rank), axis=1)[:, :k]
+        real, parent, ids, score = (np.take_along_axis(x, best, 1) for x in (good, np.broadcast_to(place, ids.shape), ids, grown))
+        seq = np.take_along_axis(seq, parent[:, :, None], 1)
+        length, done = np.take_along_axis(length, parent, 1), np.take_along_axis(done, parent, 1)
+        t, h = np.nonzero(real & (ids >= 0))
+        seq[t, h, length[t, h]] = ids[t, h]
+        length[t, h] += 1
+        done |= (ids < 0) | (ids == END)
+        over = (done | ~real).all(1)
+        finish(over)
+        text, seq, length, score, real, done = (x[~over] for x in (text, seq, length, score, real, done))
+    finish(np.ones(len(text), bool))
+    return out, out_length, out_score, out_done
 
 
 @dataclass(frozen=True)
@@ -180,7 +240,7 @@ class NextTokens:
         share: float = DEFAULTS.text_share,
     ) -> DataFrame:
         """Greedy decoding of whole encoded texts ``(doc_id, ids)``: ``(doc_id, seq, score, done)``."""
-        return self._decode(texts, best_next(self.probs), share, lambda o: greedy_path(o, max_steps))
+        return self._decode(texts, best_next(self.probs), share, 1, max_steps, high=False)
 
     def beam_search(
         self,
@@ -190,31 +250,31 @@ class NextTokens:
         share: float = DEFAULTS.text_share,
     ) -> DataFrame:
         """Beam search of width k for whole encoded texts; the best sequence of each."""
-        return self._decode(texts, top_next(self.probs, k), share, lambda o: beam_path(o, k, max_steps))
-
-    def _decode(self, texts: DataFrame, corpus: DataFrame, share: float, path) -> DataFrame:
-        # At most k rows for each word of the vocabulary, whatever the corpus.
-        best: dict[int, list[tuple[int, float]]] = {}
-        for r in corpus.toLocalIterator():
-            best.setdefault(r.prev, []).append((r.next, (1 - share) * r.p))
-        sent = texts.sparkSession.sparkContext.broadcast(best)
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            common = sent.value
+        return self._decode(texts, top_next(self.probs, k), share, k, max_steps, high=True)
+
+    def _decode(self, texts: DataFrame, corpus: DataFrame, share: float, k: int, max_steps: int, high: bool) -> DataFrame:
+        # At most k rows for each word of the vocabulary, whatever the corpus; no more are read than may be sent.
+        most = DEFAULTS.broadcast_bytes // ROW_BYTES
+        table = corpus.select(F.col("prev").cast("int"), F.col("next").cast("int"), "p").limit(most + 1).toArrow()
+        if table.num_rows > most:
+            raise ValueError(f"more than {most} rows of successors; use fewer words or a narrower beam")
+        prev, ids, p = (table.column(i).to_numpy() for i in range(3))
+        sent = texts.sparkSession.sparkContext.broadcast((prev, ids, (1 - share) * p))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            common = Successors(*(x.astype(np.int64) for x in sent.value[:2]), sent.value[2], k, high)
             for batch in batches:
-                out = []
-                for key, own in zip(batch["doc_id"], batch["own"]):
-                    mine: dict[int, dict[int, float]] = {}
-                    for s in own if own is not None else []:
-                        mine.setdefault(s["prev"], {})[s["next"]] = s["p"]
-
-                    def options(last: int, mine=mine) -> list[tuple[int, float]]:
-                        # A text's own row has the corpus in it already.
-                        return list((dict(common.get(last, [])) | mine.get(last, {})).items())
-
-                    out.append((key, *path(options)))
-                yield pd.DataFrame(out, columns=["doc_id", "seq", "score", "done"])
+                own = batch.column(1)
+                size = 1 + max(START, END, *(int(x.max(initial=0)) for x in (sent.value[0], sent.value[1])), *(
+                    int(own.flatten().field(i).to_numpy(zero_copy_only=False).max(initial=0)) for i in (0, 1)))
+                seq, length, score, done = paths(own, common, size, max_steps, high)
+                # Greedy decoding leaves out the END that it reaches.
+                length = length - (seq[np.arange(len(seq)), length - 1] == END) if k == 1 and not high else length
+                offsets = pa.array(np.append(0, np.cumsum(length)).astype(np.int32))
+                flat = pa.array(seq[np.arange(seq.shape[1]) < length[:, None]].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(offsets, flat), pa.array(score), pa.array(done)],
+                    names=["doc_id", "seq", "score", "done"])
 
         key = next(f.dataType.simpleString() for f in texts.schema if f.name == "doc_id")
-        return text_successors(texts, self.probs, share).mapInPandas(
-            run, f"doc_id {key}, seq array<int>, score double, done boolean")
+        return text_successors(texts, self.probs, share).mapInArrow(run, DECODED.format(key))
