@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from precis.functions.chars import STOPWORDS
 from precis.settings import SUMMARY, TEXT
-from registry.queries import BEAM, ROUNDS, STEPS, SUMMARY_WORDS, TEXT_WORDS
+from registry.queries import ALIGN_ROUNDS, BEAM, LEAST_P, ROUNDS, STEPS, SUMMARY_WORDS, TEXT_WORDS
 
 
 # Whitespace as Python splits by, as ranges, and its word characters.
@@ -696,6 +696,73 @@ oracle("next_token_table", f"SELECT prev, next, {r6('p')} AS p FROM probs", "pro
 oracle("greedy_decode", f"SELECT doc_id, {glue('seq')} AS seq, {r6('score')} AS score FROM greedy_end", "greedy_end")
 oracle("beam_search", f"SELECT doc_id, {glue('seq')} AS seq, {r6('score')} AS score FROM beam_end", "beam_end")
 
+# Alignments: the cells of all pairs, and the table of each round.
+cte("pair_words", f"SELECT doc_id, {words(TEXT)} AS xs, {words(SUMMARY)} AS ys FROM clean_pairs", "clean_pairs")
+cte("text_words", """
+    SELECT doc_id, word, count(*) AS n, any_value(size) AS size
+    FROM (SELECT doc_id, unnest(xs || ['']) AS word, len(xs) + 1 AS size FROM pair_words) GROUP BY doc_id, word""", "pair_words")
+cte("cells", """
+    SELECT t.doc_id, word, summary_word, n, m, size FROM text_words t JOIN (
+        SELECT doc_id, summary_word, count(*) AS m FROM (SELECT doc_id, unnest(ys) AS summary_word FROM pair_words)
+        GROUP BY doc_id, summary_word) s ON t.doc_id = s.doc_id""", "text_words", "pair_words")
+cte("t0", """
+    SELECT DISTINCT word, summary_word, 1.0::DOUBLE / (SELECT count(DISTINCT summary_word) FROM cells) AS p FROM cells""", "cells")
+for _r in range(1, ALIGN_ROUNDS + 1):
+    cte(f"share{_r}", f"""
+        SELECT word, summary_word, sum(m * n * p / total) AS c, sum(m * n * p / total * ln(total / size)) AS l FROM (
+            SELECT *, sum(n * p) OVER (PARTITION BY doc_id, summary_word) AS total FROM cells JOIN t{_r - 1} USING (word, summary_word))
+        GROUP BY word, summary_word""", "cells", f"t{_r - 1}")
+    cte(f"t{_r}", f"SELECT word, summary_word, c / sum(c) OVER (PARTITION BY word) AS p FROM share{_r}", f"share{_r}")
+oracle("word_alignment", f"SELECT word, summary_word, {r6('p')} AS p FROM t{ALIGN_ROUNDS} WHERE {r6('p')} >= {LEAST_P}", f"t{ALIGN_ROUNDS}")
+oracle("alignment_history", " UNION ALL ".join(
+    f'SELECT {r} AS "round", round(sum(l), 3) AS log_likelihood FROM share{r}' for r in range(1, ALIGN_ROUNDS + 1)),
+    *(f"share{r}" for r in range(1, ALIGN_ROUNDS + 1)))
+oracle("likely_summary_words", f"""
+    SELECT doc_id, CAST(rank AS INT) AS rank, summary_word, {r6('p')} AS p FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, summary_word) AS rank FROM (
+            SELECT doc_id, summary_word, round(sum(n * p) / any_value(size), 10) AS p
+            FROM text_words JOIN t{ALIGN_ROUNDS} USING (word) GROUP BY doc_id, summary_word))
+    WHERE rank <= 10""", "text_words", f"t{ALIGN_ROUNDS}")
+
+
+# Back-off over prefixes of two ids, of one and of none; names end in _a for all summaries and _t for the training part.
+def backoff_ctes(suffix: str, where: str) -> None:
+    def order(n: int, source: str, prefix: str) -> None:
+        keys = f"{prefix}, w" if prefix else "w"
+        cte(f"k{n}{suffix}", f"SELECT {keys}, count(*) AS c FROM {source} {where if n == 3 else ''} GROUP BY {keys}", source)
+        cte(f"d{n}{suffix}", f"""
+            SELECT CASE WHEN one = 0 OR two = 0 THEN 0.5::DOUBLE ELSE one::DOUBLE / (one + 2 * two) END AS d FROM (
+                SELECT count(*) FILTER (WHERE c = 1) AS one, count(*) FILTER (WHERE c = 2) AS two FROM k{n}{suffix})""", f"k{n}{suffix}")
+        cte(f"s{n}{suffix}", f"SELECT {prefix + ', ' if prefix else ''}sum(c) AS s, count(*) AS t FROM k{n}{suffix} {'GROUP BY ' + prefix if prefix else ''}",
+            f"k{n}{suffix}")
+
+    order(3, "thirds", "u, v")
+    order(2, f"k3{suffix}", "v")
+    order(1, f"k2{suffix}", "")
+
+
+def backoff_p(suffix: str, rows: str) -> tuple[str, list[str]]:
+    """The rows with p, and what that needs."""
+    names = [f"{x}{n}{suffix}" for n in (1, 2, 3) for x in "kds"]
+    level = lambda n, lower: (
+        f"CASE WHEN s{n}.s IS NULL THEN {lower} ELSE (greatest(coalesce(k{n}.c, 0) - d{n}.d, 0.0) + d{n}.d * s{n}.t * {lower}) / s{n}.s END")
+    return f"""
+        SELECT r.*, {level(3, level(2, level(1, f'(1.0::DOUBLE / (SELECT count(*) + 1 FROM k1{suffix}))')))} AS p FROM ({rows}) r
+        LEFT JOIN k3{suffix} k3 USING (u, v, w) LEFT JOIN s3{suffix} s3 USING (u, v) LEFT JOIN k2{suffix} k2 USING (v, w)
+        LEFT JOIN s2{suffix} s2 USING (v) LEFT JOIN k1{suffix} k1 USING (w), s1{suffix} s1, d1{suffix} d1, d2{suffix} d2, d3{suffix} d3""", names
+
+
+cte("thirds", f"""
+    SELECT doc_id, s[i] AS u, s[i + 1] AS v, s[i + 2] AS w, train FROM (
+        SELECT doc_id, [2] || ids AS s, unnest(range(1, len(ids))) AS i, {HASH_TRAIN} AS train FROM marked)""", "marked")
+backoff_ctes("_a", "")
+backoff_ctes("_t", "WHERE train")
+_sql, _names = backoff_p("_a", "SELECT u, v, w FROM k3_a")
+oracle("backoff_table", f"SELECT u, v, w, {r6('p')} AS p FROM ({_sql})", *_names)
+_sql, _names = backoff_p("_t", "SELECT doc_id, u, v, w FROM thirds WHERE NOT train")
+oracle("backoff_likelihood", f"""
+    SELECT doc_id, count(*) AS n, round(sum(ln(p)), 4) AS log_p FROM ({_sql}) GROUP BY doc_id""", *_names, "thirds")
+
 # Naive Bayes over the words of sentences with a quality label.
 cte("said_words", """
     SELECT word, count(*) FILTER (WHERE quality = 1) AS a, count(*) FILTER (WHERE quality = 0) AS b

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precis.functions import metrics as mx
 from precis.functions import sequences as sq
 from precis.functions import text as tx
-from precis.operators import classifier, decoding, encoding, evaluation, filters, importance, ranking
+from precis.operators import alignment, backoff, classifier, decoding, encoding, evaluation, filters, importance, ranking
 from precis.operators import salience, splits, statistics, tfidf
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
@@ -549,6 +549,46 @@ def _next_token_table(spark, sf):
     return decoding.next_token_table(_samples(spark, sf)).withColumn("p", r6("p"))
 
 
+#: Rounds of the alignment, and the least probability of a pair of words in its result.
+ALIGN_ROUNDS, LEAST_P = 4, 0.1
+
+
+def _alignment(spark, sf):
+    words = _clean_pairs(pairs(spark, sf)).select(
+        "doc_id", tx.tokens(TEXT).alias("words"), tx.tokens(SUMMARY).alias("summary_words"))
+    return words, alignment.Alignment.fit(words, "words", "summary_words", ALIGN_ROUNDS)
+
+
+@query("word_alignment")
+def _word_alignment(spark, sf):
+    """Pairs of words that are aligned with some confidence, as in a dictionary."""
+    return _alignment(spark, sf)[1].table.withColumn("p", r6("p")).where(F.col("p") >= LEAST_P)
+
+
+@query("alignment_history")
+def _alignment_history(spark, sf):
+    return _alignment(spark, sf)[1].history.withColumn("log_likelihood", F.round("log_likelihood", 3))
+
+
+@query("likely_summary_words")
+def _likely_summary_words(spark, sf):
+    words, model = _alignment(spark, sf)
+    return model.likely_words(words, "words").withColumn("p", r6("p"))
+
+
+@query("backoff_table")
+def _backoff_table(spark, sf):
+    return backoff.Backoff.fit(_encoded_summaries(spark, sf)[0]).table().withColumn("p", r6("p"))
+
+
+@query("backoff_likelihood")
+def _backoff_likelihood(spark, sf):
+    """Summaries of the validation part under a model of the training part."""
+    parts = splits.split_hash(_encoded_summaries(spark, sf)[0])
+    model = backoff.Backoff.fit(parts.where(F.col("split") == splits.TRAIN))
+    return model.likelihood(parts.where(F.col("split") == splits.VALIDATION)).withColumn("log_p", F.round("log_p", 4))
+
+
 def _encoded_texts(spark, sf):
     """The decoder, and the whole texts of the pairs in its vocabulary."""
     decoder = _decoder(spark, sf)
