@@ -129,8 +129,8 @@ def summary_log(texts: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 
 def summarize_and_log(
-    texts: DataFrame, path: str, text: str = "text", key: str = "doc_id"
+    texts: DataFrame, path: str, text: str = "text", key: str = "doc_id", token: str | None = None
 ) -> int:
-    """Summarise and append the new pairs to the pair table; the new total."""
+    """Summarise and append the new pairs to the pair table; the new total. A repeated ``token`` adds nothing."""
     new = summary_log(texts, text, key).select("doc_id", TEXT, SUMMARY)
-    return append_pairs(new, path, source="summary")
+    return append_pairs(new, path, source="summary", token=token)

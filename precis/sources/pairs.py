@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from precis.operators.filters import valid_pairs
 from precis.settings import SUMMARY, TEXT
+from precis.sources.commits import add_batch
 
 # Cell contents that count as missing when a CSV file is read.
 NA_TOKENS = (
@@ -63,14 +64,16 @@ def write_pairs_csv(pairs: DataFrame, path: str, rows_per_file: int = 100_000) -
 
 
 def append_pairs(
-    pairs: DataFrame, path: str, source: str = "user", valid_only: bool = False
+    pairs: DataFrame, path: str, source: str = "user", valid_only: bool = False, token: str | None = None
 ) -> int:
     """Append pairs to a parquet table, creating it if absent; the new total.
 
-    Only the new rows are written, under fresh keys: the number of the batch and the
-    key within it, so keys stay unique whatever was appended before. A batch with a
-    null or repeated key is refused. ``valid_only`` leaves out blank pairs.
-    ``source`` tells saved summaries from pairs given by users.
+    Only the new rows are written, under fresh keys: the name of the batch and the
+    key within it, so keys stay unique whatever is appended at the same time. The name
+    is ``token``, or else the next number. A batch comes in whole and once: an append
+    with a token that the table has adds nothing. A batch with a null or repeated key
+    is refused. ``valid_only`` leaves out blank pairs. ``source`` tells saved summaries
+    from pairs given by users.
     """
     spark = pairs.sparkSession
     if valid_only:
@@ -78,13 +81,9 @@ def append_pairs(
     keys = pairs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
     if not keys.isEmpty():
         raise ValueError("the keys of a batch must be unique and not null")
-    table = read_table(spark, path)
-    last = None if table is None else table.agg(F.max("batch")).first()[0]
-    batch = 0 if last is None else last + 1
-    pairs.select(
-        F.concat_ws("-", F.lit(str(batch)), F.col("doc_id").cast("string")).alias("doc_id"),
-        TEXT, SUMMARY, F.lit(source).alias("source"), F.lit(batch).alias("batch"),
-    ).write.mode("append").parquet(path)
+    add_batch(spark, path, lambda name: pairs.select(
+        F.concat_ws("-", F.lit(name), F.col("doc_id").cast("string")).alias("doc_id"),
+        TEXT, SUMMARY, F.lit(source).alias("source")), token)
     return spark.read.parquet(path).count()
 
 

@@ -406,6 +406,8 @@ oracle("read_pairs", f"""
 oracle("append_pairs", f"""
     SELECT * REPLACE (CASE WHEN {HASH_TRAIN} THEN '0-' ELSE '1-' END || doc_id AS doc_id),
         CASE WHEN {HASH_TRAIN} THEN 'train' ELSE 'validation' END AS source FROM pairs""", "pairs")
+oracle("append_stream", "SELECT *, 'user' AS source FROM pairs", "pairs")
+oracle("word_freq_stream", "SELECT * FROM doc_freq", "doc_freq")
 oracle("write_split", """
     SELECT * EXCLUDE (chosen), CASE WHEN chosen THEN 'train' ELSE 'validation' END AS split
     FROM split_pairs""", "split_pairs")

@@ -20,6 +20,7 @@ from precis.settings import DEFAULTS, PAD, START, SUMMARY, TEXT
 from precis.sources import lines as ln
 from precis.sources import pairs as pr
 from precis.sources.storage import cut_lineage, scratch_path
+from precis.streaming import tables
 from registry.tables import documents, joined, pairs, r6, read, turns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,31 @@ def _append_pairs(spark, sf):
     return spark.read.parquet(path).select("doc_id", TEXT, SUMMARY, "source")
 
 
+def _as_stream(table: DataFrame) -> DataFrame:
+    """A table as a stream of files, one in each batch."""
+    path = scratch_path(table.sparkSession, "stream")
+    table.repartition(4).write.parquet(path)
+    return table.sparkSession.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("append_stream")
+def _append_stream(spark, sf):
+    path = scratch_path(spark, "pairs")
+    stream = _as_stream(pairs(spark, sf))
+    tables.append_stream(stream, path, scratch_path(spark, "state"), "talk").start().awaitTermination()
+    logged = spark.read.parquet(path)
+    # The batch that a row comes in is chance; its own key follows it.
+    return logged.select(F.substring_index("doc_id", "-", -1).cast("long").alias("doc_id"), TEXT, SUMMARY, "source")
+
+
+@query("word_freq_stream")
+def _word_freq_stream(spark, sf):
+    path = scratch_path(spark, "counts")
+    stream = _as_stream(_clean_documents(documents(spark, sf)))
+    tables.word_freq_stream(stream, "clean", path, scratch_path(spark, "state")).start().awaitTermination()
+    return tables.read_word_freq(spark, path).drop("first_batch")
+
+
 @query("write_split")
 def _write_split(spark, sf):
     path = scratch_path(spark, "split")
