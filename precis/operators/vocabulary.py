@@ -30,11 +30,20 @@ def word_freq(
     So every aggregate is a primitive with map-side combine, and frequent
     words shrink to one row per task before the shuffle.
     """
+    return count_places(word_places(texts, text, key, by), batch, by)
+
+
+def word_places(texts: DataFrame, text: str, key: str = "doc_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each distinct word of a text (``at`` below ``n``), and after those for each word."""
     words = texts.select(*by, F.col(key).alias("doc"), tokens(text).alias("words"))
     both = words.select(*by, "doc", "words", F.array_distinct("words").alias("distinct")).select(
         *by, "doc", F.size("distinct").alias("n"), F.concat("distinct", "words").alias("both")
     )
-    rows = unroll(both, [*by, "doc", "n"], "both", pos="at")
+    return unroll(both, [*by, "doc", "n"], "both", pos="at")
+
+
+def count_places(rows: DataFrame, batch: int = 0, by: tuple[str, ...] = ()) -> DataFrame:
+    """The counts of ``word_freq`` out of rows of ``word_places``."""
     place = F.col("at") < F.col("n")
     doc = F.when(place, F.col("doc"))
     return rows.groupBy(*by, "word").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from precis.functions.chars import STOPWORDS
 from precis.settings import SUMMARY, TEXT
-from registry.queries import ALIGN_ROUNDS, BEAM, LEAST_P, ROUNDS, STEPS, SUMMARY_WORDS, TEXT_WORDS
+from registry.queries import ALIGN_ROUNDS, BEAM, BOUNDED_WORDS, LEAST_P, ROUNDS, STEPS, SUMMARY_WORDS, TEXT_WORDS
 
 
 # Whitespace as Python splits by, as ranges, and its word characters.
@@ -629,6 +629,8 @@ oracle("count_rows", """
     FROM split_pairs GROUP BY chosen""", "split_pairs")
 
 oracle("vocabulary", "SELECT * FROM doc_vocab", "doc_vocab")
+vocab_cte("few_vocab", "doc_freq", BOUNDED_WORDS)
+oracle("vocabulary_bounded", "SELECT * FROM few_vocab", "few_vocab")
 oracle("top_words", "SELECT word, freq FROM doc_freq ORDER BY freq DESC, first_doc, first_rank LIMIT 20", "doc_freq")
 oracle("important_words", "SELECT * FROM d_imp", "d_imp")
 cte("ranked", f"SELECT *, CAST(row_number() OVER ({BEST_FIRST}) AS INT) AS rank FROM scores", "scores")

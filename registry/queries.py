@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from precis.functions import metrics as mx
 from precis.functions import sequences as sq
 from precis.functions import text as tx
-from precis.operators import alignment, backoff, classifier, decoding, encoding, evaluation, filters, importance, ranking
+from precis.operators import alignment, backoff, classifier, decoding, encoding, evaluation, filters, heavy, importance, ranking
 from precis.operators import salience, splits, statistics, tfidf
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
@@ -361,6 +361,9 @@ _on_documents("length_boxplot", lambda d: statistics.length_boxplot(d, "text").w
     {c: r6(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")}))
 
 
+#: Size of the vocabulary that is fitted with bounded counters.
+BOUNDED_WORDS = 1000
+
 #: Rounds of a fit whose result SQL can follow; no early stop, so that their number is fixed.
 ROUNDS = 10
 
@@ -436,6 +439,12 @@ def _vocabulary(spark, sf):
     return vb.vocabulary(freqs, TEXT_WORDS)
 
 
+@query("vocabulary_bounded")
+def _vocabulary_bounded(spark, sf):
+    """A smaller vocabulary, whose words bounded counters can tell from the rest."""
+    return heavy.fit_vocabulary_bounded(_clean_documents(documents(spark, sf)), "clean", BOUNDED_WORDS).table
+
+
 _on_documents("top_words", lambda d: vb.top_words(vb.word_freq(_clean_documents(d), "clean")).select(
     "word", "freq"))
 _on_documents("important_words", lambda d: importance.important_words(
