@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import KEY, Rolling, column, keyed, mixed, numbered, pick, restored, slices
+from precis.llm.common import KEY, Rolling, column, keyed, mixed, numbered, pick, restored, slices, stored
 
 #: First code points of blocks and their script; a block ends where the next begins. Fixed values.
 SCRIPTS = (
@@ -30,10 +31,23 @@ _NAMES = sorted({name for _, name in SCRIPTS})
 _FIRST = np.array([first for first, _ in SCRIPTS])
 _WHICH = np.array([_NAMES.index(name) for _, name in SCRIPTS])
 
-#: Runs of letters, and of signs for numbers such as superscripts, which go afterwards.
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _marks() -> str:
+    """The code points that sit on the letter before them (vowel signs, accents), as ranges of a character class."""
+    at = [c for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    ends = [i for i in range(len(at)) if i + 1 == len(at) or at[i + 1] != at[i] + 1]
+    starts = [0, *(i + 1 for i in ends[:-1])]
+    return "".join(f"{chr(at[a])}-{chr(at[b])}" for a, b in zip(starts, ends))
+
+
+#: Runs of letters with the marks on them, and of signs for numbers such as superscripts, which go afterwards.
+WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 UNKNOWN = "und"
 COUNTS = "lang string, slot int, n long"
+FITS = "lang int, n double, m double, q double"
+#: Numbers of the table of counts; with very many languages each gets fewer slots.
+MOST_CELLS, LEAST_SLOTS = 1 << 25, 256
 LABELS = ("doc_id long, k1 long, k2 long, lang_pred string, score double, "
           "spans array<struct<first:int,last:int,lang:string>>")
 
@@ -42,10 +56,11 @@ LABELS = ("doc_id long, k1 long, k2 long, lang_pred string, score double, "
 class Settings:
     #: Labelled rows of a language to learn from, on average; a language with fewer gives all.
     rows_per_language: int = 4000
-    #: Languages learned, the ones with the most labelled rows.
-    most_languages: int = 400
-    #: Slots that pieces of words are hashed into.
+    #: Slots that pieces of words are hashed into; halved until the table of all languages has MOST_CELLS numbers.
     slots: int = 1 << 16
+    #: Deviations, and natural logarithms besides, by which a text may fit its language worse than labelled ones.
+    misfit: float = 6.0
+    slack: float = 0.5
     #: What a change of language costs, in natural logarithms of probability.
     switch: float = 8.0
     #: Share of a language's words in a script from which the language is a candidate there.
@@ -113,9 +128,11 @@ class Model:
         scripts = counts[settings.slots :]
         share = scripts / np.maximum(scripts.sum(0), 1)
         self.candidates = share >= settings.script_share
+        #: For each language the usual mean score of a text's different words, and its deviation for a single word.
+        self.usual, self.spread = np.full(len(languages), -np.inf), np.zeros(len(languages))
 
-    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For each word the scores by language, and whether its script is one that a language is written in.
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each word the scores by language, whether its script is one that a language is written in, and the plain scores.
 
         A score is the mean log probability of its pieces, scaled to two pieces.
         The best candidate has 0; languages not written in the word's script have 10
@@ -129,7 +146,29 @@ class Model:
         last = np.where(at, score, np.inf).min(1, keepdims=True) - 10
         known = at.any(1, keepdims=True)
         with np.errstate(invalid="ignore"):
-            return np.where(known, np.where(at, score, last) - best, 0.0).astype(np.float32), known[:, 0]
+            return np.where(known, np.where(at, score, last) - best, 0.0).astype(np.float32), known[:, 0], score.astype(np.float32)
+
+    def fits(self):
+        """mapInArrow function: (lang, text) to the number of different words, and the means of their scores and squared scores."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place = {x: i for i, x in enumerate(self.languages)}
+            for batch in slices(batches):
+                rows = []
+                for name, text in zip(column(batch, "lang").to_pylist(), column(batch, "text").to_pylist()):
+                    words = [w for w in set(WORD.findall(text.lower())) if any(map(str.isalpha, w))]
+                    if words:
+                        own = self.score(sorted(words))[2][:, place[name]].astype(float)
+                        rows.append((place[name], len(words), own.mean(), (own**2).mean()))
+                names = [x.split()[0] for x in FITS.split(", ")]
+                kinds = [pa.int32(), pa.float64(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+        return run
+
+    def is_strange(self, language: int, n: int, mean: float) -> bool:
+        """Whether n different words with this mean score fit a language worse than its labelled texts do."""
+        return mean < self.usual[language] - self.settings.misfit * self.spread[language] / np.sqrt(n) - self.settings.slack
 
     def label(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return self._label(slices(batches))
@@ -137,7 +176,8 @@ class Model:
     def keep(self, least: float, wanted: tuple[str, ...] | None, strangers: bool):
         """mapInArrow function that passes on the rows with ``least`` of their letters in a wanted language.
 
-        With ``strangers`` letters of a strange script count for the language that their word is labelled with.
+        With ``strangers`` letters of a strange script count for the language that their word is labelled with;
+        without, also texts whose words do not fit the language go.
         """
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = []
@@ -148,7 +188,8 @@ class Model:
 
             for out in self._label(seen(), strangers):
                 found = zip(column(out, "lang_pred").to_pylist(), column(out, "score").to_pylist())
-                good = [x != UNKNOWN and s >= least and (wanted is None or x in wanted) for x, s in found]
+                good = [x != UNKNOWN and s >= least and (wanted is None or x in wanted) and (strangers or not odd)
+                        for (x, s), odd in zip(found, self.odd)]
                 yield part[0].filter(pa.array(good, pa.bool_()))
 
         return run
@@ -156,9 +197,10 @@ class Model:
     def _label(self, parts: Iterator[pa.RecordBatch], strangers: bool = False) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
         scores, known = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, bool)
+        plain = scores
         for batch in parts:
             if len(cache) > self.settings.cache:
-                cache, scores, known = {}, scores[:0], known[:0]
+                cache, scores, known, plain = {}, scores[:0], known[:0], plain[:0]
             ids, letters, new = [], [], []
             for text in column(batch, "text").to_pylist():
                 words = WORD.findall(text.lower()) if text and self.languages else []
@@ -175,19 +217,23 @@ class Model:
                 letters.append(np.fromiter(map(len, words), np.int32, len(words)))
             sizes = np.array([len(x) for x in ids], np.int64)
             if new:
-                more, fits = self.score(new)
-                scores, known = np.concatenate([scores, more]), np.concatenate([known, fits])
+                scores, known, plain = (np.concatenate(x) for x in zip((scores, known, plain), self.score(new)))
             if sizes.any():
                 labels = viterbi(scores, np.concatenate(ids), sizes, self.settings.switch)
             ends = np.cumsum(sizes)
             best, score, spans = [], [], []
+            # Of each text of the batch: whether its words fit its language badly.
+            self.odd: list[bool] = []
             for n, end, own, words in zip(sizes.tolist(), ends.tolist(), letters, ids):
                 if not n:
-                    best.append(UNKNOWN), score.append(0.0), spans.append([])
+                    best.append(UNKNOWN), score.append(0.0), spans.append([]), self.odd.append(True)
                     continue
                 mine = labels[end - n : end]
                 weight = np.bincount(mine, own if strangers else own * known[words], len(self.languages))
-                best.append(self.languages[int((weight if weight.any() else np.bincount(mine, own)).argmax())])
+                top = int((weight if weight.any() else np.bincount(mine, own)).argmax())
+                best.append(self.languages[top])
+                once = np.unique(words[known[words]])
+                self.odd.append(not strangers and len(once) > 0 and self.is_strange(top, len(once), plain[once, top].mean()))
                 score.append(float(weight.max() / own.sum()))
                 cuts = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), n]
                 spans.append([{"first": a, "last": b - 1, "lang": self.languages[mine[a]]} for a, b in zip(cuts, cuts[1:])])
@@ -240,29 +286,41 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learn from a sample of the labelled rows, chosen by a hash of doc_id and bounded by language."""
+    """Learn all languages from a sample of the labelled rows, chosen by a hash of doc_id and bounded by language."""
     rows = pick(docs, "doc_id", "text", "lang").withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(settings.most_languages)
-    chosen = {r.lang: min(1.0, settings.rows_per_language / r.n) for r in sizes.collect()}
-    languages = sorted(chosen)
-    counts = np.zeros((settings.slots + len(_NAMES), len(languages)))
-    if languages:
-        draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / F.lit(1e6)
-        share = F.element_at(F.create_map(*(F.lit(x) for pair in chosen.items() for x in pair)), F.col("lang"))
-        sample = rows.where(draw < F.coalesce(share, F.lit(0.0))).select("lang", "text")
-        found = sample.mapInArrow(counter_of(settings), COUNTS).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-        # At most (slots + scripts) x languages numbers, whatever the corpus.
-        place = {x: i for i, x in enumerate(languages)}
-        for r in found.toLocalIterator():
-            counts[r.slot, place[r.lang]] = r.n
-    return Model(languages, counts, settings)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    chosen = {r.lang: min(1.0, settings.rows_per_language / r.n) for r in sizes}
+    languages, slots = sorted(chosen), settings.slots
+    while slots * len(languages) > MOST_CELLS and slots > LEAST_SLOTS:
+        slots //= 2
+    settings = replace(settings, slots=slots)
+    counts = np.zeros((slots + len(_NAMES), len(languages)))
+    if not languages:
+        return Model(languages, counts, settings)
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / F.lit(1e6)
+    shares = docs.sparkSession.createDataFrame(list(chosen.items()), "lang string, share double")
+    sample = stored(rows.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text"))
+    found = sample.mapInArrow(counter_of(settings), COUNTS).groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    # At most (slots + scripts) x languages numbers, whatever the corpus.
+    place = {x: i for i, x in enumerate(languages)}
+    which = np.array([place[x] for x in found.column("lang").to_pylist()], np.int64)
+    counts[found.column("slot").to_numpy(), which] = found.column("n").to_numpy()
+    model = Model(languages, counts, settings)
+    # How well labelled texts fit: means of scores, and how far single words deviate, or texts as if of single words.
+    n, m = F.col("n"), F.col("m")
+    for r in sample.mapInArrow(model.fits(), FITS).groupBy("lang").agg(
+            F.avg("m").alias("m"), F.avg("n").alias("n"), F.avg(n * m).alias("nm"), F.avg(n * m * m).alias("nmm"),
+            (F.sum(n * F.col("q")) / F.sum("n") - F.pow(F.sum(n * m) / F.sum("n"), 2)).alias("words")).collect():
+        model.usual[r.lang] = r.m
+        model.spread[r.lang] = np.sqrt(max(0.0, r.words, r.nmm - 2 * r.m * r.nm + r.m**2 * r.n))
+    return model
 
 
 def label_languages(docs: DataFrame, model: Model) -> DataFrame:
     """The language of every text and of its spans.
 
-    Words are runs of letters. A word's script leaves the languages that are written
+    Words are runs of letters with the marks on them. A word's script leaves the languages that are written
     in it; a word in a script that none was learned for fits all alike. Scores of
     words by language are joined by Viterbi with a price for each change. The
     text's language is the one with the most letters (of equals the first by name),
@@ -284,7 +342,9 @@ def with_known_language(docs: DataFrame, model: Model, least: float = 0.5, wante
 
     A row goes if it has no letters, or no language has ``least`` of them. Letters of
     words in a script that no learned language uses count for the language that
-    the word is labelled with, or without ``strangers`` for none.
+    the word is labelled with, or without ``strangers`` for none. Without them a row
+    also goes if its different words fit its language far worse than those of labelled
+    rows, as a text in an unlearned language of a known script does.
     """
     rows = numbered(docs)
     return restored(rows.mapInArrow(model.keep(least, wanted, strangers), rows.schema), docs)

@@ -280,6 +280,93 @@ def test_strange_scripts_are_no_language(spark):
     assert sorted(i for i in kept if i >= 9_000) == [9_003, 9_004] and len(kept) == 18
 
 
+def plain_language(text, counts, settings):
+    """Label of each word, language and score, from strings of pieces and by trying all paths of labels."""
+    import itertools
+    import math
+    import unicodedata
+
+    words, now = [], ""
+    for c in [*(text or "").lower(), " "]:
+        kind = unicodedata.category(c)
+        if kind[0] == "L" or (now and kind in ("Mn", "Mc")):
+            now += c
+        elif now:
+            words.append(now)
+            now = ""
+    if not words:
+        return [], "und", 0.0
+
+    def parts(w):
+        m = f"<{w}>"
+        return [m[i : i + 3] for i in range(len(m) - 2)] + [m]
+
+    names = sorted(counts)
+    table = []
+    for w in words:
+        logs = [sum(math.log((counts[x][p] + 0.1) / (sum(counts[x].values()) + 0.1 * settings.slots)) for p in parts(w)) for x in names]
+        score = [2 * v / len(parts(w)) for v in logs]
+        table.append([v - max(score) for v in score])
+    paths = itertools.product(range(len(names)), repeat=len(words))
+    best = max(paths, key=lambda p: (sum(table[t][x] for t, x in enumerate(p)) - settings.switch * sum(a != b for a, b in zip(p, p[1:])),
+                                     tuple(-x for x in p)))
+    weight = [sum(len(w) for w, x in zip(words, best) if x == i) for i in range(len(names))]
+    return [names[x] for x in best], names[weight.index(max(weight))], max(weight) / sum(weight)
+
+
+def test_labels_against_plain_python(spark):
+    """Two languages of one script, all of the result: labels of words, language and score."""
+    from collections import Counter
+
+    texts = {"de": "der garten und das haus waren grün und die sonne schien über den hügeln", "en": "the garden and the house were green and the sun was shining"}
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
+    docs = spark.createDataFrame([(i, texts["de" if j % 2 else "en"], "de" if j % 2 else "en") for j, i in enumerate(ids)], "doc_id long, text string, lang string")
+    settings = lang.Settings(switch=1.5)
+    model = lang.fit(docs, settings)
+    counts = {}
+    for name, t in texts.items():
+        counts[name] = Counter()
+        for w in t.split():
+            m = f"<{w}>"
+            counts[name].update([*(m[i : i + 3] for i in range(len(m) - 2)), m])
+        for p in counts[name]:
+            counts[name][p] *= 10
+    new = ["the sun and die sonne über den hügeln", "house haus", "Garden, garten! 12", "a\u0308 gru\u0308n the", "", "green green und und und the the", "xyz"]
+    for r in lang.label_languages(cases.frame(spark, new), model).collect():
+        labels, best, score = plain_language(new[r.doc_id], counts, settings)
+        got = [s.lang for s in r.spans for _ in range(s.first, s.last + 1)]
+        assert (got, r.lang_pred, pytest.approx(score)) == (labels, best, r.score), new[r.doc_id]
+
+
+def test_words_keep_their_marks():
+    assert lang.WORD.findall("हिन्दी में लिखना") == ["हिन्दी", "में", "लिखना"]
+    assert lang.WORD.findall("ภาษาไทย ที่นี่ 12x²") == ["ภาษาไทย", "ที่นี่", "x²"]
+    assert lang.WORD.findall("cafe\u0301 na\u0308her \u0301x, a_b") == ["cafe\u0301", "na\u0308her", "x", "a", "b"]
+
+
+def test_many_languages_are_all_learned(spark, monkeypatch):
+    monkeypatch.setattr(lang, "MOST_CELLS", 1 << 16)
+    words = ["".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=200)) for i in range(600)]
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2][:600]
+    docs = spark.createDataFrame([(i, w, f"l{j}") for j, (i, w) in enumerate(zip(ids, words))], "doc_id long, text string, lang string")
+    model = lang.fit(docs)
+    assert len(model.languages) == 600 and model.settings.slots == 256
+    got = lang.label_languages(docs, model).join(docs, "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in got) > 550
+
+
+def test_unlearned_languages_of_known_scripts_go(spark):
+    """Only where strangers are unwanted, as in the pipeline; texts of learned languages stay."""
+    docs = spark.read.parquet(f"{cases.DATA}/documents.parquet")
+    model = lang.fit(docs)
+    odd = ["kissa istui ikkunalla ja katseli hiljaista pihaa jossa lumi suli hitaasti kevään auringossa " * 3,
+           "köszönöm szépen hogy eljöttél hozzánk ma este vacsorára mert nagyon vártunk már téged " * 3]
+    both = docs.select("doc_id", "text").unionAll(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
+    strict = {r.doc_id for r in lang.with_known_language(both, model, strangers=False).collect()}
+    loose = {r.doc_id for r in lang.with_known_language(both, model).collect()}
+    assert loose - strict == {10**6, 10**6 + 1}
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
