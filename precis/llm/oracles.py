@@ -77,13 +77,13 @@ _RULES = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
-    ("bearer", r"(?i:bearer)\x20{1,8}[A-Za-z0-9._~+/=-]{16,}", 0, 0),
+    ("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/=-]{16,}", 0, 0),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{10,1000}\.eyJ[A-Za-z0-9_-]{10,1000}\.[A-Za-z0-9_-]{10,}", 0, 0),
-    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
-    ("url_login", r"://[^/\x20:@\n]{1,256}:[^/\x20:@\n]{1,256}@", 0, 0),
+    ("url_login", r"://[^/\x20:@\n]+:[^/\x20:@\n]+@", 0, 0),
 )
 
 

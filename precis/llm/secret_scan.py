@@ -40,13 +40,13 @@ RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("bearer", r"(?i:bearer)\x20{1,8}[A-Za-z0-9._~+/=-]{16,}"),
+    Rule("bearer", r"(?i:bearer)\x20++[A-Za-z0-9._~+/=-]{16,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     # The rest of a run that begins no token is taken with it (and dropped, as the group is
     # empty): no later start in the run can do better, so each run is tried once.
     Rule("jwt", r"eyJ((?:[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+)?+)[A-Za-z0-9_-]*+", 1, 1),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("url_login", r"://[^/\x20:@\n]++:[^/\x20:@\n]++@"),
 )

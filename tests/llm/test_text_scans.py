@@ -5,6 +5,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from precis.llm import language_id as lang
 from precis.llm import pii
@@ -122,7 +123,29 @@ def test_long_tokens_and_logins(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
-@pytest.mark.parametrize("text", ["eyJ" * 100_000, "eyJabcdefghijk." * 20_000, "://" + "a" * 300_000, "://a:" * 60_000])
+def test_sql_and_code_have_no_upper_bounds(spark):
+    """Many blanks and long parts, through the query's expressions and through its SQL."""
+    import duckdb
+
+    from precis.llm.oracles import OP7
+
+    long = "aB3_-" * 400
+    texts = [f"Bearer{' ' * 9}{'x' * 20}", f"bearer{' ' * 3000}{'y' * 16} z", f"-----BEGIN {'VERY ' * 30}PRIVATE KEY-----", f"eyJ{long}.eyJ{long}.{long}",
+             f"a://u:{'p' * 300}@b", "Bearer short", "-----BEGIN lower PRIVATE KEY-----", None]
+    spans = secrets.secret_scan(cases.frame(spark, texts)).select("doc_id", secrets.joined(F.col("spans")).alias("spans"))
+    got = {r.doc_id: r.spans for r in spans.collect()}
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rows = db.execute(OP7)
+    names = [d[0] for d in rows.description]
+    assert got == {r[names.index("doc_id")]: r[names.index("spans")] for r in rows.fetchall()}
+    for i, kind in enumerate(("bearer", "bearer", "private_key", "jwt", "url_login")):
+        assert kind in got[i]
+    assert [got[i] for i in range(5, 8)] == ["", "", ""]
+
+
+@pytest.mark.parametrize("text", ["bearer" + " " * 300_000, "-----BEGIN " + "A" * 300_000, "-----BEGIN " * 30_000, "bearer " * 50_000, "eyJ" * 100_000, "eyJabcdefghijk." * 20_000, "://" + "a" * 300_000, "://a:" * 60_000])
 def test_long_runs_are_linear(text):
     assert [s for s in plain_spans(text) if s[2] == "url_login"] == []
 
