@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from precis.llm.common import column, pick, stored
 PLACED = "h1 long, h2 long, v array<double>, ids array<long>, list int"
 ASKED = "h1 long, h2 long, v array<double>, list int"
 FOUND = "h1 long, h2 long, vec_id long, score double"
+#: How many times more lists a query reads that has found too few.
+WIDER = 8
 
 
 @dataclass(frozen=True)
@@ -138,7 +141,12 @@ class Lists:
     def _pairs(self, vectors: np.ndarray, ratio: float, least: int, most: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and lists, block by block; without ``most`` a walk is widened until it passes the ratio."""
         rows, lists = [], []
-        todo = [(p, self.settings.beam) for p in np.array_split(np.arange(len(vectors)), 1 + len(vectors) // 512)]
+        n = len(self.graph.centroids)
+        if least >= n:
+            # All lists, whether a walk would come to them or not.
+            return np.repeat(np.arange(len(vectors)), n), np.tile(np.arange(n), len(vectors))
+        width = max(self.settings.beam, least)
+        todo = [(p, width) for p in np.array_split(np.arange(len(vectors)), 1 + len(vectors) // 512)]
         while todo:
             part, width = todo.pop()
             found, squared = self.graph.walk(vectors[part], width)
@@ -169,9 +177,9 @@ class Lists:
         s = self.settings
         return self._run(batches, ["h1", "h2", "v", "ids"], s.replica_ratio, 1, s.replicas)
 
-    def ask(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = self.settings
-        return self._run(batches, ["h1", "h2", "v"], s.probe_ratio, s.least_probes, None)
+    def ask(self, least: int):
+        """mapInArrow function: queries to the lists that they read, ``least`` or more."""
+        return lambda batches: self._run(batches, ["h1", "h2", "v"], self.settings.probe_ratio, least, None)
 
 
 def _nearest(k: int):
@@ -222,14 +230,32 @@ def _blocks(counts: DataFrame, block: int) -> dict[int, int]:
     return {r.list: -(-r.n // block) for r in counts.collect()}
 
 
+def _meet(filed: DataFrame, asked: DataFrame, entry_blocks: dict[int, int], settings: Settings) -> DataFrame:
+    """The k + 1 nearest ids that each query finds in each block of the lists it reads."""
+    asked = stored(asked)
+    query_blocks = _blocks(asked.groupBy("list").agg(F.count(F.lit(1)).alias("n")), settings.block)
+    sizes = filed.sparkSession.createDataFrame(
+        [(i, entry_blocks[i], query_blocks[i]) for i in entry_blocks if i in query_blocks], "list int, eb int, qb int")
+
+    def dealt(df: DataFrame, mine: str, other: str) -> DataFrame:
+        at = F.pmod(F.col("h1"), F.col(mine)).cast("int")
+        cells = df.join(F.broadcast(sizes), "list").withColumn(mine, at)
+        return cells.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+
+    cell = ["list", "eb", "qb"]
+    left, right = dealt(filed, "eb", "qb").groupBy(*cell), dealt(asked, "qb", "eb").groupBy(*cell)
+    return left.cogroup(right).applyInArrow(_nearest(settings.k), FOUND).distinct()
+
+
 def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(), **names: str) -> DataFrame:
     """The k nearest rows by Euclidean distance for each row that ``queries`` (on vec_id) selects.
 
     Rows that are null, zero, or hold a null or non-finite component, and such of
     another length than most, take no part, nor do rows without id. Repeated rows count once. A
-    query's candidates are all rows of other ids. Ties go to the smaller id. With
-    fewer candidates than k all that the lists read are returned; one list holds
-    everything up to ``list_rows`` vectors. An empty table gives none.
+    query's candidates are all rows of other ids. Ties go to the smaller id. A query
+    whose lists hold fewer than k candidates reads WIDER times as many, again and again
+    until it has k or has read all lists, so it gets k if there are so many. One list
+    holds everything up to ``list_rows`` vectors. An empty table gives none.
 
     Returns query_id, rank (from 1), vec_id, score (double distance).
     """
@@ -250,20 +276,21 @@ def search(vectors: DataFrame, queries: Column, settings: Settings = Settings(),
     lists = Lists(CentroidGraph(balanced_centroids(np.array(sample), n_lists), settings), settings)
     own = rows.where(queries).select("vec_id", "v")
     filed = stored(entries.mapInArrow(lists.file, PLACED))
-    asked = stored(own.select("v").distinct().select(*_digest(), "v").mapInArrow(lists.ask, ASKED))
     entry_blocks = _blocks(filed.groupBy("list").agg(F.count(F.lit(1)).alias("n")), settings.block)
-    query_blocks = _blocks(asked.groupBy("list").agg(F.count(F.lit(1)).alias("n")), settings.block)
-    sizes = spark.createDataFrame(
-        [(i, entry_blocks[i], query_blocks[i]) for i in entry_blocks if i in query_blocks], "list int, eb int, qb int")
-
-    def dealt(df: DataFrame, mine: str, other: str) -> DataFrame:
-        at = F.pmod(F.col("h1"), F.col(mine)).cast("int")
-        cells = df.join(F.broadcast(sizes), "list").withColumn(mine, at)
-        return cells.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-
-    cell = ["list", "eb", "qb"]
-    left, right = dealt(filed, "eb", "qb").groupBy(*cell), dealt(asked, "qb", "eb").groupBy(*cell)
-    found = left.cogroup(right).applyInArrow(_nearest(k), FOUND).distinct()
+    asking = stored(own.select("v").distinct().select(*_digest(), "v"))
+    least, every = settings.least_probes, []
+    while True:
+        found = stored(_meet(filed, asking.mapInArrow(lists.ask(least), ASKED), entry_blocks, settings))
+        # Queries with fewer than k ids besides their own; they are asked anew, more widely.
+        enough = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select("h1", "h2")
+        every.append(found)
+        if least >= len(lists.graph.centroids):
+            break
+        asking = stored(asking.join(enough, ["h1", "h2"], "left_anti").select("h1", "h2", "v"))
+        if asking.isEmpty():
+            break
+        least *= WIDER
+    found = reduce(DataFrame.unionAll, every).distinct()
     nearest = Window.partitionBy("h1", "h2").orderBy("score", "vec_id")
     top = found.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1).drop("nth")
     ids = own.select(F.col("vec_id").alias("query_id"), *_digest())

@@ -56,6 +56,15 @@ def test_search_few_and_no_rows(spark):
     assert search(vectors(spark, [(5, None)]), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_far_queries_get_k(spark):
+    """Lists of one vector each: the lists of a far query hold fewer than k, but there are many candidates."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3).round(3).tolist()) for i in range(1, 800)] + [(1000, [60.0, 60.0, 60.0]), (1100, [-90.0, 0.0, 1.0])]
+    found = search(vectors(spark, rows), F.col("vec_id") % 100 == 0, Settings(list_rows=1, least_probes=2, probe_ratio=1.0, replicas=1))
+    got = Counter(r.query_id for r in found.collect())
+    assert got == {i: 10 for i in (*range(100, 800, 100), 1000, 1100)}
+
+
 def test_recall_of_many_lists(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     found = search(table, F.col("vec_id") % 100 == 0, Settings(list_rows=32, block=64))
