@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precis.llm.common import pick
+from precis.llm.common import pick, stored
 
 #: Query parameters that only track where a visitor came from. Fixed values.
 TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
@@ -42,10 +42,10 @@ def field_map(headers: Column) -> Column:
         F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == n), lambda e: e["value"]), ", ")))
 
 
-def merged_headers(stored: Column, new: Column) -> Column:
+def merged_headers(old: Column, new: Column) -> Column:
     """The stored response's fields, replaced by those that the not-modified one may change."""
     allowed = F.map_filter(field_map(new), lambda k, _: ~k.isin(*KEPT_FIELDS))
-    return F.map_concat(F.map_filter(field_map(stored), lambda k, _: ~F.array_contains(F.map_keys(allowed), k)), allowed)
+    return F.map_concat(F.map_filter(field_map(old), lambda k, _: ~F.array_contains(F.map_keys(allowed), k)), allowed)
 
 
 def _weak(etag: Column) -> Column:
@@ -55,21 +55,27 @@ def _weak(etag: Column) -> Column:
 def latest_response(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
     """Revisits with prior, the latest response of the same canonical URL with an earlier ts.
 
-    Time is cut into buckets, so one URL with a large share of all captures is many
-    groups: a window looks back inside a bucket, and one row for each URL and bucket
-    carries the last response of earlier buckets over.
+    All captures of a URL at one ts become one row, in the tasks before the shuffle, so a URL
+    has at most ``bucket_seconds`` rows in a bucket of time, however often it was captured. A
+    window looks back inside a bucket, and one row for each URL and bucket carries the last
+    response of earlier buckets over. Revisits then look up their URL and ts; those tables are
+    stored, so Spark can split a URL that has very many of them at one ts.
     """
-    light = records.withColumn("site", canonical_url("url")).withColumn("bucket", F.floor(F.col("ts") / bucket_seconds))
-    response = F.when(F.col("kind") == "response", F.struct("ts", "record_id", "etag", "last_modified"))
-    events = light.select("record_id", "site", "ts", "bucket", "kind", "etag", "last_modified", response.alias("response"))
-    events = events.where("site is not null and ts is not null")
-    inside = Window.partitionBy("site", "bucket").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    seen = events.withColumn("near", F.max("response").over(inside)).where("kind = 'revisit'").drop("response")
+    light = records.withColumn("site", canonical_url("url")).where("site is not null and ts is not null")
+    response = F.when(F.col("kind") == "response", F.struct("record_id", "etag", "last_modified"))
+    times = stored(light.groupBy("site", "ts").agg(
+        F.max(response).alias("response"), F.max((F.col("kind") == "revisit").cast("int")).alias("asked")))
+    times = times.select(
+        "site", "ts", "asked", F.floor(F.col("ts") / bucket_seconds).alias("bucket"),
+        F.when(F.col("response").isNotNull(), F.struct("ts", "response.*")).alias("response"))
+    inside = Window.partitionBy("site", "bucket").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    near = times.withColumn("near", F.last("response", ignorenulls=True).over(inside)).where("asked = 1")
     earlier = Window.partitionBy("site").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = events.groupBy("site", "bucket").agg(F.max("response").alias("last")).select(
+    carried = times.groupBy("site", "bucket").agg(F.max("response").alias("last")).select(
         "site", "bucket", F.last("last", ignorenulls=True).over(earlier).alias("far"))
-    return seen.join(carried, ["site", "bucket"]).select(
-        "record_id", "site", "ts", "etag", "last_modified", F.coalesce("near", "far").alias("prior"))
+    prior = stored(near.join(carried, ["site", "bucket"]).select("site", "ts", F.coalesce("near", "far").alias("prior")))
+    seen = light.where("kind = 'revisit'").select("record_id", "site", "ts", "etag", "last_modified")
+    return seen.join(prior, ["site", "ts"])
 
 
 def resolve_revisits(records: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
@@ -96,13 +102,13 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = 86_400) -> DataFr
     revisits = rows.where("kind = 'revisit'").select("record_id", "url", F.col("headers").alias("new"))
     checked = revisits.join(tied, "record_id", "left").select(
         "record_id", canonical_url("url").alias("site"), F.coalesce("state", F.lit("orphan")).alias("state"), "response_id", "new")
-    stored = rows.where("kind = 'response'").select(
+    full = rows.where("kind = 'response'").select(
         F.col("record_id").alias("stored_id"), F.col("headers").alias("old"), "payload")
     resolved = F.col("state") == "resolved"
     # Unresolved rows go by their own id, so that they are no hot key.
     checked = checked.withColumn("tied", resolved).withColumn("to", F.when(resolved, F.col("response_id")).otherwise(F.col("record_id")))
-    stored = stored.withColumn("tied", F.lit(True)).withColumnRenamed("stored_id", "to")
-    return checked.join(stored, ["tied", "to"], "left").select(
+    full = full.withColumn("tied", F.lit(True)).withColumnRenamed("stored_id", "to")
+    return checked.join(full, ["tied", "to"], "left").select(
         "record_id", "site", "state", "response_id", F.when(resolved, merged_headers(F.col("old"), F.col("new"))).alias("headers"), "payload")
 
 

@@ -132,6 +132,18 @@ def test_revisit_ties_and_buckets(spark):
             assert r.response_id == (max(earlier)[1] if earlier else None)
 
 
+def test_one_url_at_one_time_is_one_row(spark):
+    """A crowd of captures of one URL, at one ts and at many; the windows see a row for each ts."""
+    rows = [(i, "http://h/p", 50, "response", f"{i}", None, {}, str(i)) for i in range(300)]
+    rows += [(1000 + i, "http://h/p", 60, "revisit", f"{299 if i % 2 else i}", None, {}, None) for i in range(2000)]
+    rows += [(5000 + i, "http://h/p", 50 + i, "revisit", None, None, {}, None) for i in range(0, 40, 5)]
+    got = {r.record_id: r for r in warc_revisits.resolve_revisits(records(spark, rows)).collect()}
+    assert {r.response_id for i, r in got.items() if i != 5000} == {299} and got[5000].state == "orphan"
+    assert sum(r.state == "resolved" for i, r in got.items() if i < 5000) == 1000
+    light = warc_revisits.latest_response(records(spark, rows).select(*warc_revisits.RECORD))
+    assert light.count() == 2008
+
+
 def plain_copies(doc_id, rate, seed="mix"):
     parts = max(1, math.ceil(rate / mixing.PART))
     total = 0
