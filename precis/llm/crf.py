@@ -32,7 +32,19 @@ class Crf:
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The best labels by Viterbi, all sequences step by step together; of equal paths the lower labels."""
-        score = self.emissions(ids)
+        return self.best(self.emissions(ids), sizes)
+
+    def is_surely_zero(self, score: np.ndarray) -> np.ndarray:
+        """Which tokens have label 0 on the best path of any text, whatever stands beside them.
+
+        No other label can make up for its lower score by better moves from and to it.
+        """
+        m = self.moves
+        gain = (m[:, 1:] - m[:, :1]).max(0) + (m[1:] - m[:1]).max(1)
+        return (score[:, :1] - score[:, 1:] > gain).all(1)
+
+    def best(self, score: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """``decode`` from the scores of the tokens."""
         starts, _, live = _steps(sizes)
         n_labels = score.shape[1]
         back = np.zeros((len(score), n_labels), np.int8)

@@ -225,6 +225,68 @@ def test_added_spans_in_long_runs(spark):
     assert found == [[("email", mail)], [("email", mail)], []]
 
 
+def planted(rng, n):
+    """Texts of plain words with disguised addresses and numbers in some, and the spans of those."""
+    words = "we met at noon and the old house was sold for little money because nobody wanted to live at the lake dot or plus".split()
+    out = []
+    for i in range(n):
+        user, host = "".join(rng.choices("abcdefgh", k=5)), "".join(rng.choices("klmnop", k=6))
+        digits = f"{rng.randrange(200, 999)} 555 {rng.randrange(1000, 9999)}"
+        mail = [f"{user} at {host} dot com", f"{user}(at){host}.org", f"{user} (AT) {host}.net", f"{user}＠{host}．com", f"{user}{{at}}{host}.com", f"{user}[at]{host}.com"]
+        made = [None, ("email", rng.choice(mail)), ("phone", f"1 ({digits[:3]}) {digits[4:7]}-{digits[8:]}"), None][i % 4]
+        before, after = (" ".join(rng.choices(words, k=rng.randint(3, 25))) for _ in range(2))
+        text = f"{before} {made[1]} {after}" if made else f"{before} in {rng.randrange(1900, 2020)} {after}"
+        out.append((text, (made[0], len(before) + 1, len(before) + 1 + len(made[1])) if made else None))
+    return out
+
+
+def test_precision_and_recall_of_planted_spans(spark):
+    rng = random.Random(12)
+    words = "they stood at the door and looked for the lights of the town while it rained dot plus".split()
+    train = []
+    for i in range(600):
+        some = " ".join(rng.choices(words, k=12))
+        user, host = "".join(rng.choices("abcdefgh", k=5)), "".join(rng.choices("klmnop", k=6))
+        extra = [f"{user}@{host}.{rng.choice(['com', 'org', 'net'])}", f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}",
+                 f"in {rng.randrange(1900, 2020)} there were {rng.randrange(3, 900)}", ""][i % 4]
+        train.append(f"{some} {extra} {' '.join(rng.choices(words, k=8))}")
+    finder = pii.fit(cases.frame(spark, train))
+    table = planted(rng, 400)
+    rows = {r.doc_id: r for r in pii.find_pii(cases.frame(spark, [t for t, _ in table]), finder).collect()}
+    found = hits = wanted = 0
+    for i, (text, span) in enumerate(table):
+        wanted += span is not None
+        for s in rows[i].added:
+            found += 1
+            # A span counts if it is of the kind and covers most of what was planted, and little else.
+            if span and pii.KINDS[s.kind] == span[0]:
+                both = min(s.end, span[2]) - max(s.start, span[1])
+                hits += both >= 0.6 * (span[2] - span[1]) and both >= 0.8 * (s.end - s.start)
+    assert hits >= 0.8 * wanted and hits >= 0.85 * found, (hits, found, wanted)
+
+
+def test_cut_decoding_is_whole_decoding(spark):
+    """Texts cut at tokens that surely have no label have the labels of the texts decoded as they are."""
+    import numpy as np
+
+    rng = random.Random(13)
+    docs = cases.frame(spark, [f"call +1 (20{i % 10}) 555-01{i % 90 + 10} or ab.{i}@mail.example.com at once" for i in range(200)])
+    finder = pii.fit(docs)
+    parts = ["at", "dot", "ab", "x.y", "(", ")", "555-0133", "(204)", "10", "12", "com", "the", "＠", ",", "+1", "ab(at)mail.example.com"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(300)]
+    whole = [[0] * len(pii.tokens(t)) for t in texts]
+    for i, labels, first, _ in finder.added(texts):
+        whole[i][first : first + len(labels)] = labels
+    some = 0
+    for t, labels in zip(texts, whole):
+        shapes = ["^", *(pii.shape(t[a:b]) for a, b in pii.tokens(t)), "$"]
+        ids = np.array([pii.features(tuple(shapes[i : i + 3]), finder.settings.slots) for i in range(len(labels))])
+        if len(ids):
+            assert finder.crf.decode(ids, np.array([len(ids)])).tolist() == labels
+            some += sum(map(bool, labels))
+    assert some > 100
+
+
 def test_tokens_keep_all_characters():
     rng = random.Random(10)
     parts = ["ab", "(at)", "中文", "ไทย", "дом", "é", "ß", '"', ",", "{", "12", "＠", "．", "„", "“", "€", "·", "\u0301", "ª", "@", "/", "\\", "\ud800", "😀"]
