@@ -166,9 +166,10 @@ class Model:
 
         return run
 
-    def is_strange(self, language: int, n: int, mean: float) -> bool:
-        """Whether n different words with this mean score fit a language worse than its labelled texts do."""
-        return mean < self.usual[language] - self.settings.misfit * self.spread[language] / np.sqrt(n) - self.settings.slack
+    def is_strange(self, plain: np.ndarray, labels: np.ndarray) -> bool:
+        """Whether words with these plain scores fit the languages that they are labelled with worse than labelled texts do."""
+        gap = (plain[np.arange(len(labels)), labels] - self.usual[labels]).mean()
+        return gap < -self.settings.misfit * self.spread[labels].mean() / np.sqrt(len(labels)) - self.settings.slack
 
     def label(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return self._label(slices(batches))
@@ -232,8 +233,10 @@ class Model:
                 weight = np.bincount(mine, own if strangers else own * known[words], len(self.languages))
                 top = int((weight if weight.any() else np.bincount(mine, own)).argmax())
                 best.append(self.languages[top])
-                once = np.unique(words[known[words]])
-                self.odd.append(not strangers and len(once) > 0 and self.is_strange(top, len(once), plain[once, top].mean()))
+                # Each word once for each language that it is labelled with.
+                once = np.unique(words[known[words]].astype(np.int64) * len(self.languages) + mine[known[words]])
+                once, label = np.divmod(once, len(self.languages))
+                self.odd.append(not strangers and len(once) > 0 and self.is_strange(plain[once], label))
                 score.append(float(weight.max() / own.sum()))
                 cuts = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), n]
                 spans.append([{"first": a, "last": b - 1, "lang": self.languages[mine[a]]} for a, b in zip(cuts, cuts[1:])])
@@ -343,8 +346,9 @@ def with_known_language(docs: DataFrame, model: Model, least: float = 0.5, wante
     A row goes if it has no letters, or no language has ``least`` of them. Letters of
     words in a script that no learned language uses count for the language that
     the word is labelled with, or without ``strangers`` for none. Without them a row
-    also goes if its different words fit its language far worse than those of labelled
-    rows, as a text in an unlearned language of a known script does.
+    also goes if its different words fit the languages that they are labelled with far
+    worse than those of labelled rows, as a text in an unlearned language of a known
+    script does; a text of several learned languages stays.
     """
     rows = numbered(docs)
     return restored(rows.mapInArrow(model.keep(least, wanted, strangers), rows.schema), docs)

@@ -447,6 +447,12 @@ def test_unlearned_languages_of_known_scripts_go(spark):
     odd = ["kissa istui ikkunalla ja katseli hiljaista pihaa jossa lumi suli hitaasti kevään auringossa " * 3,
            "köszönöm szépen hogy eljöttél hozzánk ma este vacsorára mert nagyon vártunk már téged " * 3]
     both = docs.select("doc_id", "text").unionAll(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
+    # Texts of several learned languages stay, whatever their shares.
+    mixed = {r.lang: r.text for r in docs.where("lang is not null and n_chars between 1500 and 2500").collect()}
+    assert len(mixed) == 4
+    blends = [" ".join(x) for i in range(4) for x in (list(mixed.values())[i:] + list(mixed.values())[:i],)] + [
+        f"{a} {b[:400]}" for a in mixed.values() for b in mixed.values()]
+    both = both.unionAll(spark.createDataFrame([(10**7 + i, t) for i, t in enumerate(blends)], "doc_id long, text string"))
     strict = {r.doc_id for r in lang.with_known_language(both, model, strangers=False).collect()}
     loose = {r.doc_id for r in lang.with_known_language(both, model).collect()}
     assert loose - strict == {10**6, 10**6 + 1}
