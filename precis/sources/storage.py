@@ -21,7 +21,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not wanted:
-        if not context.master.startswith("local"):
+        # In local-cluster mode executors are processes of their own.
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         wanted = tempfile.mkdtemp(prefix="precis-")
     context.setCheckpointDir(wanted)
