@@ -187,7 +187,7 @@ class Model:
                 for part[:] in ([x] for x in slices(batches)):
                     yield part[0]
 
-            for out in self._label(seen(), strangers):
+            for out in self._label(seen(), strangers, judge=not strangers):
                 found = zip(column(out, "lang_pred").to_pylist(), column(out, "score").to_pylist())
                 good = [x != UNKNOWN and s >= least and (wanted is None or x in wanted) and (strangers or not odd)
                         for (x, s), odd in zip(found, self.odd)]
@@ -195,7 +195,7 @@ class Model:
 
         return run
 
-    def _label(self, parts: Iterator[pa.RecordBatch], strangers: bool = False) -> Iterator[pa.RecordBatch]:
+    def _label(self, parts: Iterator[pa.RecordBatch], strangers: bool = False, judge: bool = False) -> Iterator[pa.RecordBatch]:
         cache: dict[str, int] = {}
         scores, known = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, bool)
         plain = scores
@@ -233,10 +233,13 @@ class Model:
                 weight = np.bincount(mine, own if strangers else own * known[words], len(self.languages))
                 top = int((weight if weight.any() else np.bincount(mine, own)).argmax())
                 best.append(self.languages[top])
-                # Each word once for each language that it is labelled with.
-                once = np.unique(words[known[words]].astype(np.int64) * len(self.languages) + mine[known[words]])
-                once, label = np.divmod(once, len(self.languages))
-                self.odd.append(not strangers and len(once) > 0 and self.is_strange(plain[once], label))
+                if judge and known[words].any():
+                    # Each word once for each language that it is labelled with.
+                    once = np.unique(words[known[words]].astype(np.int64) * len(self.languages) + mine[known[words]])
+                    once, label = np.divmod(once, len(self.languages))
+                    self.odd.append(self.is_strange(plain[once], label))
+                else:
+                    self.odd.append(False)
                 score.append(float(weight.max() / own.sum()))
                 cuts = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), n]
                 spans.append([{"first": a, "last": b - 1, "lang": self.languages[mine[a]]} for a, b in zip(cuts, cuts[1:])])
