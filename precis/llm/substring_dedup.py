@@ -1,33 +1,45 @@
 """Remove long passages that stand anywhere else, by compacting a De Bruijn graph of words.
 
-An edge of the graph is a window of ``n`` consecutive words; its ends are the runs of
-n - 1 words it begins and ends with. A window belongs to its *minimizer*, the least
-hash of the runs of ``core`` words in it, so equal windows have equal minimizers, and
-consecutive windows of a text mostly share theirs. A maximal run of such windows is a
-path, and paths rather than windows travel:
-
-* a minimizer that one path has, once, has no window that stands twice;
-* a path that stands twice as a whole is nonbranching: all of its windows repeat,
-  and it remains one row (about one for twelve words);
-* where paths of one minimizer differ, the graph branches; only there windows are
-  taken from the paths' source coordinates and counted one by one.
-
-Equality is decided on two independent 64-bit hashes (minimizer, and path or window).
+An edge of the graph is a window of ``n`` consecutive words; its ends are nodes, the runs
+of n - 1 words it begins and ends with.
+
+* *Seeds.* A window belongs to its minimizer, the least hash of the runs of ``core``
+  words in it, so equal windows have equal minimizers. A maximal run of windows of one
+  text with one minimizer travels as one row, for about twelve words. A minimizer that
+  one such run has, once, has no window that stands twice. Runs that stand twice as
+  a whole are edges as they are; where runs of one minimizer differ, their windows are
+  counted one by one at their source coordinates. What repeats is the graph.
+* *Compaction.* In- and out-degrees of the nodes are grouped counts. A node with one edge
+  in and one out joins the two, and rounds of pointer doubling, each a join, give every
+  edge its path and its place there. Edges on a ring without a branch stay paths alone.
+* *Verification.* Neighbouring edges of a text that follow each other on a path are one long
+  span. The words at its source coordinates are laid beside those of all other spans of the
+  path, place by place, in blocks. Where hashes were equal but words are not, all windows of
+  the minimizers on that path are counted by their words.
+
+So hashes only propose; equal windows always have equal hashes, and words decide.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.common import KEY, Rolling, as_bytes, column, hashes, keyed, mixed, slices, stored
+from precis.llm.common import KEY, Rolling, as_bytes, column, hashes, keyed, mixed, signed, slices, stored
 
-PATHS = "k1 long, k2 long, start int, n int, core long, path long, loop boolean"
-WINDOWS = "k1 long, k2 long, at int, core long, window long, times int"
+Hashes = Callable[[list[bytes]], np.ndarray]
+
+PATHS = "k1 long, k2 long, start int, n int, core long, path long, left long, right long, loop boolean"
+WINDOWS = "k1 long, k2 long, at int, core long, window long, left long, right long, times int"
+BLOCKS = "top long, block long, lo int, words binary"
+EXACT = "k1 long, k2 long, at int, words binary"
+#: Places of a path that are compared together.
+BLOCK = 64
 RESULT = "doc_id long, text string, n_words long, n_removed long"
 
 
@@ -62,17 +74,17 @@ def _loops(cores: np.ndarray, minimizer: np.ndarray, start: np.ndarray, end: np.
     return loop
 
 
-def paths_of(n: int, core: int):
+def paths_of(n: int, core: int, hashed: Hashes = hashes):
     """mapInArrow function: (k1, k2, text) to the paths of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, starts, sizes, keys, digests, loops = [], [], [], [], [], []
+            rows, starts, sizes, keys, digests, lefts, rights, loops = [], [], [], [], [], [], [], []
             for i, text in enumerate(as_bytes(batch)):
                 words = (text or b"").split()
                 if len(words) < n:
                     continue
-                rolling = Rolling(hashes(words))
+                rolling = Rolling(hashed(words))
                 cores = _cores(rolling, len(words), core)
                 minimizer = least(cores, n - core + 1)
                 cuts = np.flatnonzero(minimizer[1:] != minimizer[:-1]) + 1
@@ -84,40 +96,113 @@ def paths_of(n: int, core: int):
                 sizes.append(end - start)
                 keys.append(key)
                 digests.append(rolling.of(start, end + n - 1))
+                lefts.append(rolling.of(start, start + n - 1))
+                rights.append(rolling.of(end, end + n - 1))
                 loops.append(loop)
             if rows:
                 at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays([
                     column(batch, "k1").take(at), column(batch, "k2").take(at),
                     pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(sizes), pa.int32()),
-                    pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(digests).view(np.int64)),
-                    pa.array(np.concatenate(loops)),
-                ], names=["k1", "k2", "start", "n", "core", "path", "loop"])
+                    *(signed(np.concatenate(x)) for x in (keys, digests, lefts, rights)), pa.array(np.concatenate(loops)),
+                ], names=["k1", "k2", "start", "n", "core", "path", "left", "right", "loop"])
 
     return run
 
 
-def windows_of(n: int):
+def windows_of(n: int, hashed: Hashes = hashes):
     """mapInArrow function: texts with the paths to look into, to every window of those paths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, places, keys, windows, times = [], [], [], [], []
+            rows, places, keys, windows, lefts, rights, times = [], [], [], [], [], [], []
             for i, (text, asked) in enumerate(zip(as_bytes(batch), column(batch, "asked").to_pylist())):
-                rolling = Rolling(hashes(text.split()))
+                rolling = Rolling(hashed(text.split()))
                 for path in asked:
                     at = np.arange(path["start"], path["start"] + path["n"])
                     rows.append(np.full(len(at), i))
                     places.append(at)
                     keys.append(np.full(len(at), path["core"], np.int64))
                     windows.append(rolling.of(at, at + n))
+                    lefts.append(rolling.of(at, at + n - 1))
+                    rights.append(rolling.of(at + 1, at + n))
                     times.append(np.full(len(at), min(path["times"], 2)))
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays([
                 column(batch, "k1").take(at), column(batch, "k2").take(at), pa.array(np.concatenate(places), pa.int32()),
-                pa.array(np.concatenate(keys)), pa.array(np.concatenate(windows).view(np.int64)),
+                pa.array(np.concatenate(keys)), *(signed(np.concatenate(x)) for x in (windows, lefts, rights)),
                 pa.array(np.concatenate(times), pa.int32()),
-            ], names=["k1", "k2", "at", "core", "window", "times"])
+            ], names=["k1", "k2", "at", "core", "window", "left", "right", "times"])
+
+    return run
+
+
+def blocks_of(n: int):
+    """mapInArrow function: texts with their edges, to the words of their spans by path and block of places.
+
+    A span is a run of edges that follow each other in the text and on their path. What one
+    text has twice at the same places of a path is written once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found: dict[tuple[int, int, int, bytes], None] = {}
+            for text, edges in zip(as_bytes(batch), column(batch, "spans")):
+                words = text.split()
+                start, size, ahead, top = (edges.values.field(f).to_numpy() for f in ("start", "n", "ahead", "top"))
+                # Repeated rows have one key, so that their edges come more than once.
+                start, size, ahead, top = np.unique(np.stack([start, size, ahead, top]), axis=1)
+                step = np.diff(start)
+                cut = (top[1:] != top[:-1]) | (np.diff(ahead) != step) | (step != size[:-1])
+                cuts = [0, *(np.flatnonzero(cut) + 1).tolist(), len(start)]
+                for a, b in pairwise(cuts):
+                    at, place, path = int(start[a]), int(ahead[a]), int(top[a])
+                    end = place + int(start[b - 1] + size[b - 1]) - at + n - 1
+                    shift = at - place
+                    while place < end:
+                        block = place // BLOCK
+                        stop = min(end, (block + 1) * BLOCK)
+                        found[path, block, place - block * BLOCK, b" ".join(words[place + shift : stop + shift])] = None
+                        place = stop
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    names=["top", "block", "lo", "words"])
+
+    return run
+
+
+def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: blocks in order of path and block, to the paths that have two words at one place."""
+    block, known = None, {}
+    for batch in batches:
+        bad = []
+        for path, number, lo, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if (path, number) != block:
+                block, known = (path, number), {}
+            for place, word in enumerate(words.split(b" "), lo):
+                if known.setdefault(place, word) != word:
+                    bad.append(path)
+                    break
+        if bad:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(set(bad)), pa.int64())], names=["top"])
+
+
+def exact_of(n: int):
+    """mapInArrow function: texts with the paths to look into, to the words of every window of those paths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for i, (text, asked) in enumerate(zip(as_bytes(batch), column(batch, "asked").to_pylist())):
+                words = text.split()
+                places = [p for path in asked for p in range(path["start"], path["start"] + path["n"])]
+                for a in range(0, len(places), 8192):
+                    some = places[a : a + 8192]
+                    at = pa.array(np.full(len(some), i))
+                    yield pa.RecordBatch.from_arrays([
+                        column(batch, "k1").take(at), column(batch, "k2").take(at), pa.array(some, pa.int32()),
+                        pa.array([b" ".join(words[p : p + n]) for p in some], pa.binary()),
+                    ], names=["k1", "k2", "at", "words"])
 
     return run
 
@@ -148,35 +233,105 @@ def remover_of(n: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, n: int = 35) -> DataFrame:
-    """k1, k2, spans: runs of windows (start, n windows) of a document that stand anywhere else as well."""
-    core = max(1, n // 3)
-    rows = keyed(docs).select("doc_id", *KEY, "text")
-    paths = rows.select(*KEY, "text").mapInArrow(paths_of(n, core), PATHS)
+def compacted(edges: DataFrame) -> DataFrame:
+    """(edge, n, left, right and further columns) with ``top``, the first edge of its path, and ``ahead``, windows before it.
+
+    Nodes with one edge in and one out join these two; round i of pointer doubling carries
+    every edge over 2^i others. No two edges point at one edge before they are done, so no
+    key of these joins is hot. Rounds end when none is left or only rings are, whose edges
+    stay alone.
+    """
+    none = F.lit(None).cast("long")
+    ends = edges.select(F.col("left").alias("node"), F.col("edge").alias("after"), none.alias("before"), none.alias("n"))
+    ends = ends.unionAll(edges.select("right", none, "edge", F.col("n").cast("long")))
+    links = ends.groupBy("node").agg(
+        F.count("after").alias("outs"), F.count("before").alias("ins"),
+        F.max("after").alias("edge"), F.max("before").alias("before"), F.max("n").alias("ahead"),
+    ).where("outs = 1 and ins = 1 and edge <> before").select("edge", "before", "ahead")
+    state = stored(edges.select("edge").join(links, "edge", "left").select(
+        "edge", F.coalesce("before", "edge").alias("top"), F.coalesce("ahead", F.lit(0)).alias("ahead"),
+        F.col("before").isNull().alias("done")))
+    left = state.where("not done").count()
+    while left:
+        next_ = state.select(F.col("edge").alias("top"), F.col("top").alias("further"), F.col("ahead").alias("more"), F.col("done").alias("end"))
+        moved = state.where("not done").join(next_, "top").select(
+            "edge", F.col("further").alias("top"), (F.col("ahead") + F.col("more")).alias("ahead"), F.col("end").alias("done"))
+        state = stored(state.where("done").unionAll(moved))
+        left, before = state.where("not done").count(), left
+        if left == before:
+            break
+    state = state.select(
+        "edge", F.when(F.col("done"), F.col("top")).otherwise(F.col("edge")).alias("top"),
+        F.when(F.col("done"), F.col("ahead")).otherwise(0).alias("ahead"))
+    return edges.join(state, "edge")
+
+
+def _repeated(rows: DataFrame, paths: DataFrame, n: int, hashed: Hashes) -> DataFrame:
+    """k1, k2, start, n, core, edge, left, right: the places of all edges that repeat, by hash."""
     # Counts and extremes combine before the shuffle, so hot passages are a row for each task.
     cores = stored(paths.groupBy("core").agg(
         F.count(F.lit(1)).alias("times"), F.min("path").alias("low"), F.max("path").alias("high"), F.max("loop").alias("loops"),
     ).where("times > 1 or loops"))
     branches = (F.col("low") != F.col("high")) | F.col("loops")
-    found = stored(paths.join(cores, "core").select(*KEY, "start", "n", "core", "path", branches.alias("branches")))
-    whole = found.where("not branches").select(*KEY, "start", "n")
+    found = stored(paths.join(cores, "core").select(
+        *KEY, "start", "n", "core", "path", "left", "right", branches.alias("branches")))
+    columns = (*KEY, "start", "n", "core", "path", "left", "right")
+    whole = found.where("not branches").select(*columns)
     branching = found.where("branches")
     # Each kind of path once, with the coordinates of one of its places.
     kinds = stored(branching.groupBy("core", "path").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEY, "start", "n")).alias("source")))
-    copies = branching.join(kinds.where("times > 1").select("core", "path"), ["core", "path"]).select(*KEY, "start", "n")
+    copies = branching.join(kinds.where("times > 1").select("core", "path"), ["core", "path"]).select(*columns)
     asked = kinds.select("source.*", "core", "times").groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "n", "core", F.least("times", F.lit(2).cast("long")).alias("times"))).alias("asked"))
-    windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n), WINDOWS))
-    repeated = stored(
-        windows.groupBy("core", "window").agg(F.sum("times").alias("n")).where("n > 1").select("core", "window"))
-    single = windows.where("times = 1").join(repeated, ["core", "window"]).select(
-        *KEY, F.col("at").alias("start"), F.lit(1).alias("n"))
-    spans = whole.unionAll(copies).unionAll(single)
-    return spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-
-
-def substring_dedup(docs: DataFrame, n: int = 35) -> DataFrame:
+    windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n, hashed), WINDOWS))
+    repeated = stored(windows.groupBy("core", "window").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where(
+        "n > 1 and least = 1").select("core", "window"))
+    # The source of a copied path gives its windows too, so that words of such a window meet those of its like elsewhere.
+    single = windows.join(repeated, ["core", "window"]).select(
+        *KEY, F.col("at").alias("start"), F.lit(1).alias("n"), "core", F.col("window").alias("path"), "left", "right")
+    # Edges whose numbers are equal by chance are told apart by their words, as all others are.
+    edge = F.xxhash64("core", "path", "n").alias("edge")
+    return stored(whole.unionAll(copies).unionAll(single).select(*KEY, "start", "n", "core", edge, "left", "right"))
+
+
+def _by_words(rows: DataFrame, paths: DataFrame, cores: DataFrame, n: int) -> DataFrame:
+    """k1, k2, start, n: windows of the given minimizers that repeat, counted by their words."""
+    asked = paths.join(cores, "core").select(*KEY, "start", "n").distinct().groupBy(*KEY).agg(
+        F.collect_list(F.struct("start", "n")).alias("asked"))
+    windows = stored(rows.join(asked, list(KEY)).mapInArrow(exact_of(n), EXACT))
+    again = stored(windows.groupBy("words").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("words"))
+    return windows.join(again, "words").select(*KEY, F.col("at").alias("start"), F.lit(1).alias("n"))
+
+
+def with_spans(docs: DataFrame, n: int = 35, hashed: Hashes = hashes) -> DataFrame:
+    """doc_id, k1, k2, text, spans: each row with the runs of windows (start, n windows) that stand anywhere else."""
+    core = max(1, n // 3)
+    rows = keyed(docs).select("doc_id", *KEY, "text")
+    paths = rows.select(*KEY, "text").mapInArrow(paths_of(n, core, hashed), PATHS)
+    places = _repeated(rows, paths, n, hashed)
+    edges = stored(places.groupBy("edge").agg(
+        F.min("n").alias("n"), F.min("left").alias("left"), F.min("right").alias("right")))
+    # Copies of a text join by edge here; as both tables are stored, hot edges can be split.
+    named = stored(compacted(edges).select("edge", "top", "ahead"))
+    spans = places.select(*KEY, "start", "n", "edge").join(named, "edge").groupBy(*KEY).agg(
+        F.collect_list(F.struct("start", "n", "top", "ahead")).alias("spans"))
+    marked = stored(rows.join(spans, list(KEY), "left"))
+    blocks = marked.where("spans is not null").select("text", "spans").mapInArrow(blocks_of(n), BLOCKS).distinct()
+    ordered = blocks.repartition("top", "block").sortWithinPartitions("top", "block")
+    false = stored(ordered.mapInArrow(unlike, "top long").distinct())
+    if false.isEmpty():
+        return marked
+    # All places of an edge have its path, so these minimizers hold all that was wrongly held equal.
+    wrong = places.join(named.join(false, "top").select("edge"), "edge", "left_semi").select("core").distinct()
+    wrong = stored(wrong)
+    right = places.join(wrong, "core", "left_anti").select(*KEY, "start", "n")
+    mended = right.unionAll(_by_words(rows, paths, wrong, n)).groupBy(*KEY).agg(
+        F.collect_list(F.struct("start", "n")).alias("spans"))
+    return rows.join(mended, list(KEY), "left")
+
+
+def substring_dedup(docs: DataFrame, n: int = 35, hashed: Hashes = hashes) -> DataFrame:
     """Every document without the words that a repeated window of ``n`` words covers.
 
     Words are runs without ASCII blanks, unchanged. A window is repeated if its words
@@ -184,9 +339,9 @@ def substring_dedup(docs: DataFrame, n: int = 35) -> DataFrame:
     on the input. Each row is a document, also one that repeats another row, so of
     repeated rows nothing long stays. Nulls, empty and short texts lose nothing (null
     becomes the empty text). Ties need no rule, as all places of a window go. An
-    empty table gives none.
+    empty table gives none. ``hashed`` gives a 64-bit number for each word; it
+    decides how fast the result is had, not what it is.
 
     Returns doc_id, text (words that stay, joined by a space), n_words, n_removed.
     """
-    rows = keyed(docs).select("doc_id", *KEY, "text")
-    return rows.join(repeated_spans(docs, n), list(KEY), "left").mapInArrow(remover_of(n), RESULT)
+    return with_spans(docs, n, hashed).select("doc_id", "text", "spans").mapInArrow(remover_of(n), RESULT)

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from precis.llm import near_dedup as near
 from precis.llm.components import components
 from precis.llm.line_dedup import line_dedup, without_common_lines
+from precis.llm import substring_dedup as substring
 from precis.llm.substring_dedup import substring_dedup
 from tests.llm import cases
 
@@ -42,6 +43,67 @@ def test_substrings_in_periodic_and_branching_texts(spark):
     assert substring_dedup(cases.frame(spark, texts).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("kinds", [1, 2, 3])
+def test_substrings_with_equal_hashes_are_told_apart(spark, kinds):
+    rng = random.Random(kinds)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.randint(3, 40))) for _ in range(8)]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(1, 5))) for _ in range(25)]
+    texts += ["a b c d e f g h i j", "b a d c f e h g j i", None, ""]
+
+    def coarse(words):
+        return np.array([w[0] % kinds for w in words], np.uint64)
+
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup(cases.frame(spark, texts), 9, coarse).collect()}
+    assert [got[i] for i in range(len(texts))] == cases.substring_dedup(texts, 9)
+
+
+def test_a_window_like_one_inside_a_copied_path_is_read(spark):
+    # All words count as one but for the first and last, so that only words can tell the last text from the others.
+    same = " ".join("abcdefghij")
+    texts = [f"x {same} y", f"x {same} y", f"z {same[::-1]} q"]
+
+    def coarse(words):
+        return np.array([ord("m") if 97 <= w[0] <= 106 else w[0] for w in words], np.uint64)
+
+    got = {r.doc_id: r.n_removed for r in substring_dedup(cases.frame(spark, texts), 6, coarse).collect()}
+    assert got == {0: 12, 1: 12, 2: 0}
+
+
+def test_paths_of_a_graph_against_a_walk(spark):
+    rng = random.Random(3)
+    # Nodes with several edges, chains of all lengths up to 300, and two rings.
+    ends = [(10_000 + i, 10_001 + i) for i in range(300)] + [(i, i + 1) for c in range(0, 600, 20) for i in range(c, c + c // 40)]
+    ends += [(rng.randrange(700, 740), rng.randrange(700, 740)) for _ in range(40)]
+    ends += [(900 + i, 900 + (i + 1) % 7) for i in range(7)] + [(950, 950)]
+    edges = [(i, 1 + i % 5, a, b) for i, (a, b) in enumerate(ends)]
+    got = {r.edge: (r.top, r.ahead) for r in substring.compacted(spark.createDataFrame(edges, "edge long, n int, left long, right long")).collect()}
+
+    outs, ins = {}, {}
+    for i, _, a, b in edges:
+        outs.setdefault(a, []).append(i)
+        ins.setdefault(b, []).append(i)
+    before = {outs[v][0]: ins[v][0] for v in outs if len(outs[v]) == 1 == len(ins.get(v, [])) and outs[v] != ins[v]}
+    for i, *_ in edges:
+        top, ahead, seen = i, 0, {i}
+        while top in before:
+            top = before[top]
+            ahead += edges[top][1]
+            if top in seen:
+                top, ahead = i, 0
+                break
+            seen.add(top)
+        assert got[i] == (top, ahead)
+
+
+def test_long_spans_are_read_once(spark):
+    # A copied text of 2,000 words is one path: its words are laid out once and not once for each window.
+    rng = random.Random(4)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(2000))
+    rows = [r for r in substring.with_spans(cases.frame(spark, [text, text + " more", "other words"])).collect() if r.spans]
+    assert len({s.top for r in rows for s in r.spans}) == 1
+    assert {sum(s.n for s in r.spans) for r in rows} == {1966}
+
+
 def near_rows(spark, texts, ids=None, **options):
     return near.near_dedup(cases.frame(spark, texts, ids), near.Settings(**options)).collect()
 
