@@ -136,7 +136,7 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows written as a table to the shared checkpoint folder and read from there.
 
     Besides the lineage, this makes a join with sums plain: both sides are then shuffled
@@ -144,5 +144,5 @@ def stored(df: DataFrame) -> DataFrame:
     Spark knows the size of the table, and so whether to send it whole.
     """
     path = scratch_path(df.sparkSession, "llm")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

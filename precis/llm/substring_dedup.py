@@ -9,7 +9,8 @@ of n - 1 words it begins and ends with.
   one such run has, once, has no window that stands twice. Runs that stand twice as
   a whole are edges as they are; where runs of one minimizer differ, their windows are
   counted one by one at their source coordinates. What repeats is the graph.
-* *Compaction.* In- and out-degrees of the nodes are grouped counts. A node with one edge
+* *Compaction.* Where a text passes from one edge that repeats to the next it passes a node.
+  Degrees are grouped counts of the different edges on either side. A node with one edge
   in and one out joins the two, and rounds of pointer doubling, each a join, give every
   edge its path and its place there. Edges on a ring without a branch stay paths alone.
 * *Verification.* Neighbouring edges of a text that follow each other on a path are one long
@@ -34,8 +35,8 @@ from precis.llm.common import KEY, Rolling, as_bytes, column, hashes, keyed, mix
 
 Hashes = Callable[[list[bytes]], np.ndarray]
 
-PATHS = "k1 long, k2 long, start int, n int, core long, path long, left long, right long, loop boolean"
-WINDOWS = "k1 long, k2 long, at int, core long, window long, left long, right long, times int"
+PATHS = "k1 long, k2 long, start int, n int, core long, path long, loop boolean"
+WINDOWS = "k1 long, k2 long, at int, core long, window long, times int"
 BLOCKS = "top long, block long, lo int, words binary"
 EXACT = "k1 long, k2 long, at int, words binary"
 #: Places of a path that are compared together.
@@ -79,7 +80,7 @@ def paths_of(n: int, core: int, hashed: Hashes = hashes):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, starts, sizes, keys, digests, lefts, rights, loops = [], [], [], [], [], [], [], []
+            rows, starts, sizes, keys, digests, loops = [], [], [], [], [], []
             for i, text in enumerate(as_bytes(batch)):
                 words = (text or b"").split()
                 if len(words) < n:
@@ -96,16 +97,14 @@ def paths_of(n: int, core: int, hashed: Hashes = hashes):
                 sizes.append(end - start)
                 keys.append(key)
                 digests.append(rolling.of(start, end + n - 1))
-                lefts.append(rolling.of(start, start + n - 1))
-                rights.append(rolling.of(end, end + n - 1))
                 loops.append(loop)
             if rows:
                 at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays([
                     column(batch, "k1").take(at), column(batch, "k2").take(at),
                     pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(sizes), pa.int32()),
-                    *(signed(np.concatenate(x)) for x in (keys, digests, lefts, rights)), pa.array(np.concatenate(loops)),
-                ], names=["k1", "k2", "start", "n", "core", "path", "left", "right", "loop"])
+                    *(signed(np.concatenate(x)) for x in (keys, digests)), pa.array(np.concatenate(loops)),
+                ], names=["k1", "k2", "start", "n", "core", "path", "loop"])
 
     return run
 
@@ -115,7 +114,7 @@ def windows_of(n: int, hashed: Hashes = hashes):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, places, keys, windows, lefts, rights, times = [], [], [], [], [], [], []
+            rows, places, keys, windows, times = [], [], [], [], []
             for i, (text, asked) in enumerate(zip(as_bytes(batch), column(batch, "asked").to_pylist())):
                 rolling = Rolling(hashed(text.split()))
                 for path in asked:
@@ -124,15 +123,13 @@ def windows_of(n: int, hashed: Hashes = hashes):
                     places.append(at)
                     keys.append(np.full(len(at), path["core"], np.int64))
                     windows.append(rolling.of(at, at + n))
-                    lefts.append(rolling.of(at, at + n - 1))
-                    rights.append(rolling.of(at + 1, at + n))
                     times.append(np.full(len(at), min(path["times"], 2)))
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays([
                 column(batch, "k1").take(at), column(batch, "k2").take(at), pa.array(np.concatenate(places), pa.int32()),
-                pa.array(np.concatenate(keys)), *(signed(np.concatenate(x)) for x in (windows, lefts, rights)),
+                pa.array(np.concatenate(keys)), signed(np.concatenate(windows)),
                 pa.array(np.concatenate(times), pa.int32()),
-            ], names=["k1", "k2", "at", "core", "window", "left", "right", "times"])
+            ], names=["k1", "k2", "at", "core", "window", "times"])
 
     return run
 
@@ -150,8 +147,8 @@ def blocks_of(n: int):
             for text, edges in zip(as_bytes(batch), column(batch, "spans")):
                 words = text.split()
                 start, size, ahead, top = (edges.values.field(f).to_numpy() for f in ("start", "n", "ahead", "top"))
-                # Repeated rows have one key, so that their edges come more than once.
-                start, size, ahead, top = np.unique(np.stack([start, size, ahead, top]), axis=1)
+                order = np.lexsort((top, ahead, size, start))
+                start, size, ahead, top = start[order], size[order], ahead[order], top[order]
                 step = np.diff(start)
                 cut = (top[1:] != top[:-1]) | (np.diff(ahead) != step) | (step != size[:-1])
                 cuts = [0, *(np.flatnonzero(cut) + 1).tolist(), len(start)]
@@ -233,49 +230,51 @@ def remover_of(n: int):
     return run
 
 
-def compacted(edges: DataFrame) -> DataFrame:
-    """(edge, n, left, right and further columns) with ``top``, the first edge of its path, and ``ahead``, windows before it.
+def passages(by_row: DataFrame) -> DataFrame:
+    """before, after, ahead: each two edges that meet at a node of some text, once, and the windows of the first."""
+    edges = F.sort_array("edges")
+    pairs = F.zip_with(
+        F.slice(edges, 1, F.size("edges") - 1), F.slice(edges, 2, F.size("edges") - 1),
+        lambda a, b: F.when(a["start"] + a["n"] == b["start"], F.struct(
+            a["edge"].alias("before"), b["edge"].alias("after"), a["n"].cast("long").alias("ahead"))))
+    return by_row.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p")).select("p.*").distinct()
 
-    Nodes with one edge in and one out join these two; round i of pointer doubling carries
-    every edge over 2^i others. No two edges point at one edge before they are done, so no
-    key of these joins is hot. Rounds end when none is left or only rings are, whose edges
-    stay alone.
+
+def compacted(pairs: DataFrame) -> DataFrame:
+    """edge, top, ahead: for the edges of ``pairs`` that follow another on a path, its first edge and the windows between.
+
+    A node with one edge in and one out joins these two; round i of pointer doubling carries
+    every edge over 2^i others. No two edges point at one edge before they are done, but
+    for the first of a path, so no key of these joins is hot. Rounds end when none is left
+    or only rings are, whose edges stay alone, like those of no path.
     """
-    none = F.lit(None).cast("long")
-    ends = edges.select(F.col("left").alias("node"), F.col("edge").alias("after"), none.alias("before"), none.alias("n"))
-    ends = ends.unionAll(edges.select("right", none, "edge", F.col("n").cast("long")))
-    links = ends.groupBy("node").agg(
-        F.count("after").alias("outs"), F.count("before").alias("ins"),
-        F.max("after").alias("edge"), F.max("before").alias("before"), F.max("n").alias("ahead"),
-    ).where("outs = 1 and ins = 1 and edge <> before").select("edge", "before", "ahead")
-    state = stored(edges.select("edge").join(links, "edge", "left").select(
-        "edge", F.coalesce("before", "edge").alias("top"), F.coalesce("ahead", F.lit(0)).alias("ahead"),
-        F.col("before").isNull().alias("done")))
-    left = state.where("not done").count()
+    pairs = stored(pairs)
+    one_out = pairs.groupBy("before").agg(F.count(F.lit(1)).alias("outs"), F.max("after").alias("after"), F.max("ahead").alias("ahead"))
+    one_in = pairs.groupBy("after").agg(F.count(F.lit(1)).alias("ins")).where("ins = 1").select("after")
+    state = stored(one_out.where("outs = 1 and before <> after").join(one_in, "after").select(
+        F.col("after").alias("edge"), F.col("before").alias("top"), "ahead", F.lit(False).alias("done")))
+    left = state.count()
     while left:
-        next_ = state.select(F.col("edge").alias("top"), F.col("top").alias("further"), F.col("ahead").alias("more"), F.col("done").alias("end"))
-        moved = state.where("not done").join(next_, "top").select(
-            "edge", F.col("further").alias("top"), (F.col("ahead") + F.col("more")).alias("ahead"), F.col("end").alias("done"))
+        on = state.select(F.col("edge").alias("top"), F.col("top").alias("further"), F.col("ahead").alias("more"), F.col("done").alias("end"))
+        moved = state.where("not done").join(on, "top", "left").select(
+            "edge", F.coalesce("further", "top").alias("top"), (F.col("ahead") + F.coalesce("more", F.lit(0))).alias("ahead"),
+            F.coalesce("end", F.lit(True)).alias("done"))
         state = stored(state.where("done").unionAll(moved))
-        left, before = state.where("not done").count(), left
+        before, left = left, state.where("not done").count()
         if left == before:
             break
-    state = state.select(
-        "edge", F.when(F.col("done"), F.col("top")).otherwise(F.col("edge")).alias("top"),
-        F.when(F.col("done"), F.col("ahead")).otherwise(0).alias("ahead"))
-    return edges.join(state, "edge")
+    return state.where("done").select("edge", "top", "ahead")
 
 
 def _repeated(rows: DataFrame, paths: DataFrame, n: int, hashed: Hashes) -> DataFrame:
-    """k1, k2, start, n, core, edge, left, right: the places of all edges that repeat, by hash."""
+    """k1, k2, start, n, core, edge: the places of all edges that repeat, by hash."""
     # Counts and extremes combine before the shuffle, so hot passages are a row for each task.
     cores = stored(paths.groupBy("core").agg(
         F.count(F.lit(1)).alias("times"), F.min("path").alias("low"), F.max("path").alias("high"), F.max("loop").alias("loops"),
     ).where("times > 1 or loops"))
     branches = (F.col("low") != F.col("high")) | F.col("loops")
-    found = stored(paths.join(cores, "core").select(
-        *KEY, "start", "n", "core", "path", "left", "right", branches.alias("branches")))
-    columns = (*KEY, "start", "n", "core", "path", "left", "right")
+    found = stored(paths.join(cores, "core").select(*KEY, "start", "n", "core", "path", branches.alias("branches")))
+    columns = (*KEY, "start", "n", "core", F.col("path").alias("edge"))
     whole = found.where("not branches").select(*columns)
     branching = found.where("branches")
     # Each kind of path once, with the coordinates of one of its places.
@@ -285,14 +284,12 @@ def _repeated(rows: DataFrame, paths: DataFrame, n: int, hashed: Hashes) -> Data
     asked = kinds.select("source.*", "core", "times").groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "n", "core", F.least("times", F.lit(2).cast("long")).alias("times"))).alias("asked"))
     windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n, hashed), WINDOWS))
-    repeated = stored(windows.groupBy("core", "window").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where(
-        "n > 1 and least = 1").select("core", "window"))
+    repeated = stored(windows.groupBy("window").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where(
+        "n > 1 and least = 1").select("window"))
     # The source of a copied path gives its windows too, so that words of such a window meet those of its like elsewhere.
-    single = windows.join(repeated, ["core", "window"]).select(
-        *KEY, F.col("at").alias("start"), F.lit(1).alias("n"), "core", F.col("window").alias("path"), "left", "right")
-    # Edges whose numbers are equal by chance are told apart by their words, as all others are.
-    edge = F.xxhash64("core", "path", "n").alias("edge")
-    return stored(whole.unionAll(copies).unionAll(single).select(*KEY, "start", "n", "core", edge, "left", "right"))
+    single = windows.join(repeated, "window").select(
+        *KEY, F.col("at").alias("start"), F.lit(1).alias("n"), "core", F.col("window").alias("edge"))
+    return stored(whole.unionAll(copies).unionAll(single))
 
 
 def _by_words(rows: DataFrame, paths: DataFrame, cores: DataFrame, n: int) -> DataFrame:
@@ -310,20 +307,21 @@ def with_spans(docs: DataFrame, n: int = 35, hashed: Hashes = hashes) -> DataFra
     rows = keyed(docs).select("doc_id", *KEY, "text")
     paths = rows.select(*KEY, "text").mapInArrow(paths_of(n, core, hashed), PATHS)
     places = _repeated(rows, paths, n, hashed)
-    edges = stored(places.groupBy("edge").agg(
-        F.min("n").alias("n"), F.min("left").alias("left"), F.min("right").alias("right")))
+    # Repeated rows have one key and the same edges, which a set holds once before and after the shuffle.
+    by_row = places.groupBy(*KEY).agg(F.collect_set(F.struct("start", "n", "edge")).alias("edges"))
+    named = stored(compacted(passages(by_row)))
     # Copies of a text join by edge here; as both tables are stored, hot edges can be split.
-    named = stored(compacted(edges).select("edge", "top", "ahead"))
-    spans = places.select(*KEY, "start", "n", "edge").join(named, "edge").groupBy(*KEY).agg(
-        F.collect_list(F.struct("start", "n", "top", "ahead")).alias("spans"))
-    marked = stored(rows.join(spans, list(KEY), "left"))
+    spans = places.select(*KEY, "start", "n", "edge").join(named, "edge", "left").groupBy(*KEY).agg(F.collect_set(F.struct(
+        "start", "n", F.coalesce("top", "edge").alias("top"), F.coalesce("ahead", F.lit(0)).alias("ahead"))).alias("spans"))
+    marked = stored(rows.join(spans, list(KEY), "left"), "zstd")
     blocks = marked.where("spans is not null").select("text", "spans").mapInArrow(blocks_of(n), BLOCKS).distinct()
     ordered = blocks.repartition("top", "block").sortWithinPartitions("top", "block")
     false = stored(ordered.mapInArrow(unlike, "top long").distinct())
     if false.isEmpty():
         return marked
     # All places of an edge have its path, so these minimizers hold all that was wrongly held equal.
-    wrong = places.join(named.join(false, "top").select("edge"), "edge", "left_semi").select("core").distinct()
+    path = places.join(named, "edge", "left").select("core", F.coalesce("top", "edge").alias("top"))
+    wrong = path.join(false, "top", "left_semi").select("core").distinct()
     wrong = stored(wrong)
     right = places.join(wrong, "core", "left_anti").select(*KEY, "start", "n")
     mended = right.unionAll(_by_words(rows, paths, wrong, n)).groupBy(*KEY).agg(
