@@ -244,26 +244,29 @@ def compacted(pairs: DataFrame) -> DataFrame:
     """edge, top, ahead: for the edges of ``pairs`` that follow another on a path, its first edge and the windows between.
 
     A node with one edge in and one out joins these two; round i of pointer doubling carries
-    every edge over 2^i others. No two edges point at one edge before they are done, but
-    for the first of a path, so no key of these joins is hot. Rounds end when none is left
-    or only rings are, whose edges stay alone, like those of no path.
+    every edge over 2^i others. A round writes only the edges that had not arrived before
+    it, and those point at different edges, so no key of these joins is hot. Rounds end when none
+    is left or only rings are, whose edges stay alone, like those of no path.
     """
     pairs = stored(pairs)
     one_out = pairs.groupBy("before").agg(F.count(F.lit(1)).alias("outs"), F.max("after").alias("after"), F.max("ahead").alias("ahead"))
     one_in = pairs.groupBy("after").agg(F.count(F.lit(1)).alias("ins")).where("ins = 1").select("after")
-    state = stored(one_out.where("outs = 1 and before <> after").join(one_in, "after").select(
-        F.col("after").alias("edge"), F.col("before").alias("top"), "ahead", F.lit(False).alias("done")))
-    left = state.count()
+    going = stored(one_out.where("outs = 1 and before <> after").join(one_in, "after").select(
+        F.col("after").alias("edge"), F.col("before").alias("top"), "ahead"))
+    # The first edge of a path has arrived, so that every edge finds the one it points at.
+    firsts = going.select("top").join(going.select(F.col("edge").alias("top")), "top", "left_anti")
+    there = stored(firsts.select(F.col("top").alias("edge"), "top", F.lit(0).cast("long").alias("ahead")))
+    left = going.count()
     while left:
-        on = state.select(F.col("edge").alias("top"), F.col("top").alias("further"), F.col("ahead").alias("more"), F.col("done").alias("end"))
-        moved = state.where("not done").join(on, "top", "left").select(
-            "edge", F.coalesce("further", "top").alias("top"), (F.col("ahead") + F.coalesce("more", F.lit(0))).alias("ahead"),
-            F.coalesce("end", F.lit(True)).alias("done"))
-        state = stored(state.where("done").unionAll(moved))
-        before, left = left, state.where("not done").count()
+        on = there.withColumn("end", F.lit(True)).unionAll(going.withColumn("end", F.lit(False))).toDF("top", "further", "more", "end")
+        moved = stored(going.join(on, "top").select(
+            "edge", F.col("further").alias("top"), (F.col("ahead") + F.col("more")).alias("ahead"), "end"))
+        there = there.unionAll(moved.where("end").drop("end"))
+        going = moved.where("not end").drop("end")
+        before, left = left, going.count()
         if left == before:
             break
-    return state.where("done").select("edge", "top", "ahead")
+    return there.where("edge <> top")
 
 
 def _repeated(rows: DataFrame, paths: DataFrame, n: int, hashed: Hashes) -> DataFrame:
