@@ -39,8 +39,11 @@ PATHS = "k1 long, k2 long, start int, n int, core long, path long, loop boolean"
 WINDOWS = "k1 long, k2 long, at int, core long, window long, times int"
 BLOCKS = "top long, block long, lo int, words binary"
 EXACT = "k1 long, k2 long, at int, words binary"
+SPANS = "k1 long, k2 long, spans array<struct<start: int, n: int, top: long, ahead: long>>"
 #: Places of a path that are compared together.
 BLOCK = 64
+#: Different blocks that a task holds before it hands them on.
+HELD = 1 << 16
 RESULT = "doc_id long, text string, n_words long, n_removed long"
 
 
@@ -134,16 +137,43 @@ def windows_of(n: int, hashed: Hashes = hashes):
     return run
 
 
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: the edges of texts, those that follow each other in the text and on a path as one."""
+    for batch in batches:
+        spans = column(batch, "spans")
+        sizes, flat = np.diff(spans.offsets.to_numpy()), spans.flatten()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        start, size, ahead, top = (flat.field(f).to_numpy() for f in ("start", "n", "ahead", "top"))
+        shift = ahead - start
+        order = np.lexsort((start, shift, top, row))
+        row, start, size, ahead, top, shift = (x[order] for x in (row, start, size, ahead, top, shift))
+        cut = (row[1:] != row[:-1]) | (top[1:] != top[:-1]) | (shift[1:] != shift[:-1]) | (np.diff(start) != size[:-1])
+        first = np.concatenate([[0], np.flatnonzero(cut) + 1]) if len(row) else np.zeros(0, int)
+        last = np.append(first[1:], len(row)) - 1 if len(row) else first
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(sizes)))])
+        values = pa.StructArray.from_arrays([
+            pa.array(start[first], pa.int32()), pa.array(start[last] + size[last] - start[first], pa.int32()),
+            pa.array(top[first], pa.int64()), pa.array(ahead[first], pa.int64())], names=["start", "n", "top", "ahead"])
+        yield pa.RecordBatch.from_arrays(
+            [column(batch, "k1"), column(batch, "k2"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
+            names=["k1", "k2", "spans"])
+
+
 def blocks_of(n: int):
     """mapInArrow function: texts with their edges, to the words of their spans by path and block of places.
 
     A span is a run of edges that follow each other in the text and on their path. What one
-    text has twice at the same places of a path is written once.
+    task has twice at the same places of a path it writes once, but for what it held before.
     """
 
+    def handed(found: dict[tuple[int, int, int, bytes], None]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+            names=["top", "block", "lo", "words"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int, int, bytes], None] = {}
         for batch in slices(batches):
-            found: dict[tuple[int, int, int, bytes], None] = {}
             for text, edges in zip(as_bytes(batch), column(batch, "spans")):
                 words = text.split()
                 start, size, ahead, top = (edges.values.field(f).to_numpy() for f in ("start", "n", "ahead", "top"))
@@ -161,10 +191,11 @@ def blocks_of(n: int):
                         stop = min(end, (block + 1) * BLOCK)
                         found[path, block, place - block * BLOCK, b" ".join(words[place + shift : stop + shift])] = None
                         place = stop
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    names=["top", "block", "lo", "words"])
+                    if len(found) >= HELD:
+                        yield handed(found)
+                        found = {}
+        if found:
+            yield handed(found)
 
     return run
 
@@ -286,13 +317,13 @@ def _repeated(rows: DataFrame, paths: DataFrame, n: int, hashed: Hashes) -> Data
     copies = branching.join(kinds.where("times > 1").select("core", "path"), ["core", "path"]).select(*columns)
     asked = kinds.select("source.*", "core", "times").groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "n", "core", F.least("times", F.lit(2).cast("long")).alias("times"))).alias("asked"))
-    windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n, hashed), WINDOWS))
+    windows = stored(rows.join(asked, list(KEY)).mapInArrow(windows_of(n, hashed), WINDOWS), "zstd")
     repeated = stored(windows.groupBy("window").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where(
         "n > 1 and least = 1").select("window"))
     # The source of a copied path gives its windows too, so that words of such a window meet those of its like elsewhere.
     single = windows.join(repeated, "window").select(
         *KEY, F.col("at").alias("start"), F.lit(1).alias("n"), "core", F.col("window").alias("edge"))
-    return stored(whole.unionAll(copies).unionAll(single))
+    return stored(whole.unionAll(copies).unionAll(single), "zstd")
 
 
 def _by_words(rows: DataFrame, paths: DataFrame, cores: DataFrame, n: int) -> DataFrame:
@@ -316,8 +347,10 @@ def with_spans(docs: DataFrame, n: int = 35, hashed: Hashes = hashes) -> DataFra
     # Copies of a text join by edge here; as both tables are stored, hot edges can be split.
     spans = places.select(*KEY, "start", "n", "edge").join(named, "edge", "left").groupBy(*KEY).agg(F.collect_set(F.struct(
         "start", "n", F.coalesce("top", "edge").alias("top"), F.coalesce("ahead", F.lit(0)).alias("ahead"))).alias("spans"))
+    spans = spans.mapInArrow(joined, SPANS)
     marked = stored(rows.join(spans, list(KEY), "left"), "zstd")
-    blocks = marked.where("spans is not null").select("text", "spans").mapInArrow(blocks_of(n), BLOCKS).distinct()
+    blocks = marked.where("spans is not null").select("text", "spans").mapInArrow(blocks_of(n), BLOCKS)
+    # Tasks have combined what they share, so one shuffle does.
     ordered = blocks.repartition("top", "block").sortWithinPartitions("top", "block")
     false = stored(ordered.mapInArrow(unlike, "top long").distinct())
     if false.isEmpty():
