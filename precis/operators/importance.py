@@ -18,7 +18,7 @@ from precis.functions.text import (
     split_fragments,
     tokens,
 )
-from precis.operators.rows import unroll
+from precis.operators.rows import n_tasks, unroll
 
 
 def fragment_lists(
@@ -32,12 +32,13 @@ def fragment_lists(
 
     Set ``colocated`` for a table that is bucketed by its key already. The
     test for a key is one that joins on it would add to some branches only;
-    said here, all branches stay alike and share one exchange.
+    said here, all branches stay alike and share one exchange. The number of
+    tasks follows the measured size of the texts.
     """
     lists = texts.where(F.col(key).isNotNull()).select(
         F.col(key).alias("doc_id"), split_fragments(clean_light(text)).alias("fragments"), *carry
     )
-    return lists if colocated else lists.repartition("doc_id")
+    return lists if colocated else lists.repartition(n_tasks(texts, text), "doc_id")
 
 
 def fragment_rows(lists: DataFrame) -> DataFrame:

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of text in one task of a layout by key; its rows of words take about thirty times the space.
+TASK_BYTES = 4 * 1024 * 1024
+
+
+def n_tasks(texts: DataFrame, text: str) -> int:
+    """How many tasks the word rows of some texts need, by the measured size of the texts.
+
+    Exchanged texts look small, so adaptive execution would put many of them in one task,
+    whose word rows then spill. The measure reads one column and cleans nothing.
+    """
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    return max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+
 
 def unroll(
     df: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from precis.functions.text import clean_text, split_sentences, tokens
 from precis.operators.lookup import Sized, lookup
 from precis.operators.ranking import top_n
-from precis.operators.rows import unroll
+from precis.operators.rows import n_tasks, unroll
 from precis.settings import DEFAULTS, Settings
 
 
@@ -34,7 +34,7 @@ def sentence_rows(
     """
     lists = sentence_lists(texts, text, key)
     if colocate:
-        lists = lists.repartition("doc_id")
+        lists = lists.repartition(n_tasks(texts, text), "doc_id")
     parts = unroll(lists, ["doc_id"], "sentences", "idx", "sentence")
     return parts.withColumn("words", tokens("sentence"))
 

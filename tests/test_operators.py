@@ -9,6 +9,7 @@ from precis.functions.chars import STOPWORDS
 from precis.functions.text import tokens
 from precis.operators import decoding, encoding, evaluation, filters, importance, lookup
 from precis.operators import ranking, salience, splits, statistics, tfidf
+from precis.operators import rows as rows_of
 from precis.operators import vocabulary as vb
 from precis.operators.rows import unroll
 from precis.plans import summaries, training_data
@@ -268,6 +269,20 @@ def test_summary_needs_one_exchange(spark):
     assert plan.count("FileScan") == 1
 
 
+def test_layout_has_more_tasks_for_more_text(spark, monkeypatch):
+    monkeypatch.setattr(rows_of, "TASK_BYTES", 100)
+    rows = [SIX, None, ""] * 20
+    df = texts(spark, rows)
+    wanted = math.ceil(20 * len(SIX.encode()) / 100)
+    assert rows_of.n_tasks(df, "text") == wanted and rows_of.n_tasks(df.limit(0), "text") == spark.sparkContext.defaultParallelism
+    lists = importance.fragment_lists(df)
+    assert lists.rdd.getNumPartitions() == wanted
+    # Still one exchange: counts by document and word find their rows in place.
+    assert exchanges(importance.important_words(importance.fragment_word_freq(importance.fragment_rows(lists)))) == 1
+    assert exchanges(tfidf.term_freq(tfidf.sentence_rows(df, colocate=True))) == 1
+    assert tfidf.sentence_rows(df, colocate=True).rdd.getNumPartitions() == wanted
+
+
 def test_keep_important_and_stopwords(spark):
     rows = importance.fragment_rows(importance.fragment_lists(texts(spark, [SIX])))
     content = importance.drop_stopwords(importance.long_word_rows(rows))
