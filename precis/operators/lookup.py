@@ -59,6 +59,20 @@ def hot_keys(
     )
 
 
+def heavy_keys(table: DataFrame, key: str, weight: Column, settings: Settings = DEFAULTS) -> DataFrame:
+    """All keys from some weight on, as many as a lookup table that counts as small may have.
+
+    Keys are counted by weight, so none are sorted; word counts have few different values.
+    """
+    known = table.where(F.col(key).isNotNull()).withColumn("_weight", weight)
+    sizes = known.groupBy("_weight").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length(F.col(key).cast("string")) + ROW_BYTES).alias("size"))
+    so_far = Window.orderBy(F.desc("_weight")).rowsBetween(Window.unboundedPreceding, 0)
+    fits = (F.sum("n").over(so_far) <= settings.broadcast_rows) & (F.sum("size").over(so_far) <= settings.broadcast_bytes)
+    least = sizes.withColumn("fits", fits).where("fits").agg(F.min("_weight")).first()[0]
+    return known.where(F.col("_weight") >= F.lit(least)).drop("_weight")
+
+
 def lookup(
     rows: DataFrame, sized: Sized, weight: Column, settings: Settings = DEFAULTS
 ) -> DataFrame:
@@ -89,3 +103,31 @@ def lookup(
     columns = [F.col(c) for c in near.columns if c != "_hot"]
     return own.join(whole, ["_key", "_salt"], "left").select(
         *columns, *(found.getField(n).alias(n) for n in names))
+
+
+def lookup_sums(
+    rows: DataFrame, sized: Sized, weight: Column, value: str, by: list[str], most: str | None = None,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """``(by, total)``: the sum of a looked-up ``value`` over the rows of each group, 0.0 for keys that are unknown or null.
+
+    ``most`` is a column whose greatest value in the group is kept. Of a large table as many keys
+    are broadcast as a small one may have, the heaviest; of those only the sums of a group travel,
+    and each other key of a group once with its count. ``rows`` is read once.
+    """
+    key, kept = sized.key, [most] if most else []
+    greatest = [F.max(c).alias(c) for c in kept]
+    found = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+    if sized.is_small(settings):
+        near = rows.join(F.broadcast(sized.table.select(key, value)), key, "left")
+        return near.groupBy(*by).agg(F.sum(found).alias("total"), *greatest)
+    hot = heavy_keys(sized.table, key, weight, settings).select(key, F.struct(value).alias("_hot"))
+    near = rows.join(F.broadcast(hot), key, "left")
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    in_task = near.groupBy(*by, F.when(~settled, F.col(key)).alias("_key")).agg(
+        F.sum(F.coalesce(F.col("_hot").getField(value).cast("double"), F.lit(0.0))).alias("_near"),
+        F.count("*").alias("_n"), *greatest)
+    own = in_task.withColumn("_salt", F.when(F.col("_key").isNull(), F.xxhash64(*by)).otherwise(0))
+    whole = sized.table.select(F.col(key).alias("_key"), F.lit(0).cast("long").alias("_salt"), value)
+    far = F.when(F.col("_key").isNotNull(), F.col("_n") * found).otherwise(0.0)
+    return own.join(whole, ["_key", "_salt"], "left").groupBy(*by).agg(F.sum(F.col("_near") + far).alias("total"), *greatest)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precis.functions.text import tokens
-from precis.operators.lookup import Sized, lookup
+from precis.operators.lookup import Sized, lookup_sums
 from precis.operators.rows import unroll
 from precis.settings import DEFAULTS, Settings
 
@@ -70,6 +70,6 @@ def score_salience(
     """
     split = sentences.select("doc_id", "idx", tokens("sentence").alias("words"))
     rows = unroll(split, ["doc_id", "idx"], "words", keep_empty=True)
-    found = lookup(rows, model.words, F.col("n"), settings)
-    total = F.lit(model.prior) + F.sum(F.coalesce("weight", F.lit(0.0)))
-    return found.groupBy("doc_id", "idx").agg((1 / (1 + F.exp(-total))).alias("score"))
+    sums = lookup_sums(rows, model.words, F.col("n"), "weight", ["doc_id", "idx"], settings=settings)
+    total = F.lit(model.prior) + F.col("total")
+    return sums.select("doc_id", "idx", (1 / (1 + F.exp(-total))).alias("score"))

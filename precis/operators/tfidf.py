@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.functions.text import clean_text, split_sentences, tokens
-from precis.operators.lookup import Sized, lookup
+from precis.operators.lookup import Sized, lookup, lookup_sums
 from precis.operators.ranking import top_n
 from precis.operators.rows import n_tasks, unroll
 from precis.settings import DEFAULTS, Settings
@@ -93,9 +93,7 @@ def sentence_tfidf(
     """
     rows = _word_rows(sentences, keep_empty=True)
     return (
-        idf_lookup(rows, idf, settings)
-        .groupBy("doc_id", "idx")
-        .agg(F.sum("idf").alias("total"), F.max("n").alias("n"))
+        lookup_sums(rows, idf, F.col("df"), "idf", ["doc_id", "idx"], "n", settings)
         .select(
             "doc_id", "idx",
             F.when(F.col("n") > 0, F.col("total") / F.col("n")).otherwise(0.0).alias("score"),

@@ -136,6 +136,24 @@ def test_large_lookups_read_their_rows_once(spark, tmp_path):
     assert rounded(scores) == rounded(plain)
 
 
+def test_sums_of_a_large_lookup(spark):
+    names = ["hot", "warm", "cold", "new", None]
+    data = [(i // 12, i % 3, i % 5, names[i % 7 % 5]) for i in range(240)]
+    rows = spark.createDataFrame(data, "doc_id long, idx int, n int, word string")
+    table = spark.createDataFrame([("hot", 90, 1.5), ("warm", 40, -2.0), ("cold", 1, 0.25), ("chill", 1, 9.0), (None, 9, 7.0)],
+                                  "word string, df long, idf double")
+    sized = lookup.Sized.store(table, "word")
+    idf, expected = {"hot": 1.5, "warm": -2.0, "cold": 0.25}, {}
+    for doc, idx, n, word in data:
+        total, most = expected.get((doc, idx), (0.0, 0))
+        expected[doc, idx] = total + idf.get(word, 0.0), max(most, n)
+    # All, two and none of the keys are broadcast; keys of one weight go together.
+    for settings, heavy in ((DEFAULTS, 4), (replace(DEFAULTS, broadcast_rows=3), 2), (TINY, 0)):
+        assert lookup.heavy_keys(table, "word", F.col("df"), settings).count() == heavy
+        sums = lookup.lookup_sums(rows, sized, F.col("df"), "idf", ["doc_id", "idx"], "n", settings)
+        assert {(r.doc_id, r.idx): (r.total, r.n) for r in sums.collect()} == expected
+
+
 # --- TF-IDF -----------------------------------------------------------------
 
 
