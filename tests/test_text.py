@@ -1,3 +1,4 @@
+import itertools
 import unicodedata
 
 import pytest
@@ -71,6 +72,28 @@ def test_email_pattern_equals_the_plain_one(spark):
     )
 
 
+def test_cleaning_searches_only_texts_with_marks(spark):
+    """The same texts as by searching all of them."""
+    parts = ["http://a.b", "HTTPS", "www", "ww", "a@b", "@a", "#b", "@", "#", "x@y@z", "c.d", "\n"]
+    rows = [None, "", "sin nada", *(" ".join(p) for p in itertools.permutations(parts, 2)), *("".join(p) for p in itertools.permutations(parts, 2))]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+
+    def plain(text, *patterns):
+        for p in patterns:
+            text = F.regexp_replace(text, p, "")
+        return text
+
+    for lowercase in (True, False):
+        base = F.coalesce("t", F.lit(""))
+        base = F.lower(base) if lowercase else base
+        for first, order in ((False, (tx.MENTION, tx.EMAIL)), (True, (tx.EMAIL, tx.MENTION))):
+            wanted = F.trim(F.regexp_replace(plain(base, tx.URL, *order), f"{tx.WS}+", " "))
+            assert df.where(tx.clean_text("t", lowercase=lowercase, emails_first=first) != wanted).count() == 0
+    light = tx.trim_ws(plain(F.lower(F.coalesce("t", F.lit(""))), tx.URL, tx.MENTION))
+    assert df.where(tx.clean_light("t") != light).count() == 0
+    assert "contains" in str(tx.clean_text("t")) and "contains" in str(tx.clean_light("t"))
+
+
 def test_accents_agree_with_the_unicode_tables(spark):
     chars = [chr(i) for i in range(0x20, 0x250)]
     assert values(spark, chars, tx.strip_accents("t")) == [strip_accents_text(c) for c in chars]
