@@ -43,18 +43,22 @@ def encode(
     key: str = "doc_id",
     markers: bool = False,
     keep: int | None = None,
+    tasks: int | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """Words to ids in order, as ``(key, out)``; no words give ``[]``.
 
     Texts are shuffled once, whole and by key. Exploding, looking up by
     broadcast and collecting again then need no further exchange. ``keep``
-    leaves out words that a later cut to that length would drop anyway.
+    leaves out words that a later cut to that length would drop anyway, before
+    texts are shuffled. ``tasks`` is the number of tasks of the shuffle.
     """
-    words = tokens(text)
-    if keep is not None:
-        words = F.slice(words, 1, keep)
-    rows = unroll(texts.select(key, text).repartition(key), [key], words, keep_empty=True)
+    by = (tasks, key) if tasks else (key,)
+    if keep is None:
+        laid_out, words = texts.select(key, text).repartition(*by), tokens(text)
+    else:
+        laid_out, words = texts.select(key, F.slice(tokens(text), 1, keep).alias("_kept")).repartition(*by), "_kept"
+    rows = unroll(laid_out, [key], words, keep_empty=True)
     ids = (
         token_id_lookup(rows, vocab, settings)
         .groupBy(key)

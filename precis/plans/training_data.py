@@ -11,7 +11,7 @@ from precis.functions.sequences import add_markers, decoder_input, decoder_targe
 from precis.functions.text import clean_text, tokens
 from precis.operators.encoding import encode
 from precis.operators.lookup import Sized, lookup
-from precis.operators.rows import unroll
+from precis.operators.rows import n_tasks, unroll
 from precis.operators.splits import TRAIN
 from precis.operators.vocabulary import Vocabulary, vocabulary, word_freq
 from precis.settings import DEFAULTS, SUMMARY, TEXT, UNK, Settings
@@ -106,5 +106,5 @@ def encode_for_inference(
 ) -> DataFrame:
     """``(key, encoder_in)``: cleaned, encoded and padded texts."""
     cleaned = texts.select(key, clean_text(text).alias("clean"))
-    ids = encode(cleaned, "clean", vocab, key=key, keep=length)
+    ids = encode(cleaned, "clean", vocab, key=key, keep=length, tasks=n_tasks(texts, text))
     return ids.select(key, pad("ids", length).alias("encoder_in"))
