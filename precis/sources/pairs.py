@@ -64,7 +64,8 @@ def write_pairs_csv(pairs: DataFrame, path: str, rows_per_file: int = 100_000) -
 
 
 def append_pairs(
-    pairs: DataFrame, path: str, source: str = "user", valid_only: bool = False, token: str | None = None
+    pairs: DataFrame, path: str, source: str = "user", valid_only: bool = False, token: str | None = None,
+    keys: DataFrame | None = None,
 ) -> int:
     """Append pairs to a parquet table, creating it if absent; the new total.
 
@@ -73,13 +74,14 @@ def append_pairs(
     is ``token``, or else the next number. A batch comes in whole and once: an append
     with a token that the table has adds nothing. A batch with a null or repeated key
     is refused. ``valid_only`` leaves out blank pairs. ``source`` tells saved summaries
-    from pairs given by users.
+    from pairs given by users. ``keys``, a table with all keys of the batch, is checked in
+    place of the batch where that would be computed for its keys alone.
     """
     spark = pairs.sparkSession
     if valid_only:
         pairs = valid_pairs(pairs)
-    keys = pairs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
-    if not keys.isEmpty():
+    found = (pairs if keys is None else keys).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    if not found.isEmpty():
         raise ValueError("the keys of a batch must be unique and not null")
     add_batch(spark, path, lambda name: pairs.select(
         F.concat_ws("-", F.lit(name), F.col("doc_id").cast("string")).alias("doc_id"),
