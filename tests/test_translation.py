@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from precis.operators import alignment
 from precis.operators.alignment import Alignment
 from precis.operators.backoff import Backoff, trigrams
 from precis.sources.storage import scratch_path
@@ -60,6 +61,21 @@ def test_alignment_equals_plain_python(spark):
         assert [(r[1], pytest.approx(r[2])) for r in rows] == [(s, -v) for v, s in best]
 
 
+def test_alignment_stores_no_cells(spark, monkeypatch):
+    """A pair of 300 and 200 different words has 60,000 cells and more; what is stored is rows of words and texts."""
+    pairs = [(i, [f"w{j}" for j in range(300)], [f"s{j}" for j in range(i, 200 + i)]) for i in range(3)]
+    stored, rows = alignment._stored, []
+
+    def counted(df):
+        out = stored(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(alignment, "_stored", counted)
+    Alignment.fit(spark.createDataFrame(pairs, SCHEMA), "a", "b", 2).history.collect()
+    assert max(rows) < 301 * 200
+
+
 def test_alignment_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for rounds in (0, 2):
