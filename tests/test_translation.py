@@ -76,6 +76,21 @@ def test_alignment_stores_no_cells(spark, monkeypatch):
     assert max(rows) < 301 * 200
 
 
+def test_alignment_in_parts_and_with_repeated_keys(spark):
+    """Blocks of 40 cells: frequent summary words are in several parts. Rows with one key are one text with an empty word for each."""
+    rng = random.Random(3)
+    pairs = [(i, rng.choices("abcdefghij", k=6), rng.choices("rstuvw", weights=(30, 9, 3, 1, 1, 1), k=4)) for i in range(40)]
+    expected, seen = plain_alignment(pairs, 4)
+    model = Alignment.fit(spark.createDataFrame(pairs, SCHEMA), "a", "b", 4, block_cells=40)
+    rows = model.table.collect()
+    assert len(rows) == len(expected) and {(r.word, r.summary_word): r.p for r in rows} == pytest.approx(expected, rel=1e-9)
+    assert [r.log_likelihood for r in model.history.orderBy("round").collect()] == pytest.approx(seen)
+    twice = Alignment.fit(spark.createDataFrame([(1, ["a"], ["x", "y"]), (1, ["b"], ["x"]), (None, ["a"], ["z"])], SCHEMA), "a", "b", 1)
+    assert {(r.word, r.summary_word): r.p for r in twice.table.collect()} == pytest.approx(
+        {(w, s): p for w in ("a", "b", "") for s, p in (("x", 2 / 3), ("y", 1 / 3))})
+    assert twice.history.first().log_likelihood == pytest.approx(3 * math.log(2))
+
+
 def test_alignment_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for rounds in (0, 2):
