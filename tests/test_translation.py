@@ -91,6 +91,30 @@ def test_alignment_in_parts_and_with_repeated_keys(spark):
     assert twice.history.first().log_likelihood == pytest.approx(3 * math.log(2))
 
 
+def test_likely_words_leave_out_what_cannot_be_among_the_best(spark, monkeypatch):
+    """Against plain Python, with hardly any, some and all rows in the short table; the empty word brings 2,000 summary words to each text."""
+    rng = random.Random(8)
+    table = [(w, f"s{j}", 0.5 / (j + 1) ** 2 if w == "" else rng.random() ** 8) for w, n in (("", 2000), ("a", 900), ("b", 5), ("c", 1)) for j in rng.sample(range(n), n)]
+    texts = [(0, ["a", "b", "a"]), (1, []), (2, ["c", "zz"]), (3, None), (4, ["b", None, ""]), (4, ["c"]), (None, ["a"])]
+    docs, model = spark.createDataFrame(texts, "doc_id long, a array<string>"), Alignment(spark.createDataFrame(table, alignment.TABLE), None)
+    counts = spark.createDataFrame([(i, w, 1) for i in range(20) for w in ("", "b")], "doc_id long, word string, n long")
+    sizes = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, size long")
+    assert alignment.Short.of(model.table).likely(counts, sizes, 10).count() < 20 * 30
+    wanted = []
+    for i in range(5):
+        same = [[w for w in a or [] if w] for d, a in texts if d == i]
+        words = [w for a in same for w in [*a, ""]]
+        p = Counter()
+        for w, s, x in table:
+            p[s] += words.count(w) * x
+        rows = sorted((-round(x / (len(a) + 1), 10), s) for a in same for s, x in p.items() if x)[:10]
+        wanted += [(i, n + 1, s, pytest.approx(-x)) for n, (x, s) in enumerate(rows)]
+    for few, likely, sent in ((512, 1 / 2048, 1 << 22), (2, 0.4, 0), (2, 2.0, 10), (3, 0.05, 6), (10000, 0.5, 10)):
+        for name, value in (("FEW", few), ("LIKELY", likely), ("SENT", sent)):
+            monkeypatch.setattr(alignment, name, value)
+        assert sorted(tuple(r) for r in model.likely_words(docs, "a").collect()) == wanted, (few, likely, sent)
+
+
 def test_alignment_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for rounds in (0, 2):
