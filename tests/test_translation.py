@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from precis.operators import alignment
@@ -91,6 +92,34 @@ def test_alignment_in_parts_and_with_repeated_keys(spark):
     assert twice.history.first().log_likelihood == pytest.approx(3 * math.log(2))
 
 
+def test_alignment_sends_ranges_of_words(monkeypatch):
+    """A part gives back a row for many words, whatever the summary words that it takes up at a time; sums come out in the order of the words."""
+    texts = pa.table({
+        "words": [[0, 7, 9000], [7, 3], [9000, 3, 2]], "n": pa.array([[1, 2, 1], [1, 1], [3, 1, 1]], pa.list_(pa.int32())),
+        "shift": [0.0, 0.0, 0.0], "summary": [[4, 5], [4], [5, 6, 4]], "m": [[1, 2], [1], [1, 1, 1]], "split": [False] * 3})
+    key, known = (pa.scalar(0), pa.scalar(0)), pa.table({c: pa.array([], t) for c, t in (
+        ("range", pa.int32()), ("alls", pa.list_(pa.float64())), ("likes", pa.list_(pa.float64())))})
+    found = []
+    for cells in (1, 5, 1 << 20):
+        monkeypatch.setattr(alignment, "CHUNK_CELLS", cells)
+        first = alignment._sums(3)(key, texts, known)
+        assert first.column("words").to_pylist() == [[0, 2, 3, 7], [9000]]
+        second = alignment._sums(3)(key, texts, alignment._added(first))
+        found.append([sum(x.column("c").to_pylist(), []) for x in (first, second)])
+        assert sum(found[-1][0]) == pytest.approx(7) and len(second.column("likes")[0]) == 2
+    assert all(a == pytest.approx(b) for x in found for a, b in zip(x, found[2]))
+
+
+def test_words_alone_in_a_text_share_a_number(spark):
+    """Of 20 words that stand in one text alone, and in the same, one number travels; the table has them all."""
+    pairs = [(i, [*(f"own{i}-{j}" for j in range(20)), "la"], ["casa", f"s{i}"]) for i in range(3)]
+    dealt, names, _, _ = alignment.blocks(spark.createDataFrame(pairs, SCHEMA), "a", "b", 1000)
+    assert {len(r.words) for r in dealt.collect()} == {3} and names.count() == 62 and names.select("id").distinct().count() == 5
+    expected, _ = plain_alignment(pairs, 3)
+    rows = Alignment.fit(spark.createDataFrame(pairs, SCHEMA), "a", "b", 3).table.collect()
+    assert len(rows) == len(expected) and {(r.word, r.summary_word): r.p for r in rows} == pytest.approx(expected, rel=1e-9)
+
+
 def test_likely_words_leave_out_what_cannot_be_among_the_best(spark, monkeypatch):
     """Against plain Python, with hardly any, some and all rows in the short table; the empty word brings 2,000 summary words to each text."""
     rng = random.Random(8)
