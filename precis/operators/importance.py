@@ -18,7 +18,7 @@ from precis.functions.text import (
     split_fragments,
     tokens,
 )
-from precis.operators.rows import n_tasks, unroll
+from precis.operators.rows import doc_key, n_tasks, unroll
 
 
 def fragment_lists(
@@ -36,7 +36,7 @@ def fragment_lists(
     tasks follows the measured size of the texts.
     """
     lists = texts.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("doc_id"), split_fragments(clean_light(text)).alias("fragments"), *carry
+        doc_key(key), split_fragments(clean_light(text)).alias("fragments"), *carry
     )
     return lists if colocated else lists.repartition(n_tasks(texts, text), "doc_id")
 

@@ -21,6 +21,15 @@ def n_tasks(texts: DataFrame, text: str) -> int:
     return max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
 
 
+def doc_key(key: str) -> Column:
+    """The key by the name ``doc_id``, without an alias where it has that name.
+
+    Spark drops a needless alias, but not from the first table of a union, whose exchange
+    then differs from those it could be shared with.
+    """
+    return F.col(key) if key == "doc_id" else F.col(key).alias("doc_id")
+
+
 def unroll(
     df: DataFrame,
     keep: list[str],

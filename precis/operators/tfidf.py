@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from precis.functions.text import clean_text, split_sentences, tokens
 from precis.operators.lookup import Sized, lookup, lookup_sums
 from precis.operators.ranking import top_n
-from precis.operators.rows import n_tasks, unroll
+from precis.operators.rows import doc_key, n_tasks, unroll
 from precis.settings import DEFAULTS, Settings
 
 
@@ -20,7 +20,7 @@ def word_lists(texts: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 def sentence_lists(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(doc_id, sentences)`` of cleaned texts."""
     return texts.select(
-        F.col(key).alias("doc_id"), split_sentences(clean_text(text)).alias("sentences")
+        doc_key(key), split_sentences(clean_text(text)).alias("sentences")
     )
 
 
@@ -35,6 +35,11 @@ def sentence_rows(
     lists = sentence_lists(texts, text, key)
     if colocate:
         lists = lists.repartition(n_tasks(texts, text), "doc_id")
+    return listed_sentences(lists)
+
+
+def listed_sentences(lists: DataFrame) -> DataFrame:
+    """The rows of ``sentence_rows`` out of ``(doc_id, sentences)``."""
     parts = unroll(lists, ["doc_id"], "sentences", "idx", "sentence")
     return parts.withColumn("words", tokens("sentence"))
 

@@ -14,10 +14,11 @@ from precis.operators.encoding import decode, encode
 from precis.operators.filters import min_words_filter
 from precis.operators.importance import fragment_importance, fragment_lists, fragment_rows
 from precis.operators.ranking import rank_then_restore
+from precis.operators.rows import n_tasks
 from precis.operators.tfidf import (
     fit_idf,
+    listed_sentences,
     sentence_lists,
-    sentence_rows,
     sentence_tfidf,
     tfidf_top_n,
     word_lists,
@@ -65,20 +66,28 @@ def tfidf_summary(
     key: str = "doc_id",
     n: int = DEFAULTS.sentences_to_extract,
 ) -> DataFrame:
-    """``(doc_id, summary)`` of the best sentences by corpus TF-IDF, best first."""
-    sentences = sentence_rows(texts, text, key)
-    best = tfidf_top_n(sentence_tfidf(sentences, fit_idf(word_lists(texts, text, key))), n)
+    """``(doc_id, summary)`` of the best sentences by corpus TF-IDF, best first.
+
+    Sentences travel by ``doc_id`` once, and both the scoring and the final assembly read that
+    same exchange. Texts without a key have no scores; they stand aside, as the join would
+    leave them out of one branch only.
+    """
+    tasks = n_tasks(texts, text)
+    lists = sentence_lists(texts.where(F.col(key).isNotNull()), text, key).repartition(tasks, "doc_id")
+    best = tfidf_top_n(sentence_tfidf(listed_sentences(lists), fit_idf(word_lists(texts, text, key))), n)
     kept = best.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "idx"))).alias("kept")
     )
-    joined = sentence_lists(texts, text, key).join(kept, "doc_id", "left")
+    joined = lists.join(kept.repartition(tasks, "doc_id"), "doc_id", "left")
     chosen = F.coalesce(
         F.transform(F.col("kept").getField("idx"), lambda i: F.get(F.col("sentences"), i)),
         F.array().cast("array<string>"),
     )
-    return joined.select("doc_id", chosen.alias("chosen")).select(
+    found = joined.select("doc_id", chosen.alias("chosen")).select(
         "doc_id", join_fragments("chosen", F.size("chosen")).alias("summary")
     )
+    unkeyed = texts.where(F.col(key).isNull()).select(F.col(key).alias("doc_id"), F.lit("").alias("summary"))
+    return found.unionAll(unkeyed)
 
 
 @dataclass(frozen=True)

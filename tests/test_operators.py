@@ -287,6 +287,21 @@ def test_summary_needs_one_exchange(spark):
     assert plan.count("FileScan") == 1
 
 
+def test_united_summaries_travel_once(spark):
+    """Each strategy shuffles its texts once, also as a part of a union; scores of sentences find their texts in place."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    df = summaries.summarize(docs, "extractive").unionByName(summaries.summarize(docs, "tfidf"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by_text = [x for x in plan.split("\n") if "REPARTITION_BY_NUM" in x and ("sentences" in x or "fragments" in x or "ReusedExchange" not in x)]
+    reused = sum("ReusedExchange" in x for x in by_text)
+    # Of extractive one and its reuse; of tfidf the same, and one of the kept places, which are small.
+    assert reused == 2 and len(by_text) - reused <= 3
+    unkeyed = spark.createDataFrame([(None, "Una frase. Otra frase."), (1, "Una frase."), (None, None)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.summary) for r in summaries.summarize(unkeyed, "tfidf").collect())
+    assert [x[1] for x in got[:2]] == ["", ""] and got[2][0] == 1 and got[2][1]
+
+
 def test_layout_has_more_tasks_for_more_text(spark, monkeypatch):
     monkeypatch.setattr(rows_of, "TASK_BYTES", 100)
     rows = [SIX, None, ""] * 20
