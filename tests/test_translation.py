@@ -144,6 +144,87 @@ def test_likely_words_leave_out_what_cannot_be_among_the_best(spark, monkeypatch
         assert sorted(tuple(r) for r in model.likely_words(docs, "a").collect()) == wanted, (few, likely, sent)
 
 
+def test_likely_words_of_a_fit_store_no_entries(spark, monkeypatch):
+    """Of 60,200 entries and more none is stored as a row; the best words are those of the saved table."""
+    pairs = [(i, [f"w{j}" for j in range(300)], [f"s{j}" for j in range(i, 200 + i)]) for i in range(3)]
+    table = spark.createDataFrame(pairs, SCHEMA)
+    model = Alignment.fit(table, "a", "b", 2)
+    stored, rows = alignment._stored, []
+
+    def counted(df):
+        out = stored(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(alignment, "_stored", counted)
+    found = sorted(tuple(r) for r in model.likely_words(table, "a", 3).collect())
+    assert max(rows) < 301 * 200
+    # Words that all three texts have come first, by name.
+    assert [r[:3] for r in found] == [(i, n + 1, s) for i in range(3) for n, s in enumerate(("s10", "s100", "s101"))]
+
+
+def test_likely_words_of_a_fit_equal_plain_python(spark, monkeypatch):
+    """Blocks of 40 cells, some in parts, with most, some and none of the entries met by all texts, so that other texts go to all blocks."""
+    rng = random.Random(3)
+    pairs = [(i, rng.choices("abcdefghij", k=6), rng.choices("rstuvwxyz", weights=(30, 9, 3, 1, 1, 1, 1, 1, 1), k=4)) for i in range(40)]
+    table, _ = plain_alignment(pairs, 3)
+    model = Alignment.fit(spark.createDataFrame(pairs, SCHEMA), "a", "b", 3, block_cells=40)
+    texts = [*((f"t{i}", a) for i, a, _ in pairs[:4]), ("t4", ["zz"]), ("t5", None), ("t6", ["a", None, "", "a"]), ("t7", ["b", "zz"]), ("t7", ["c"]), (None, ["a"])]
+    docs, wanted = spark.createDataFrame(texts, "doc_id string, a array<string>"), []
+    for i in range(8):
+        same = [[w for w in a or [] if w] for d, a in texts if d == f"t{i}"]
+        words = [w for a in same for w in [*a, ""]]
+        p = Counter()
+        for (w, s), x in table.items():
+            p[s] += words.count(w) * x
+        rows = sorted((-round(x / (len(a) + 1), 10), s) for a in same for s, x in p.items() if x)[:3]
+        wanted += [(f"t{i}", n + 1, s, pytest.approx(-x)) for n, (x, s) in enumerate(rows)]
+    for first, likely in ((1 / 256, 1 / 2048), (0.4, 0.05), (2.0, 2.0)):
+        monkeypatch.setattr(alignment, "FIRST", first)
+        monkeypatch.setattr(alignment, "LIKELY", likely)
+        assert sorted(tuple(r) for r in model.likely_words(docs, "a", 3).collect()) == wanted, (first, likely)
+
+
+def test_sums_asked_of_a_part_come_in_slices(monkeypatch):
+    """The same sums, whatever the number of cells that is taken up at a time; an open text gets the best of the part."""
+    key = (pa.scalar(0), pa.scalar(0))
+    texts = pa.table({
+        "words": [[0, 7, 9000], [7, 3], [9000, 3, 2]], "n": pa.array([[1, 2, 1], [1, 1], [3, 1, 1]], pa.list_(pa.int32())),
+        "shift": [0.0, 0.0, 0.0], "summary": [[4, 5], [4], [5, 6, 4]], "m": [[1, 2], [1], [1, 1, 1]], "split": [False] * 3, "kind": [0] * 3})
+    known = pa.table({c: pa.array([], t) for c, t in (("range", pa.int32()), ("alls", pa.list_(pa.float64())), ("likes", pa.list_(pa.float64())))})
+    known = alignment._added(alignment._sums(3)(key, texts, known)).append_column("kind", pa.array([1] * 2))
+    rows = pa.concat_tables([texts, known], promote_options="default")
+    asked = pa.table({"doc_id": ["x", "y", "z"], "sids": [[6, 4], [-1], [5]], "words": [[0, 3, 8], [7, 9000], [1]], "n": [[1, 2, 5], [1, 1], [1]], "size": [8, 2, 1]})
+    table = {(w, s): p for s, w, p in _entries(texts, known, key)}
+    wanted = {(d, s): sum(n * table.get((w, s), 0.0) for w, n in zip(ws, ns)) for d, ws, ns, some in (("x", [0, 3], [1, 2], (4, 6)), ("y", [7, 9000], [1, 1], (4, 5)), ("z", [], [], (5,))) for s in some}
+    for cells in (1, 3, 1 << 20):
+        monkeypatch.setattr(alignment, "CHUNK_CELLS", cells)
+        found = alignment._asked(3, 2)(key, rows, asked).to_pylist()
+        got = {(r["doc_id"], r["sid"]): r["p"] for r in found}
+        assert len(got) == len(found) and {k: got[k] for k in wanted} == pytest.approx(wanted) and got.keys() - wanted.keys() <= {("y", 6)}
+
+
+def _entries(texts, known, key):
+    block = alignment.Block(texts, known, 3)
+    for cells in block.cells():
+        yield from zip(block.names[cells.name].tolist(), block.words[cells.word].tolist(), cells.table().tolist())
+
+
+def test_places_of_distinct_keys():
+    import numpy as np
+
+    for keys in ([], [5], [3, 1, 3, 0], [1 << 61, 7, 1 << 61]):
+        keys = np.array(keys, np.int64)
+        found = alignment._distinct(keys)
+        assert [x.tolist() for x in found] == [x.tolist() for x in np.unique(keys, return_inverse=True)]
+
+
+def test_rows_of_several_tables_have_no_null_arrays(spark):
+    both = alignment._together(spark.createDataFrame([(1, [2])], "a int, b array<int>"), spark.createDataFrame([([0.5], "x")], "c array<double>, d string"))
+    assert sorted(tuple(r) for r in both.collect() if r.kind == 0) == [(1, [2], [], None, 0)]
+    assert sorted(tuple(r) for r in both.collect() if r.kind == 1) == [(None, [], [0.5], "x", 1)]
+
+
 def test_alignment_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for rounds in (0, 2):
